@@ -357,7 +357,7 @@ def segment_profile(rfm: DataFrame) -> DataFrame:
 
 def score_matrix(rfm: DataFrame) -> DataFrame:
     """Customers per recency score (5 rows) and frequency tier (3 columns), empty cells 0."""
-    counted = rfm.groupBy("r_score").pivot("f_tier", ["F1", "F2", "F3"]).agg(F.count("*"))
+    counted = rfm.groupBy("r_score").pivot("f_tier", ["F1", "F2", "F3"]).count()
     axis = rfm.sparkSession.range(1, 6).select(F.col("id").cast("int").alias("r_score"))
     return axis.join(counted, "r_score", "left").fillna(0, ["F1", "F2", "F3"])
 
