@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cartmill.plans import gold, star
 from cartmill.plans.staging import LAT_RANGE, LNG_RANGE
@@ -30,8 +31,14 @@ class Shop:
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        """The table, its schema inferred from the files once per process."""
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            reader = self.spark.read
+            if path in SCHEMAS:
+                reader = reader.schema(SCHEMAS[path])
+            self._tables[name] = reader.parquet(path)
+            SCHEMAS.setdefault(path, self._tables[name].schema)
         return self._tables[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -43,136 +50,115 @@ class Shop:
 
     @cached_property
     def places(self) -> DataFrame:
-        return self.nation.select("n_nationkey", F.col("n_name").alias("state"))
+        return self.nation.selectExpr("n_nationkey", "n_name AS state")
 
     @cached_property
     def regions(self) -> DataFrame:
         """(state, region); nations of one region are left out to exercise 'Unknown'."""
-        named = self.nation.join(self.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        return named.filter(F.col("n_regionkey") != 4).select(
-            F.col("n_name").alias("state"), F.col("r_name").alias("region")
-        )
+        named = self.nation.join(self.region, F.expr("n_regionkey = r_regionkey AND n_regionkey <> 4"))
+        return named.selectExpr("n_name AS state", "r_name AS region")
 
     @cached_property
     def customers(self) -> DataFrame:
         """Every tenth customer id belongs to the person before it."""
-        key = F.col("c_custkey")
-        person = F.when(key % 10 == 0, key - 1).otherwise(key)
-        return self.customer.join(self.places, F.col("c_nationkey") == F.col("n_nationkey")).select(
-            key.alias("customer_id"),
-            person.alias("customer_unique_id"),
-            zip_code(F.col("c_nationkey"), key).alias("customer_zip_code_prefix"),
-            F.col("c_mktsegment").alias("customer_city"),
-            F.col("state").alias("customer_state"),
+        return self.customer.join(self.places, F.expr("c_nationkey = n_nationkey")).selectExpr(
+            "c_custkey AS customer_id",
+            "CASE WHEN c_custkey % 10 = 0 THEN c_custkey - 1 ELSE c_custkey END AS customer_unique_id",
+            f"{zip_code('c_nationkey', 'c_custkey')} AS customer_zip_code_prefix",
+            "c_mktsegment AS customer_city",
+            "state AS customer_state",
         )
 
     @cached_property
     def headers(self) -> DataFrame:
-        key, bought = F.col("o_orderkey"), F.col("o_orderdate")
-        status = (
-            F.when(F.col("o_orderstatus") == "F", "canceled")
-            .when(F.col("o_orderstatus") == "O", "shipped")
-            .otherwise("delivered")
-        )
-        delivered = F.when(F.col("o_orderstatus") != "O", bought + hours(key * 37 % 900))
-        return self.orders.select(
-            key.alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            status.alias("order_status"),
-            bought.alias("order_purchase_timestamp"),
-            F.when(key % 50 != 0, bought + hours(key % 5 - 1)).alias("order_approved_at"),
-            delivered.alias("order_delivered_customer_date"),
-            (bought + F.expr("INTERVAL 20 DAYS")).alias("order_estimated_delivery_date"),
-            F.to_date(bought).alias("date_key"),
+        return self.orders.selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
+            """CASE o_orderstatus WHEN 'F' THEN 'canceled' WHEN 'O' THEN 'shipped' ELSE 'delivered' END
+               AS order_status""",
+            "o_orderdate AS order_purchase_timestamp",
+            f"""CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate + {hours('o_orderkey % 5 - 1')} END
+                AS order_approved_at""",
+            f"""CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + {hours('o_orderkey * 37 % 900')} END
+                AS order_delivered_customer_date""",
+            "o_orderdate + INTERVAL 20 DAYS AS order_estimated_delivery_date",
+            "to_date(o_orderdate) AS date_key",
         )
 
     @cached_property
     def items(self) -> DataFrame:
-        price = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-        return self.lineitem.select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").cast("bigint").alias("order_item_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_suppkey").alias("seller_id"),
-            F.col("l_shipdate").alias("shipping_limit_date"),
-            price.alias("price"),
-            (F.col("l_extendedprice") * F.col("l_tax")).alias("freight_value"),
+        return self.lineitem.selectExpr(
+            "l_orderkey AS order_id",
+            "CAST(l_linenumber AS BIGINT) AS order_item_id",
+            "l_partkey AS product_id",
+            "l_suppkey AS seller_id",
+            "l_shipdate AS shipping_limit_date",
+            "l_extendedprice * (1 - l_discount) AS price",
+            "l_extendedprice * l_tax AS freight_value",
         )
 
     @cached_property
     def payments(self) -> DataFrame:
         """One payment per order, a second one for every tenth order."""
-        key = F.col("o_orderkey")
-        parts = self.orders.withColumn(
-            "seq", F.explode(F.when(key % 10 == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
-        )
-        kind = payment_kind(F.col("o_orderpriority"))
-        split = F.when(key % 10 == 3, F.col("o_totalprice") / 2).otherwise(F.col("o_totalprice"))
-        plan = F.greatest(key % 24, F.lit(1))
-        return parts.filter(key % 100 != 99).select(
-            key.alias("order_id"),
-            F.col("seq").cast("bigint").alias("payment_sequential"),
-            kind.alias("payment_type"),
-            plan.alias("payment_installments"),
-            split.alias("payment_value"),
+        kinds = " ".join(f"WHEN '{found}' THEN '{kind}'" for found, kind in PAYMENT_KINDS.items())
+        return self.orders.filter("o_orderkey % 100 <> 99").selectExpr(
+            "o_orderkey AS order_id",
+            "explode(sequence(1L, IF(o_orderkey % 10 = 3, 2L, 1L))) AS payment_sequential",
+            f"CASE o_orderpriority {kinds} END AS payment_type",
+            "greatest(o_orderkey % 24, 1L) AS payment_installments",
+            "IF(o_orderkey % 10 = 3, o_totalprice / 2, o_totalprice) AS payment_value",
         )
 
     @cached_property
     def reviews(self) -> DataFrame:
         """No review for every tenth order, two for another tenth."""
-        key = F.col("o_orderkey")
-        two = F.array(F.lit(0), F.lit(1))
-        copies = self.orders.filter(key % 10 != 0).withColumn(
-            "copy", F.explode(F.when(key % 10 == 7, two).otherwise(F.array(F.lit(0))))
+        copies = self.orders.filter("o_orderkey % 10 <> 0").selectExpr(
+            "*", "explode(sequence(0, IF(o_orderkey % 10 = 7, 1, 0))) AS copy"
         )
-        copy = F.col("copy")
-        return copies.select(
-            (key * 2 + copy).alias("review_id"),
-            key.alias("order_id"),
-            ((key * 7 + F.col("o_custkey") + copy) % 5 + 1).alias("review_score"),
-            F.when(key % 8 == 1, "title").otherwise("").alias("review_comment_title"),
-            F.when(key % 5 < 2, "message").otherwise("").alias("review_comment_message"),
-            (F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("review_creation_date"),
-            (F.col("o_orderdate") + F.expr("INTERVAL 32 DAYS") + hours(copy)).alias("review_answer_timestamp"),
-            F.to_date(F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("date_key"),
+        return copies.selectExpr(
+            "o_orderkey * 2 + copy AS review_id",
+            "o_orderkey AS order_id",
+            "(o_orderkey * 7 + o_custkey + copy) % 5 + 1 AS review_score",
+            "IF(o_orderkey % 8 = 1, 'title', '') AS review_comment_title",
+            "IF(o_orderkey % 5 < 2, 'message', '') AS review_comment_message",
+            "o_orderdate + INTERVAL 30 DAYS AS review_creation_date",
+            f"o_orderdate + INTERVAL 32 DAYS + {hours('copy')} AS review_answer_timestamp",
+            "to_date(o_orderdate + INTERVAL 30 DAYS) AS date_key",
         )
 
     @cached_property
     def products(self) -> DataFrame:
-        key, brand = F.col("p_partkey"), F.col("p_brand")
-        raw = F.when(key % 50 == 0, "").otherwise(brand)
-        english = F.when(raw == "", "uncategorized").when(raw.endswith("5"), raw).otherwise(F.lower(raw))
-        return self.part.select(
-            key.alias("product_id"),
-            raw.alias("product_category_name"),
-            english.alias("product_category_name_english"),
-            F.length("p_name").cast("bigint").alias("product_name_length"),
-            F.length("p_type").cast("bigint").alias("product_description_length"),
-            (key % 4).alias("product_photos_qty"),
-            F.col("p_size").cast("bigint").alias("product_weight_g"),
-            (F.col("p_size") * 1.0).alias("product_length_cm"),
-            (F.col("p_size") * 2.0).alias("product_height_cm"),
-            (F.col("p_size") * 0.5).alias("product_width_cm"),
+        blanked = self.part.selectExpr("*", "IF(p_partkey % 50 = 0, '', p_brand) AS raw_category")
+        return blanked.selectExpr(
+            "p_partkey AS product_id",
+            "raw_category AS product_category_name",
+            """CASE WHEN raw_category = '' THEN 'uncategorized' WHEN raw_category LIKE '%5' THEN raw_category
+               ELSE lower(raw_category) END AS product_category_name_english""",
+            "CAST(length(p_name) AS BIGINT) AS product_name_length",
+            "CAST(length(p_type) AS BIGINT) AS product_description_length",
+            "p_partkey % 4 AS product_photos_qty",
+            "CAST(p_size AS BIGINT) AS product_weight_g",
+            "p_size * 1.0D AS product_length_cm",
+            "p_size * 2.0D AS product_height_cm",
+            "p_size * 0.5D AS product_width_cm",
         )
 
     @cached_property
     def sellers(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        return self.supplier.join(self.places, F.col("s_nationkey") == F.col("n_nationkey")).select(
-            key.alias("seller_id"),
-            zip_code(F.col("s_nationkey"), key).alias("seller_zip_code_prefix"),
-            F.col("s_name").alias("seller_city"),
-            F.col("state").alias("seller_state"),
+        return self.supplier.join(self.places, F.expr("s_nationkey = n_nationkey")).selectExpr(
+            "s_suppkey AS seller_id",
+            f"{zip_code('s_nationkey', 's_suppkey')} AS seller_zip_code_prefix",
+            "s_name AS seller_city",
+            "state AS seller_state",
         )
 
     @cached_property
     def points(self) -> DataFrame:
-        """Raw coordinates, some outside the bounding box; one postal prefix has none."""
-        key = F.col("c_custkey")
-        return self.customer.filter(F.col("c_nationkey") != 3).select(
-            zip_code(F.col("c_nationkey"), key).alias("geolocation_zip_code_prefix"),
-            ((key * 13 % 500) / 10.0 - 40).alias("geolocation_lat"),
-            ((key * 7 % 500) / 10.0 - 80).alias("geolocation_lng"),
+        """Raw coordinates, some outside the bounding box; one nation has none."""
+        return self.customer.filter("c_nationkey <> 3").selectExpr(
+            f"{zip_code('c_nationkey', 'c_custkey')} AS geolocation_zip_code_prefix",
+            "(c_custkey * 13 % 500) / 10.0D - 40 AS geolocation_lat",
+            "(c_custkey * 7 % 500) / 10.0D - 80 AS geolocation_lng",
         )
 
     @cached_property
@@ -300,13 +286,17 @@ TABLES = frozenset(
 )
 
 
-def hours(n):
-    return F.make_dt_interval(hours=n.cast("int"))
+# Schemas of the tables read so far, by path.
+SCHEMAS: dict[str, StructType] = {}
+
 
+def hours(n: str) -> str:
+    return f"make_dt_interval(0, CAST({n} AS INT))"
 
-def zip_code(nation, key):
+
+def zip_code(nation: str, key: str) -> str:
     """Five digits: two for the nation, three spread over its keys."""
-    return F.lpad((nation * 1000 + key % 7).cast("string"), 5, "0")
+    return f"lpad(CAST({nation} * 1000 + {key} % 7 AS STRING), 5, '0')"
 
 
 # Payment type per order priority.
@@ -317,10 +307,3 @@ PAYMENT_KINDS = {
     "4-NOT SPECIFIED": "voucher",
     "5-LOW": "debit_card",
 }
-
-
-def payment_kind(priority):
-    out = F.lit(None).cast("string")
-    for found, kind in PAYMENT_KINDS.items():
-        out = F.when(priority == found, kind).otherwise(out)
-    return out

@@ -20,21 +20,26 @@ from cartmill.session import materialize, small_side
 
 POSITION = "_position"
 SLICE = "_slice"
+ROW = "_row"
 
 # Up to this many counted rows are sorted by one task.
 SINGLE_TASK_ROWS = 500_000
 
 
 def _written(df: DataFrame) -> tuple[DataFrame, bool]:
-    """The input read back from scratch, and whether one task may hold all of it."""
-    rows = materialize(df)
+    """The input read back from scratch, and whether one task may hold all of it.
+
+    Rows are numbered as they are written: the number settles ties, so that equal rows,
+    however many, can be cut into several ranges.
+    """
+    rows = materialize(df.withColumn(ROW, F.monotonically_increasing_id()))
     return rows, rows.count() <= SINGLE_TASK_ROWS
 
 
 def _spread(df: DataFrame, by: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
     """Globally sorted copy; the position is increasing across the whole result."""
-    sort = [*[F.col(b).asc() for b in by], *order_by]
-    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    sort = [*[F.col(b).asc() for b in by], *order_by, F.col(ROW).asc()]
+    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort).drop(ROW)
     placed = materialize(ranged.withColumn(POSITION, F.monotonically_increasing_id()))
     # the upper bits of the id are the partition, the lower 33 the row inside it
     return placed.withColumn(SLICE, F.shiftright(F.col(POSITION), 33))
@@ -72,7 +77,7 @@ def with_rank(
     source, small = _written(df)
     if small:
         whole = Window.partitionBy(*by)
-        sorted_ = whole.orderBy(*order_by)
+        sorted_ = whole.orderBy(*order_by, F.col(ROW))
         out = source.withColumn(rank, F.row_number().over(sorted_).cast("bigint"))
         out = out.withColumn(size, F.count("*").over(whole))
         if total:
@@ -80,7 +85,7 @@ def with_rank(
         if running:
             upto = sorted_.rowsBetween(Window.unboundedPreceding, 0)
             out = out.withColumn(running, F.sum(total).over(upto))
-        return out
+        return out.drop(ROW)
     rows = _spread(source, by, order_by)
     aggs = [F.min(POSITION).alias("_first"), F.count("*").alias("_n")]
     if total:
@@ -125,12 +130,12 @@ def with_neighbour(
     c = F.col(value) if isinstance(value, str) else value
     source, small = _written(df.withColumn("_value", c))
     if small:
-        w = Window.partitionBy(*by).orderBy(*order_by)
+        w = Window.partitionBy(*by).orderBy(*order_by, F.col(ROW))
         step = F.lag if offset < 0 else F.lead
         out = source.withColumn(name, step("_value").over(w))
         if flag:
             out = out.withColumn(flag, step(F.lit(True)).over(w).isNull())
-        return out.drop("_value")
+        return out.drop("_value", ROW)
     rows = _spread(source, by, order_by)
     edge = (F.max if offset < 0 else F.min)(POSITION)
     own = (F.min if offset < 0 else F.max)(POSITION)

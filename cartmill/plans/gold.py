@@ -54,17 +54,20 @@ def _with_state(df: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def sales_orders(star: dict[str, DataFrame], window: Window = DEFAULT_WINDOW, regions=None) -> DataFrame:
-    """Order items of the window with category, first payment and region."""
-    sales = _with_calendar(in_window(star["fct_sales"], window), star["dim_date"])
-    sales = _with_state(sales, star["dim_customers"])
-    sales = sales.join(star["dim_products"].select("product_id", "product_category_name_english"), "product_id")
+    """Order items of the window with category, first payment and region.
+
+    Payments join first: the facts are already spread by order when they come from a join.
+    """
     payments = star["fct_payments"].select(
         "order_id",
         F.col("payment_type").alias("primary_payment_type"),
         F.col("payment_installments").alias("primary_payment_installments"),
         "payment_sequential",
     )
+    sales = in_window(star["fct_sales"], window)
     sales = left_join_where(sales, payments, "order_id", F.col("payment_sequential") == 1)
+    sales = _with_state(_with_calendar(sales, star["dim_date"]), star["dim_customers"])
+    sales = sales.join(star["dim_products"].select("product_id", "product_category_name_english"), "product_id")
     return to_contract(add_region(sales, "customer_state", regions), "sales_orders")
 
 
@@ -145,23 +148,28 @@ ORDER_GRAIN = (
 
 
 def order_categories(sales: DataFrame, products: DataFrame) -> DataFrame:
-    """One row per order with the category of its highest-amount item."""
+    """One row per order with the category of its highest-amount item.
+
+    Grouping by the order alone (its other attributes depend on it) leaves the result
+    spread by order, as the join with the reviews needs it.
+    """
     lookup = products.select("product_id", "product_category_name_english", F.lit(True).alias("_known"))
     items = sales.join(lookup, "product_id", "left")
     weight = F.when(
         F.col("_known"),
         F.struct("total_sale_amount", -F.col("order_item_id"), "product_category_name_english"),
     )
-    return items.groupBy(*ORDER_GRAIN).agg(
-        F.max_by("product_category_name_english", weight).alias("primary_product_category")
+    return items.groupBy("order_id").agg(
+        *[F.min(c).alias(c) for c in ORDER_GRAIN if c != "order_id"],
+        F.max_by("product_category_name_english", weight).alias("primary_product_category"),
     )
 
 
 def satisfaction_summary(star: dict[str, DataFrame], window: Window = DEFAULT_WINDOW, regions=None) -> DataFrame:
     """Orders of the window with review, delay and main category."""
     orders = order_categories(in_window(star["fct_sales"], window), star["dim_products"])
-    orders = _with_state(_with_calendar(orders, star["dim_date"]), star["dim_customers"])
     orders = orders.join(last_review(star["fct_reviews"]), "order_id", "left")
+    orders = _with_state(_with_calendar(orders, star["dim_date"]), star["dim_customers"])
     delay = whole_days_between("order_estimated_delivery_date", "order_delivered_customer_date")
     scored = (
         orders.withColumn("nps_category", nps_category("review_score"))

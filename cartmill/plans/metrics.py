@@ -29,9 +29,17 @@ def _share(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole)
 
 
-def _of_total(value: str, *by: str) -> Column:
-    """Share of a column's total over rows already reduced to a few groups."""
-    return _share(F.col(value), F.sum(value).over(Window.partitionBy(*by)))
+def _with_share(df: DataFrame, value: str, name: str, factor: int = 1) -> DataFrame:
+    """Append a column's share of its total; the total is one row, not a window."""
+    total = df.agg(F.sum(value).alias("_total"))
+    share = factor * _share(F.col(value), F.col("_total"))
+    return df.crossJoin(F.broadcast(total)).withColumn(name, share).drop("_total")
+
+
+def _monthly_pct(df: DataFrame) -> DataFrame:
+    """Append percent of the month's orders, over rows reduced to a few groups per month."""
+    of_month = F.sum("orders").over(Window.partitionBy("period"))
+    return df.withColumn("pct", 100 * _share(F.col("orders"), of_month))
 
 
 def order_view(sales: DataFrame, *columns: str) -> DataFrame:
@@ -137,7 +145,7 @@ def payment_mix(sales: DataFrame) -> DataFrame:
     """Orders per first payment type with their share."""
     orders = order_view(sales, "primary_payment_type").filter(F.col("primary_payment_type").isNotNull())
     counted = orders.groupBy("primary_payment_type").agg(F.count("*").alias("orders"))
-    return counted.withColumn("share", _of_total("orders"))
+    return _with_share(counted, "orders", "share")
 
 
 def payment_totals(payments: DataFrame) -> DataFrame:
@@ -171,15 +179,14 @@ def installment_summary(histogram: DataFrame, many: int = MANY_INSTALLMENTS) ->
 def status_mix(sales: DataFrame) -> DataFrame:
     """Distinct orders per status and percent of all."""
     counted = order_view(sales, "order_status").groupBy("order_status").agg(F.count("*").alias("orders"))
-    return counted.withColumn("pct", 100 * _of_total("orders"))
+    return _with_share(counted, "orders", "pct", 100)
 
 
 def monthly_status_rate(sales: DataFrame, statuses: Sequence[str] = ("canceled", "unavailable")) -> DataFrame:
     """Percent of a month's orders in the given statuses."""
     orders = order_view(sales, "year", "month", "order_status")
     counted = orders.groupBy(_month(), "order_status").agg(F.count("*").alias("orders"))
-    rated = counted.withColumn("pct", 100 * _of_total("orders", "period"))
-    return rated.filter(F.col("order_status").isin(*statuses))
+    return _monthly_pct(counted).filter(F.col("order_status").isin(*statuses))
 
 
 def cancellation_rate(sales: DataFrame, status: str = "canceled") -> DataFrame:
@@ -190,7 +197,7 @@ def cancellation_rate(sales: DataFrame, status: str = "canceled") -> DataFrame:
 def top_categories(sales: DataFrame, n: int = 15, category: str = "product_category_name_english") -> DataFrame:
     """Largest categories by revenue with their share of the total."""
     totals = sales.groupBy(category).agg(F.sum("total_sale_amount").alias("revenue"))
-    shared = totals.withColumn("share", _of_total("revenue"))
+    shared = _with_share(totals, "revenue", "share")
     return shared.orderBy(F.desc("revenue"), F.asc(category)).limit(n)
 
 
@@ -239,7 +246,7 @@ def gini_trend(concentration: DataFrame, dimension: str = "seller_gmv_monthly")
 def gmv_by(sales: DataFrame, place: str) -> DataFrame:
     """Revenue per state or region with its share."""
     totals = sales.groupBy(place).agg(F.sum("total_sale_amount").alias("gmv"))
-    return totals.withColumn("share", _of_total("gmv"))
+    return _with_share(totals, "gmv", "share")
 
 
 def top_place(sales: DataFrame, place: str) -> DataFrame:
@@ -385,7 +392,7 @@ def purchase_frequency(sales: DataFrame, customer: str = "customer_unique_id") -
 
 def customers_by_state(customers: DataFrame) -> DataFrame:
     counted = customers.groupBy("customer_state").agg(F.count("*").alias("customers"))
-    return counted.withColumn("share", _of_total("customers"))
+    return _with_share(counted, "customers", "share")
 
 
 def top_states_share(customers: DataFrame, n: int = 5) -> DataFrame:
@@ -399,7 +406,7 @@ def top_states_share(customers: DataFrame, n: int = 5) -> DataFrame:
 def score_distribution(satisfaction: DataFrame) -> DataFrame:
     reviewed = satisfaction.filter(F.col("review_score").isNotNull())
     counted = reviewed.groupBy("review_score", "nps_category").agg(F.count("*").alias("orders"))
-    return counted.withColumn("share", _of_total("orders"))
+    return _with_share(counted, "orders", "share")
 
 
 def monthly_score(satisfaction: DataFrame) -> DataFrame:
@@ -409,7 +416,7 @@ def monthly_score(satisfaction: DataFrame) -> DataFrame:
 def monthly_nps_mix(satisfaction: DataFrame) -> DataFrame:
     """Percent of a month's orders per category; the total includes orders without review."""
     counted = satisfaction.groupBy(_month(), "nps_category").agg(F.count("*").alias("orders"))
-    return counted.withColumn("pct", 100 * _of_total("orders", "period")).filter(F.col("nps_category").isNotNull())
+    return _monthly_pct(counted).filter(F.col("nps_category").isNotNull())
 
 
 def monthly_nps_all_orders(satisfaction: DataFrame) -> DataFrame:
@@ -422,12 +429,14 @@ def monthly_nps_all_orders(satisfaction: DataFrame) -> DataFrame:
 
 def score_by_delay(satisfaction: DataFrame) -> DataFrame:
     """Mean score, orders and percent per delay bin, and the drop from the earliest bin."""
-    early = F.max(F.when(F.col("delay_bin") == DELAY_BINS[0], F.col("avg_score"))).over(Window.partitionBy())
     known = satisfaction.filter(F.col("delay_bin").isNotNull())
     bins = known.groupBy("delay_bin").agg(F.avg("review_score").alias("avg_score"), F.count("*").alias("orders"))
+    early = bins.agg(F.max(F.when(F.col("delay_bin") == DELAY_BINS[0], F.col("avg_score"))).alias("_early"))
     return (
-        bins.withColumn("pct", 100 * _of_total("orders"))
-        .withColumn("drop_from_early", early - F.col("avg_score"))
+        _with_share(bins, "orders", "pct", 100)
+        .crossJoin(F.broadcast(early))
+        .withColumn("drop_from_early", F.col("_early") - F.col("avg_score"))
+        .drop("_early")
         .withColumn("position", position_in("delay_bin", DELAY_BINS))
         .orderBy("position")
     )

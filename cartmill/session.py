@@ -17,6 +17,9 @@ SEMANTIC_CONF = {
 
 BROADCAST_ROW_LIMIT = 200_000
 
+# Scratch folders written by this process, for clear_scratch.
+WRITTEN: list[str] = []
+
 
 def build_session(app_name: str = "cartmill", master: str | None = None, **conf: str) -> SparkSession:
     """Create a session with UTC, ANSI casts and adaptive execution."""
@@ -66,6 +69,7 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -76,3 +80,13 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     return df
 
 
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what ``materialize`` wrote; call it once the results have been consumed."""
+    removed = 0
+    while WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(WRITTEN.pop())
+        filesystem = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        removed += int(filesystem.delete(path, True))
+    return removed
