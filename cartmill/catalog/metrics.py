@@ -101,7 +101,9 @@ def _(s: Shop):
            (SELECT avg((frequency > 1)::INT) AS repeat_rate FROM customer_rfm)""",
 )
 def _(s: Shop):
-    kpis = met.headline_kpis(s.sales, s.satisfaction, s.geo, s.rfm)
+    facts = s.stored_star
+    extracts = (gold.sales_orders, gold.satisfaction_summary, gold.geo_delivery, gold.customer_rfm)
+    kpis = met.headline_kpis(*[extract(facts, WINDOW, s.regions) for extract in extracts])
     return rounded(rounded(rounded(kpis, 2, "gmv"), 6, "aov"), 6, "on_time_rate", "nps", "repeat_rate")
 
 

@@ -567,7 +567,7 @@ CONCENTRATION_SQL = (
 
 @query("gld14_concentration_metrics", CONCENTRATION_SQL)
 def _(s: Shop):
-    stats = gold.concentration_metrics(s.star, WINDOW)
+    stats = gold.concentration_metrics(s.stored_star, WINDOW)
     return rounded(rounded(stats, 6, "gini", "cr4", "cr10", "top_20pct_share"), 4, "hhi")
 
 

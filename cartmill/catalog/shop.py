@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from cartmill.plans import gold, star
 from cartmill.plans.staging import LAT_RANGE, LNG_RANGE
+from cartmill.session import materialize
 
 WINDOW = gold.Window(
     start="2000-01-01", end="2001-08-31", reference="2001-08-31", history_start="2001-01-01"
@@ -195,6 +196,11 @@ class Shop:
     def star(self) -> star.LazyTables:
         return star.build_star(self.staging, self.calendar)
 
+    @cached_property
+    def stored_star(self) -> dict[str, DataFrame]:
+        """The star schema with the window's sales written once, for queries reading them often."""
+        return {**self.star, "fct_sales": materialize(gold.in_window(self.star["fct_sales"], WINDOW))}
+
     @cached_property
     def sales(self) -> DataFrame:
         return gold.sales_orders(self.star, WINDOW, self.regions)

@@ -250,19 +250,28 @@ def concentration_inputs(
         F.col("monetary_value").alias("value"),
     )
 
-    def family(name: str, group: Column, entity: str) -> DataFrame:
-        return base.filter(group.isNotNull() & F.col(entity).isNotNull()).groupBy(
+    overall = F.lit("overall")
+
+    def family(name: str, group: Column, entity: str) -> Column:
+        return F.struct(
             F.lit(name).alias("dimension"), group.alias("group_key"), F.col(entity).cast("string").alias("entity")
-        ).agg(F.sum("value").alias("value"))
+        )
 
-    overall = F.lit("overall")
-    return (
-        family("seller_gmv", overall, "seller_id")
-        .unionByName(family("seller_gmv_monthly", F.col("period"), "seller_id"))
-        .unionByName(family("category_seller_gmv", F.col("category"), "seller_id"))
-        .unionByName(family("category_revenue", overall, "category"))
-        .unionByName(people)
+    # every base row counts once in each family, so one aggregate serves them all
+    families = F.array(
+        family("seller_gmv", overall, "seller_id"),
+        family("seller_gmv_monthly", F.col("period"), "seller_id"),
+        family("category_seller_gmv", F.col("category"), "seller_id"),
+        family("category_revenue", overall, "category"),
+    )
+    rolled = (
+        base.select("value", F.explode(families).alias("family"))
+        .select("family.*", "value")
+        .filter(F.col("group_key").isNotNull() & F.col("entity").isNotNull())
+        .groupBy("dimension", "group_key", "entity")
+        .agg(F.sum("value").alias("value"))
     )
+    return rolled.unionByName(people)
 
 
 def concentration_metrics(

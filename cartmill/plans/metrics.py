@@ -30,10 +30,19 @@ def _share(part: Column, whole: Column) -> Column:
 
 
 def _with_share(df: DataFrame, value: str, name: str, factor: int = 1) -> DataFrame:
-    """Append a column's share of its total; the total is one row, not a window."""
+    """Append a column's share of its total.
+
+    For a handful of groups only (states, statuses, bins): the total is a window over all.
+    """
+    total = F.sum(value).over(Window.partitionBy())
+    return df.withColumn(name, factor * _share(F.col(value), total))
+
+
+def _with_share_of_many(df: DataFrame, value: str, name: str) -> DataFrame:
+    """The same for any number of groups: they meet a one-row total."""
     total = df.agg(F.sum(value).alias("_total"))
-    share = factor * _share(F.col(value), F.col("_total"))
-    return df.crossJoin(F.broadcast(total)).withColumn(name, share).drop("_total")
+    joined = df.crossJoin(F.broadcast(total))
+    return joined.withColumn(name, _share(F.col(value), F.col("_total"))).drop("_total")
 
 
 def _monthly_pct(df: DataFrame) -> DataFrame:
@@ -197,7 +206,7 @@ def cancellation_rate(sales: DataFrame, status: str = "canceled") -> DataFrame:
 def top_categories(sales: DataFrame, n: int = 15, category: str = "product_category_name_english") -> DataFrame:
     """Largest categories by revenue with their share of the total."""
     totals = sales.groupBy(category).agg(F.sum("total_sale_amount").alias("revenue"))
-    shared = _with_share(totals, "revenue", "share")
+    shared = _with_share_of_many(totals, "revenue", "share")
     return shared.orderBy(F.desc("revenue"), F.asc(category)).limit(n)
 
 
@@ -237,7 +246,8 @@ def category_concentration(sales: DataFrame, category: str = "product_category_n
 def gini_trend(concentration: DataFrame, dimension: str = "seller_gmv_monthly") -> DataFrame:
     """Gini per month next to the mean over all months."""
     months = concentration.filter(F.col("dimension") == dimension).select(F.col("group_key").alias("period"), "gini")
-    return months.crossJoin(months.agg(F.avg("gini").alias("mean_gini")))
+    # one row per month
+    return months.withColumn("mean_gini", F.avg("gini").over(Window.partitionBy()))
 
 
 # --- geography ------------------------------------------------------------------------
@@ -431,12 +441,10 @@ def score_by_delay(satisfaction: DataFrame) -> DataFrame:
     """Mean score, orders and percent per delay bin, and the drop from the earliest bin."""
     known = satisfaction.filter(F.col("delay_bin").isNotNull())
     bins = known.groupBy("delay_bin").agg(F.avg("review_score").alias("avg_score"), F.count("*").alias("orders"))
-    early = bins.agg(F.max(F.when(F.col("delay_bin") == DELAY_BINS[0], F.col("avg_score"))).alias("_early"))
+    early = F.max(F.when(F.col("delay_bin") == DELAY_BINS[0], F.col("avg_score"))).over(Window.partitionBy())
     return (
         _with_share(bins, "orders", "pct", 100)
-        .crossJoin(F.broadcast(early))
-        .withColumn("drop_from_early", F.col("_early") - F.col("avg_score"))
-        .drop("_early")
+        .withColumn("drop_from_early", early - F.col("avg_score"))
         .withColumn("position", position_in("delay_bin", DELAY_BINS))
         .orderBy("position")
     )
