@@ -198,9 +198,11 @@ def gated_build(
     checks: Callable[[Mapping[str, DataFrame]], Mapping[str, Sequence[Check]]],
     folder: str,
     depends_on: Mapping[str, Sequence[str]] = DEPENDS_ON,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Write each table, check it, and skip whatever depends on a failed one.
 
+    ``partition_by`` names the storage partitions of large tables, e.g. facts by date.
     Returns the tables that passed and a report (table_name, status, check_name, failures).
     """
     done: dict[str, DataFrame] = {}
@@ -210,7 +212,7 @@ def gated_build(
         if blocked:
             report.append((name, "skipped", None, None))
             continue
-        table = write_table(builder(done), f"{folder}/{name}")
+        table = write_table(builder(done), f"{folder}/{name}", (partition_by or {}).get(name, ()))
         rules = list(checks({**done, name: table}).get(name, ()))
         broken = []
         if rules:

@@ -37,17 +37,29 @@ GOLD_CONTRACTS: dict[str, tuple[str, ...]] = {
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Full refresh of a Parquet table; returns a frame reading what was written."""
-    writer = df.write.mode("overwrite")
+    """Full refresh of a Parquet table; returns a frame reading what was written.
+
+    With partition columns the rows are rebalanced on them first: each value goes to few
+    files, and a value too large for one task is split.
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def save_table(df: DataFrame, name: str) -> None:
-    """Full refresh of a catalog table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def save_table(df: DataFrame, name: str, bucket_by: Sequence[str] = (), buckets: int = 0) -> None:
+    """Full refresh of a catalog table.
+
+    Tables bucketed alike on the order id join each other without a shuffle.
+    """
+    writer = df.write.mode("overwrite").format("parquet")
+    if bucket_by:
+        if buckets < 1:
+            raise ValueError("give the number of buckets")
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(name)
 
 
 def create_view(df: DataFrame, name: str) -> None:

@@ -378,7 +378,10 @@ def test_gated_build_skips_dependents(spark, source, tmp_path):
 
     clean = {**source, "orders": source["orders"].filter("order_id <> 'o6'")}
     steps = build.marketplace_steps(clean, star.dim_date(spark))
-    done, report = build.gated_build(spark, steps, build.suite_for(BOUNDS), str(tmp_path / "b"))
+    by_date = {"fct_sales": ["date_key"], "fct_payments": ["date_key"]}
+    done, report = build.gated_build(
+        spark, steps, build.suite_for(BOUNDS), str(tmp_path / "b"), partition_by=by_date
+    )
     bad = [tuple(r) for r in report.collect() if r.status != "built"]
     assert bad == []
     verdicts = chk.run_suite(done, build.declared_suite(done, BOUNDS))

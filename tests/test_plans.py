@@ -11,7 +11,7 @@ from cartmill.catalog.shop import WINDOW, Shop
 from cartmill.operators import relational as rel
 from cartmill.plans import gold, metrics, star
 from cartmill.plans.filters import FilterSpec, apply_filters
-from cartmill.sources.tables import write_table
+from cartmill.sources.tables import save_table, write_table
 from conftest import plan
 
 SF = "/root/testdata/sf0.001"
@@ -109,3 +109,23 @@ def test_results_do_not_depend_on_partitions(spark, marts):
         results.append(sorted(map(tuple, rfm.collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert results[0] == results[1]
+
+
+def test_partitioned_facts_are_pruned(marts, tmp_path):
+    stored = write_table(marts["fct_sales"], str(tmp_path / "facts"), ["date_key"])
+    assert dict(stored.dtypes)["date_key"] == "date"
+    text = plan(gold.in_window(stored, WINDOW))
+    assert re.search(r"PartitionFilters: \[[^\]]*date_key#\d+ >= 2000-01-01", text)
+    assert stored.count() == marts["fct_sales"].count()
+
+
+def test_tables_bucketed_on_the_order_join_without_shuffle(spark, marts, no_broadcast):
+    names = ("bucketed_sales", "bucketed_reviews")
+    for name, table in zip(names, ("fct_sales", "fct_reviews"), strict=True):
+        save_table(marts[table], name, ["order_id"], 4)
+    joined = spark.table(names[0]).join(spark.table(names[1]), "order_id")
+    assert "Exchange" not in plan(joined)
+    with pytest.raises(ValueError):
+        save_table(marts["fct_sales"], "bucketed_sales", ["order_id"])
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
