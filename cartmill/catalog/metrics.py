@@ -92,7 +92,7 @@ def _(s: Shop):
 @query(
     "met02_headline_kpis",
     GOLD
-    + """SELECT round(gmv, 2) AS gmv, orders, round(gmv / orders, 6) AS aov, round(on_time_rate, 6) AS on_time_rate,
+    + """SELECT round(gmv, 4) AS gmv, orders, round(gmv / orders, 6) AS aov, round(on_time_rate, 6) AS on_time_rate,
       round(nps, 6) AS nps, round(repeat_rate, 6) AS repeat_rate
       FROM (SELECT sum(total_sale_amount) AS gmv, count(DISTINCT order_id) AS orders FROM sales_orders),
            (SELECT sum(on_time_orders) / sum(total_orders) AS on_time_rate FROM geo_delivery),
@@ -104,17 +104,17 @@ def _(s: Shop):
     facts = s.stored_star
     extracts = (gold.sales_orders, gold.satisfaction_summary, gold.geo_delivery, gold.customer_rfm)
     kpis = met.headline_kpis(*[extract(facts, WINDOW, s.regions) for extract in extracts])
-    return rounded(rounded(rounded(kpis, 2, "gmv"), 6, "aov"), 6, "on_time_rate", "nps", "repeat_rate")
+    return rounded(rounded(rounded(kpis, 4, "gmv"), 6, "aov"), 6, "on_time_rate", "nps", "repeat_rate")
 
 
 @query(
     "met03_monthly_sales",
     GOLD
-    + f"""SELECT {PERIOD}, round(sum(total_sale_amount), 2) AS gmv, count(DISTINCT order_id) AS orders
+    + f"""SELECT {PERIOD}, round(sum(total_sale_amount), 4) AS gmv, count(DISTINCT order_id) AS orders
       FROM sales_orders GROUP BY 1""",
 )
 def _(s: Shop):
-    return rounded(met.monthly_sales(s.sales), 2, "gmv")
+    return rounded(met.monthly_sales(s.sales), 4, "gmv")
 
 
 @query(
@@ -130,22 +130,22 @@ def _(s: Shop):
 @query(
     "met05_half_year_growth",
     GOLD
-    + """SELECT half, round(gmv, 2) AS gmv, round(100 * (gmv - lag(gmv) OVER w) / lag(gmv) OVER w, 6) AS growth_pct
+    + """SELECT half, round(gmv, 4) AS gmv, round(100 * (gmv - lag(gmv) OVER w) / lag(gmv) OVER w, 6) AS growth_pct
       FROM (SELECT year || CASE WHEN month <= 6 THEN '-H1' ELSE '-H2' END AS half, sum(total_sale_amount) AS gmv
             FROM sales_orders GROUP BY 1) WINDOW w AS (ORDER BY half)""",
 )
 def _(s: Shop):
-    return rounded(rounded(met.half_year_growth(s.sales), 2, "gmv"), 6, "growth_pct")
+    return rounded(rounded(met.half_year_growth(s.sales), 4, "gmv"), 6, "growth_pct")
 
 
 @query(
     "met06_monthly_aov",
     GOLD
-    + f"""SELECT {PERIOD}, round(sum(total_sale_amount), 2) AS gmv, count(DISTINCT order_id) AS orders,
+    + f"""SELECT {PERIOD}, round(sum(total_sale_amount), 4) AS gmv, count(DISTINCT order_id) AS orders,
       round(sum(total_sale_amount) / count(DISTINCT order_id), 6) AS aov FROM sales_orders GROUP BY 1""",
 )
 def _(s: Shop):
-    return rounded(rounded(met.monthly_aov(s.sales), 2, "gmv"), 6, "aov")
+    return rounded(rounded(met.monthly_aov(s.sales), 4, "gmv"), 6, "aov")
 
 
 FIRST_ITEMS = (
@@ -256,27 +256,27 @@ def _(s: Shop):
 @query(
     "met14_top_categories",
     GOLD
-    + """SELECT product_category_name_english, round(revenue, 2) AS revenue, round(share, 6) AS share
+    + """SELECT product_category_name_english, round(revenue, 4) AS revenue, round(share, 6) AS share
       FROM (SELECT product_category_name_english, sum(total_sale_amount) AS revenue,
               sum(total_sale_amount) / sum(sum(total_sale_amount)) OVER () AS share
             FROM sales_orders GROUP BY 1)
       ORDER BY revenue DESC LIMIT 15""",
 )
 def _(s: Shop):
-    return rounded(rounded(met.top_categories(s.sales, 15), 2, "revenue"), 6, "share")
+    return rounded(rounded(met.top_categories(s.sales, 15), 4, "revenue"), 6, "share")
 
 
 @query(
     "met15_freight_ratio_by_category",
     GOLD
-    + """SELECT product_category_name_english, round(sum(freight_value), 2) AS freight,
-      round(sum(price), 2) AS price, count(*) AS items, round(sum(freight_value) / sum(price), 6) AS freight_ratio
+    + """SELECT product_category_name_english, round(sum(freight_value), 4) AS freight,
+      round(sum(price), 4) AS price, count(*) AS items, round(sum(freight_value) / sum(price), 6) AS freight_ratio
       FROM sales_orders GROUP BY 1 HAVING count(*) >= 100
       ORDER BY sum(freight_value) / sum(price) DESC LIMIT 15""",
 )
 def _(s: Shop):
     top = met.freight_ratio_by_category(s.sales)
-    return rounded(rounded(top, 2, "freight", "price"), 6, "freight_ratio")
+    return rounded(rounded(top, 4, "freight", "price"), 6, "freight_ratio")
 
 
 @query(
@@ -292,12 +292,12 @@ def _(s: Shop):
 @query(
     "met17_peak_season",
     GOLD
-    + f"""SELECT {PERIOD}, round(sum(total_sale_amount), 2) AS gmv, count(DISTINCT order_id) AS orders,
+    + f"""SELECT {PERIOD}, round(sum(total_sale_amount), 4) AS gmv, count(DISTINCT order_id) AS orders,
       round(sum(total_sale_amount) / count(DISTINCT order_id), 6) AS aov
       FROM sales_orders WHERE month BETWEEN 9 AND 12 GROUP BY 1""",
 )
 def _(s: Shop):
-    return rounded(rounded(met.peak_season(s.sales), 2, "gmv"), 6, "aov")
+    return rounded(rounded(met.peak_season(s.sales), 4, "gmv"), 6, "aov")
 
 
 # --- geography ------------------------------------------------------------------------
@@ -306,24 +306,24 @@ def _(s: Shop):
 @query(
     "met18_gmv_by_state",
     GOLD
-    + """SELECT customer_state, round(sum(total_sale_amount), 2) AS gmv,
+    + """SELECT customer_state, round(sum(total_sale_amount), 4) AS gmv,
       round(sum(total_sale_amount) / sum(sum(total_sale_amount)) OVER (), 6) AS share
       FROM sales_orders GROUP BY 1""",
 )
 def _(s: Shop):
-    return rounded(rounded(met.gmv_by(s.sales, "customer_state"), 2, "gmv"), 6, "share")
+    return rounded(rounded(met.gmv_by(s.sales, "customer_state"), 4, "gmv"), 6, "share")
 
 
 @query(
     "met18_top_region",
     GOLD
-    + """SELECT customer_region, round(gmv, 2) AS gmv, round(share, 6) AS share FROM (
+    + """SELECT customer_region, round(gmv, 4) AS gmv, round(share, 6) AS share FROM (
       SELECT customer_region, sum(total_sale_amount) AS gmv,
         sum(total_sale_amount) / sum(sum(total_sale_amount)) OVER () AS share
       FROM sales_orders GROUP BY 1) ORDER BY gmv DESC LIMIT 1""",
 )
 def _(s: Shop):
-    return rounded(rounded(met.top_place(s.sales, "customer_region"), 2, "gmv"), 6, "share")
+    return rounded(rounded(met.top_place(s.sales, "customer_region"), 4, "gmv"), 6, "share")
 
 
 @query(
@@ -343,23 +343,23 @@ WEIGHTED = "sum(avg_delay_days * total_orders) / sum(total_orders)"
 @query(
     "met20_delay_by_region",
     GOLD
-    + f"""SELECT region, sum(total_orders)::BIGINT AS total_orders, round({WEIGHTED}, 6) AS avg_delay,
+    + f"""SELECT region, sum(total_orders)::BIGINT AS total_orders, round({WEIGHTED}, 9) AS avg_delay,
       CASE WHEN {WEIGHTED} < 0 THEN 'Ahead of schedule' ELSE 'Behind schedule' END AS schedule_status
       FROM geo_delivery GROUP BY 1 HAVING sum(total_orders) >= 30""",
 )
 def _(s: Shop):
-    return rounded(met.delay_by_region(s.geo), 6, "avg_delay")
+    return rounded(met.delay_by_region(s.geo), 9, "avg_delay")
 
 
 @query(
     "met21_region_month_delay",
     GOLD
     + f"""SELECT region, {PERIOD}, sum(total_orders)::BIGINT AS total_orders,
-      CASE WHEN sum(total_orders) >= 30 THEN round({WEIGHTED}, 6) END AS delay
+      CASE WHEN sum(total_orders) >= 30 THEN round({WEIGHTED}, 9) END AS delay
       FROM geo_delivery GROUP BY 1, 2""",
 )
 def _(s: Shop):
-    return rounded(met.region_month_delay(s.geo), 6, "delay")
+    return rounded(met.region_month_delay(s.geo), 9, "delay")
 
 
 MATRIX_MONTHS = ("2000-01", "2000-02", "2000-03")
@@ -371,14 +371,14 @@ MATRIX_MONTHS = ("2000-01", "2000-02", "2000-03")
     + "SELECT region, "
     + ", ".join(
         f"""CASE WHEN sum(total_orders) FILTER (p = '{m}') >= 30 THEN round(
-          sum(avg_delay_days * total_orders) FILTER (p = '{m}') / sum(total_orders) FILTER (p = '{m}'), 6)
+          sum(avg_delay_days * total_orders) FILTER (p = '{m}') / sum(total_orders) FILTER (p = '{m}'), 9)
           END AS "{m}" """
         for m in MATRIX_MONTHS
     )
     + " FROM (SELECT *, printf('%04d-%02d', year, month) AS p FROM geo_delivery) GROUP BY 1",
 )
 def _(s: Shop):
-    return rounded(met.region_month_matrix(s.geo, MATRIX_MONTHS), 6, *MATRIX_MONTHS)
+    return rounded(met.region_month_matrix(s.geo, MATRIX_MONTHS), 9, *MATRIX_MONTHS)
 
 
 @query(
@@ -457,11 +457,11 @@ def _(s: Shop):
 @query(
     "met26_tier_by_region",
     SCALED
-    + """SELECT tier, seller_region, round(sum(gmv), 2) AS gmv, count(*) AS sellers FROM tiered
+    + """SELECT tier, seller_region, round(sum(gmv), 4) AS gmv, count(*) AS sellers FROM tiered
       WHERE order_count >= 10 GROUP BY ROLLUP (tier, seller_region)""",
 )
 def _(s: Shop):
-    return rounded(met.tier_by_region(scaled_sellers(s)), 2, "gmv")
+    return rounded(met.tier_by_region(scaled_sellers(s)), 4, "gmv")
 
 
 @query(
