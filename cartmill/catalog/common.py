@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartmill.session import scratch_root
+from cartmill.session import WRITTEN, scratch_root
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -20,4 +20,7 @@ def longs(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder in the scratch area, removed by ``clear_scratch``."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    WRITTEN.append(path)
+    return path

@@ -61,6 +61,16 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, field: str)
     return rows_without_parent(child, parent, column, field)
 
 
+def orphan_keys(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
+    """Keys without parent and how many child rows hold them; condense with ORPHAN_ROWS.
+
+    Rows are counted per key before the join, so only distinct keys are shuffled and a
+    frequent key is one row.
+    """
+    counted = child.groupBy(column).agg(F.count("*").alias("n_records"))
+    return rows_without_parent(counted, parent, column, field)
+
+
 def relationships_where(
     child: DataFrame,
     column: str,
@@ -113,6 +123,7 @@ def _paired_counts(df: DataFrame, other: DataFrame, by: Sequence[str], names: tu
     return a.join(b, condition, "full")
 
 
+ORPHAN_ROWS = "sum(n_records)"
 EQUAL_ROWCOUNT_FAILURES = "sum(coalesce(diff_count, 0))"
 FEWER_ROWS_FAILURES = "sum(coalesce(row_count_delta, 0))"
 EQUALITY_FAILURES = (

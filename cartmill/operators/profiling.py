@@ -133,7 +133,8 @@ def missing_keys(pairs: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) ->
     """Per named pair, how many distinct keys of the first table the second lacks."""
     out = None
     for name, (left, left_key, right, right_key) in pairs.items():
-        lost = rows_without_parent(left, right, left_key, right_key).select(F.col(left_key).alias("k")).distinct()
+        # distinct keys first, so that frequent keys reach the join once
+        lost = rows_without_parent(left.select(left_key).distinct(), right, left_key, right_key)
         part = lost.agg(F.count("*").alias("missing_keys")).select(F.lit(name).alias("pair"), "missing_keys")
         out = part if out is None else out.unionByName(part)
     return out
@@ -151,8 +152,8 @@ def itemless_orders(orders: DataFrame, items: DataFrame, reviews: DataFrame) ->
 
 def values_missing_from(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
     """Distinct non-blank values the other table does not list."""
-    used = df.filter(F.trim(column) != "")
-    return rows_without_parent(used, other, column, other_column).select(column).distinct()
+    used = df.filter(F.trim(column) != "").select(column).distinct()
+    return rows_without_parent(used, other, column, other_column)
 
 
 # Least filled share per column.

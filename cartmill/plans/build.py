@@ -57,7 +57,11 @@ def unique_key(*columns: str) -> Check:
 
 
 def references(column: str, parent: DataFrame, field: str) -> Check:
-    return FrameCheck(f"relationships_{column}", lambda df: C.relationships(df, column, parent, field))
+    return FrameCheck(
+        f"relationships_{column}",
+        lambda df: C.orphan_keys(df, column, parent, field),
+        F.expr(C.ORPHAN_ROWS),
+    )
 
 
 def row_count(bounds: tuple[int, int]) -> Check:

@@ -48,6 +48,8 @@ def test_relationships(spark):
     child, parent = table(spark, "id int", (1,), (2,), (None,), (3,)), table(spark, "id int, ok boolean", (1, True), (2, False))
     assert rows(C.relationships(child, "id", parent, "id")) == [(3,)]
     assert empty(C.relationships(child.filter("id < 3"), "id", parent, "id"))
+    orphans = C.orphan_keys(child.union(child), "id", parent, "id")
+    assert rows(orphans) == [(3, 2)] and orphans.agg(F.expr(C.ORPHAN_ROWS)).first()[0] == 2
     assert rows(C.relationships_where(child, "id", parent, "id", "id <> 3", "ok")) == [(2,)]
     assert empty(C.relationships_where(child, "id", parent, "id", "id <> 3"))
 
