@@ -173,7 +173,7 @@ def _(s: Shop):
 
 # --- scalars --------------------------------------------------------------------------
 
-NULL_KEY = "'_dbt_utils_surrogate_key_null_'"
+NULL_KEY = f"'{sc.SURROGATE_NULL}'"
 
 
 @query(
