@@ -23,7 +23,7 @@ def one(spark, column):
 def test_surrogate_key(spark):
     key = scalars.surrogate_key("a", "b", "c")
     got = values(spark, "a string, b string, c string", [("a", "b", "c"), ("a", None, "c"), ("", "b", "c")], key)
-    # digests published with the key definition
+    # md5 of the joined texts, the placeholder standing for NULL
     want = [
         "7b193b3d33184464106f41ddf733783b",
         "4f32a73dc87b7bbb7a654d8898d58c7e",
