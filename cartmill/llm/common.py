@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,7 @@ def query(name: str, sql: str | None = None):
 
     def register(build: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
             return build(apply_semantics(spark), sf_dir)
 
         QUERIES[name] = run
@@ -31,6 +34,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it; a cluster may ship it with --py-files."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(p for p in (root, paths) if p)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

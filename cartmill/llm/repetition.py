@@ -29,11 +29,13 @@ _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 @dataclass(frozen=True)
 class RepetitionLimits:
-    """Largest accepted percentages of word characters, by n-gram length and for lines, and the base rules."""
+    """Largest accepted percentages of word characters, by n-gram length and for lines, and the base rules.
 
-    ngrams: dict[int, int] = field(default_factory=lambda: {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10})
-    line_chars: int = 20
-    lines: int = 30
+    Shares are of characters only: a short text that repeats one of its few lines is not yet repetitive.
+    """
+
+    ngrams: dict[int, int] = field(default_factory=lambda: {5: 25, 6: 24, 7: 23, 8: 22, 9: 21, 10: 20})
+    line_chars: int = 25
     min_words: int = 50
     max_repeat_percent: int = 50
 
@@ -95,12 +97,11 @@ def measure(text: str | None, limits: RepetitionLimits) -> tuple:
     ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), dtype=np.int64, count=n)
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=n)
     word_chars = int(sizes.sum())
-    n_lines = dup_lines = dup_line_chars = 0
+    dup_lines = dup_line_chars = 0
     seen: set[str] = set()
     for line in text.split("\n"):
         if WORD.search(line) is None:
             continue
-        n_lines += 1
         if line in seen:
             dup_lines += 1
             dup_line_chars += sum(map(len, WORD.findall(line)))
@@ -117,7 +118,6 @@ def measure(text: str | None, limits: RepetitionLimits) -> tuple:
     base_failed = n < limits.min_words or 100 * repeat_words > limits.max_repeat_percent * n
     kept = not base_failed and not (
         100 * dup_line_chars > limits.line_chars * word_chars
-        or 100 * dup_lines > limits.lines * n_lines
         or any(100 * dup_chars[k] > share * word_chars for k, share in limits.ngrams.items())
     )
     symbols = len(SYMBOLS.findall(text))
