@@ -5,11 +5,11 @@ from __future__ import annotations
 import hashlib
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartmill.llm import bpe, repetition
+from cartmill.llm import bpe, decontamination, pii, repetition
 from cartmill.llm.common import query, table
 
 _BPE_FIELDS = [
@@ -64,6 +64,62 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base"""
 
 
+_LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CONTAMINATION_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all({_LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (SELECT item_id, ws, least(10, len(ws)) AS size FROM (
+  SELECT item_id, regexp_extract_all({_LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark)),
+w AS (SELECT DISTINCT item_id, size, array_to_string(ws[pos : pos + size - 1], ' ') AS phrase FROM (
+  SELECT item_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS pos FROM i WHERE size > 0)),
+grams AS (SELECT r, size, pos, array_to_string(ws[pos : pos + size - 1], ' ') AS phrase FROM (
+  SELECT r, ws, size, unnest(range(1, len(ws) - size + 2)) AS pos
+  FROM d, (SELECT DISTINCT size FROM w) WHERE len(ws) >= size)),
+hits AS (SELECT r, pos, size, item_id FROM grams JOIN w USING (size, phrase)),
+n_hit AS (SELECT r, count(DISTINCT pos) AS n FROM (SELECT r, unnest(range(pos, pos + size)) AS pos FROM hits) GROUP BY r),
+ids AS (SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS list
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM hits) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit.n, 0)::BIGINT AS n_hit, coalesce(ids.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids.list, '')) AS items_sha256, coalesce(n_hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN n_hit USING (r) LEFT JOIN ids USING (r)"""
+
+
+@query("op1_benchmark_decontamination", _CONTAMINATION_SQL)
+def _contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def _listed(spans: Column) -> Column:
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+
+@query("op5_personal_data")
+def _personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter(spans, lambda s: s["kind"] != pii.TERM)
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(_listed(base), 256).alias("base_sha256"),
+        _listed(spans).alias("spans"),
+    )
+
+
 _LIMITS = repetition.RepetitionLimits()
 
 
