@@ -73,6 +73,10 @@ class RankTable:
         self.table = b"".join(table.get(i, empty) for i in range(1 << self.bits))
         self.none = b"\xff" * self.width
         self.bytes = [pack(ranks[bytes([b])]) for b in range(256)]
+        # ranks of the pairs of single bytes, directly by their codes
+        self.byte_pairs = b"".join(
+            pack(ranks[t]) if (t := bytes((a, b))) in ranks else self.none for a in range(256) for b in range(256)
+        )
 
     def pack(self, number: int) -> bytes:
         return number.to_bytes(self.width, "big")
@@ -97,84 +101,111 @@ class RankTable:
         return table
 
     def fold(self, words: Column) -> Column:
-        """Array of words, each a string of Latin-1 characters standing for bytes, to array of ids in hex."""
+        """Array of words, each a string of Latin-1 characters standing for bytes, to array of ids in hex.
+
+        A word is an array with an entry for each neighbouring pair, a mark standing before the first part and after
+        the last: rank, offset of the left part, left id, right id. The smallest entry is thus the leftmost pair of
+        the lowest rank; merging it replaces three entries by two.
+        """
         w, mask, bits = self.width, (1 << self.bits) - 1, self.bits
-        none = F.lit(self.none)
+        none, one_id, two_ids, size = F.lit(self.none), F.lit(w), F.lit(2 * w), 3 * w
+        left, right = F.lit(w + 3), F.lit(2 * w + 3)
 
         def let(value: Column, body) -> Column:
             return F.transform(F.array(value), body)[0]
 
-        def rank(table: Column):
-            def look(key: Column) -> Column:
+        def entry(table: Column):
+            """Put the rank before offset, left id and right id."""
+
+            def ranked(pair: Column) -> Column:
+                key = F.substring(pair, F.lit(3), two_ids)
+
                 def at(place: Column) -> Column:
-                    return (place * (3 * w) + 1).cast("int")
-
-                first = at(F.crc32(key).bitwiseAND(F.lit(mask)))
-                second = at(F.shiftright(F.crc32(key), 32 - bits).bitwiseAND(F.lit(mask)))
-                pair, value = F.lit(2 * w), F.lit(w)
-                return (
-                    F.when(F.substring(table, first, pair) == key, F.substring(table, first + 2 * w, value))
-                    .when(F.substring(table, second, pair) == key, F.substring(table, second + 2 * w, value))
-                    .otherwise(none)
-                )
+                    return (place * size + 1).cast("int")
+
+                def look(first: Column, second: Column) -> Column:
+                    # a pair stands in its second place only if its first is taken
+                    return (
+                        F.when(F.substring(table, first + 2 * w, one_id) == none, none)
+                        .when(F.substring(table, first, two_ids) == key, F.substring(table, first + 2 * w, one_id))
+                        .when(F.substring(table, second, two_ids) == key, F.substring(table, second + 2 * w, one_id))
+                        .otherwise(none)
+                    )
+
+                hashed = F.crc32(key)
+                first = at(hashed.bitwiseAND(F.lit(mask)))
+                second = at(F.shiftright(hashed, 32 - bits).bitwiseAND(F.lit(mask)))
+                return F.concat(look(first, second), pair)
 
-            return look
+            return ranked
 
         def merge(table: Column):
-            def step(acc: Column, _: Column) -> Column:
-                ids, ranks = acc["ids"], acc["ranks"]
-
-                def at_best(best: Column) -> Column:
-                    m, p = best["m"], best["p"]
-                    n = F.size(ids)
-                    pairs = F.concat(
-                        F.when(p > 1, F.array(F.concat(F.get(ids, p - 2), m))).otherwise(F.array().cast("array<binary>")),
-                        F.when(p + 1 < n, F.array(F.concat(m, F.get(ids, p + 1)))).otherwise(F.array().cast("array<binary>")),
+            ranked = entry(table)
+
+            def step(entries: Column, _: Column) -> Column:
+                def at(best: Column) -> Column:
+                    merged = F.substring(best, F.lit(1), one_id)
+
+                    def replaced(before: Column, after: Column) -> Column:
+                        left_pair = F.concat(F.substring(before, F.lit(w + 1), F.lit(2 + w)), merged)
+                        right_pair = F.concat(F.substring(best, F.lit(w + 1), F.lit(2)), merged, F.substring(after, right, one_id))
+                        # cheaper than cutting the array: drop the merged entry, then replace its neighbours
+                        return F.transform(
+                            F.array_remove(entries, best),
+                            lambda x: F.when(x == before, ranked(left_pair)).when(x == after, ranked(right_pair)).otherwise(x),
+                        )
+
+                    def around(p: Column) -> Column:
+                        return let(F.get(entries, p - 2), lambda l: let(F.get(entries, p), lambda r: replaced(l, r)))
+
+                    return F.when(merged == none, entries).otherwise(
+                        let(F.array_position(entries, best).cast("int"), around)
                     )
-                    return F.struct(
-                        F.concat(F.slice(ids, F.lit(1), p - 1), F.array(m), F.slice(ids, p + 2, n)).alias("ids"),
-                        F.concat(
-                            F.slice(ranks, F.lit(1), F.greatest(p - 2, F.lit(0))),
-                            F.transform(pairs, rank(table)),
-                            F.slice(ranks, p + 2, n),
-                        ).alias("ranks"),
-                    )
-
-                def go(m: Column) -> Column:
-                    best = F.struct(m.alias("m"), F.array_position(ranks, m).cast("int").alias("p"))
-                    return F.when(m.isNull() | (m == none), acc).otherwise(let(best, at_best))
 
-                return let(F.array_min(ranks), go)
+                return let(F.array_min(entries), at)
 
             return step
 
-        singles = F.split(F.lit(",".join(b.hex() for b in self.bytes)), ",")
-
-        def encode(table: Column, first: Column):
+        def encode(known: Column):
             def one(word: Column) -> Column:
-                ids = F.transform(F.split(word, ""), lambda c: F.get(first, F.ascii(c)))
-
-                def run(parts: Column) -> Column:
-                    ranks = F.transform(
-                        F.zip_with(F.slice(parts, F.lit(1), F.size(parts) - 1), F.slice(parts, F.lit(2), F.size(parts)), lambda a, b: F.concat(a, b)),
-                        rank(table),
-                    )
-                    start = F.struct(parts.alias("ids"), ranks.alias("ranks"))
-                    return F.aggregate(
-                        F.slice(parts, F.lit(2), F.size(parts)),
-                        start,
-                        merge(table),
-                        lambda acc: F.array_join(F.transform(acc["ids"], lambda x: F.hex(x)), ""),
+                def run(codes: Column) -> Column:
+                    n = F.size(codes)
+
+                    def pair(i: Column) -> Column:
+                        a, b = F.get(codes, i - 1), F.get(codes, i)  # null beyond the ends
+                        return F.concat(
+                            F.coalesce(F.substring(known["bytes"], (a * 256 + b) * w + 1, one_id), none),
+                            F.get(known["offset"], i),
+                            F.coalesce(F.get(known["single"], a), none),
+                            F.coalesce(F.get(known["single"], b), none),
+                        )
+
+                    ids = F.aggregate(
+                        codes,
+                        F.transform(F.sequence(F.lit(0), n), pair),
+                        merge(known["table"]),
+                        lambda e: F.array_join(F.transform(e, lambda x: F.hex(F.substring(x, left, one_id))), ""),
                     )
+                    return F.substring(ids, F.lit(2 * w + 1), F.length(ids))  # without the mark in front
 
-                return let(ids, run)
+                return let(F.transform(F.split(word, ""), lambda c: F.ascii(c)), run)
 
             return one
 
         # the literals are bound once by an outer lambda, so the plan holds each a single time
-        first = F.transform(singles, lambda h: F.unhex(h))
-        bound = F.array(F.struct(F.lit(self.table).alias("table"), first.alias("first")))
-        return F.transform(bound, lambda b: let(b["table"], lambda t: let(b["first"], lambda f: F.transform(words, encode(t, f)))))[0]
+        known = F.struct(
+            F.lit(self.table).alias("table"),
+            F.lit(self.byte_pairs).alias("bytes"),
+            _binaries(self.bytes).alias("single"),
+            # an offset of two bytes is what LONG_BYTES has to fit
+            _binaries([i.to_bytes(2, "big") for i in range(LONG_BYTES + 1)]).alias("offset"),
+        )
+        return F.transform(F.array(known), lambda k: F.transform(words, encode(k)))[0]
+
+
+def _binaries(values: list[bytes]) -> Column:
+    """A constant array, folded by the optimizer."""
+    return F.transform(F.split(F.lit(",".join(v.hex() for v in values)), ","), lambda h: F.unhex(h))
 
 
 def merge_long(ranks: dict[bytes, int], word: bytes) -> list[int]:
@@ -343,7 +374,7 @@ def encode_documents(
     def gather(batches):
         words = _words(mark, known, pattern)
         for b in batches:
-            for part in _slices(b, at):
+            for part in common.slices(b, at):
                 rest = [w.decode("latin-1") for w in words.missing(part.column(at).to_pylist())]
                 struct_type = target.field(0).type.value_type
                 rows = pa.StructArray.from_arrays(
@@ -390,19 +421,6 @@ def _pieces(key: int, words: _Words) -> list[bytes]:
     return _PIECES[key]
 
 
-def _slices(batch: pa.RecordBatch, at: int, most: int = 4 << 20):
-    """A batch in parts of about ``most`` bytes of text."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
-    start = held = 0
-    for i, size in enumerate(sizes):
-        if held and held + size > most:
-            yield batch.slice(start, i - start)
-            start, held = i, 0
-        held += int(size)
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def decode(ids: bytes, pieces: list[bytes]) -> bytes:
     """The pieces of little-endian 32-bit ids, one after the other."""
     return b"".join(map(pieces.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,3 +104,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def doc_rows(df: DataFrame, id_col: str, *columns: str) -> DataFrame:
     """Only the identifier and the columns asked for, in this order, whatever else the table has."""
     return df.select(*[F.col(f"`{field(df, c).name}`") for c in (id_col, *columns)])
+
+
+def slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20):
+    """A batch in parts of about ``most`` bytes of one text column."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += int(size)
+    if start < batch.num_rows:
+        yield batch.slice(start)

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartmill.llm import bpe, decontamination, pii, repetition
-from cartmill.llm.common import query, table
+from cartmill.llm import bpe, decontamination, pii, repetition, token_store
+from cartmill.llm.common import query, schema_of, table
 
 _BPE_FIELDS = [
     T.StructField("n_tokens", T.LongType()),
@@ -142,3 +143,20 @@ def _byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, finish=finish, fields=_BPE_FIELDS
     )
     return encoded.drop("text")
+
+
+_END_ID = 1
+
+
+@query("op9_token_ids")
+def _token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    folder = token_store.new_folder(docs, "token-ids")
+    manifest = token_store.write_token_ids(docs, folder, public_tokenizers.path("word_bpe_49k.json"), _END_ID)
+
+    def finish(key, start: int, ids) -> tuple:
+        return key, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())
+
+    long = T.LongType()
+    schema = schema_of(("doc_id", long), ("start", long), ("n_tokens", long), ("ids_crc32", long))
+    return token_store.read_token_ids(manifest, folder, finish, schema)
