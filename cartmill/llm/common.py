@@ -93,10 +93,15 @@ def schema_of(*fields: T.StructField | tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([f if isinstance(f, T.StructField) else T.StructField(*f) for f in fields])
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back: lost executors cost nothing later."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartmill.llm import bpe, decontamination, pii, repetition, token_store
-from cartmill.llm.common import query, schema_of, table
+from cartmill.llm.common import new_folder, query, schema_of, table
 
 _BPE_FIELDS = [
     T.StructField("n_tokens", T.LongType()),
@@ -151,8 +151,8 @@ _END_ID = 1
 @query("op9_token_ids")
 def _token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    folder = token_store.new_folder(docs, "token-ids")
-    manifest = token_store.write_token_ids(docs, folder, public_tokenizers.path("word_bpe_49k.json"), _END_ID)
+    folder = new_folder(spark, "token-ids")
+    manifest = token_store.write_token_ids(docs, folder, public_tokenizers.path("word_bpe_49k.json"), _END_ID, words=token_store.lower_case_words)
 
     def finish(key, start: int, ids) -> tuple:
         return key, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())

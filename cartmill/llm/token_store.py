@@ -15,22 +15,22 @@ text; rows with a null id come first; an empty table gives no shard.
 from __future__ import annotations
 
 import os
+import re
 import struct
-import uuid
 import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartmill.llm import common, files
-from cartmill.session import scratch_root
 
 SHARD_IDS = 4 << 20
-_CACHED_UNITS = 400_000
+_CACHED_UNITS = 800_000
 _MAGIC = b"EFIDS\x00\x00\x01"
 # version, bytes of an id, rows with a null id, documents, ids, smallest document id
 _HEADER = struct.Struct("<8sIIQQq")
@@ -145,39 +145,85 @@ class Shard:
 
 
 @lru_cache(maxsize=1)
-def _encoder(path: str, end_id: int):
+def _encoder(path: str, end_id: int, words) -> _UnitEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return _UnitEncoder(Tokenizer.from_file(path), end_id)
+    return _UnitEncoder(Tokenizer.from_file(path), end_id, words)
 
 
-class _UnitEncoder:
-    """Encodes white-space separated units once each; the tokenizer must drop ASCII white space between words."""
+class _UnitEncoder(dict):
+    """Packed ids of white-space separated units, each encoded when first met.
 
-    def __init__(self, tokenizer, end_id: int):
-        self.tokenizer = tokenizer
+    The tokenizer must drop ASCII white space between words. ``words`` may divide a unit into the words that the
+    tokenizer would form, as its model sees them, or return None where it cannot tell.
+    """
+
+    def __init__(self, tokenizer, end_id: int, words=None):
+        super().__init__()
+        self.tokenizer, self.model, self.words = tokenizer, tokenizer.model, words
         self.id_bytes = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.end = end_id.to_bytes(self.id_bytes, "little")
-        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.id_bytes == 2 else 'I'}", *ids)
+
+    def _part(self, word: str) -> bytes:
+        found = self.parts.get(word)
+        if found is None:
+            found = self.parts[word] = self._pack([t.id for t in self.model.tokenize(word)])
+        return found
+
+    def __missing__(self, unit: str) -> bytes:
+        words = self.words(unit) if self.words else None
+        if words is None:
+            found = self._pack(self.tokenizer.encode(unit, add_special_tokens=False).ids)
+        else:
+            found = self._part(words[0]) if len(words) == 1 else b"".join(map(self._part, words))
+        self[unit] = found
+        return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        units = [_split(t) for t in texts]
-        if len(self.known) >= _CACHED_UNITS:
-            self.known.clear()
-        fresh = list(set().union(*units).difference(self.known))
-        for unit, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.known[unit] = np.array(found.ids, dtype=f"<u{self.id_bytes}").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, u)) + self.end for u in units]
+        for cache in (self, self.parts):
+            if len(cache) >= _CACHED_UNITS:
+                cache.clear()
+        return [b"".join(map(self.__getitem__, _split(t))) + self.end for t in texts]
+
+
+# How the lower-casing vocabulary divides text into words
+_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+# printable characters that no normal form changes and whose lower case does not depend on their neighbours
+_PLAIN = re.compile(r"[!-~\xa1-\u012f]+")
+# byte-level vocabularies write bytes that are no printable Latin-1 characters as the characters from U+0100 on
+_PRINTED = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
+_LEVEL = {b: chr(b) for b in _PRINTED} | {
+    b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_PRINTED))
+}
+
 
+def lower_case_words(unit: str) -> list[str] | None:
+    """Words of a unit as a byte-level vocabulary with lower-casing and ``_WORD`` has them; None if it is not plain."""
+    if not unit.isascii():
+        if not _PLAIN.fullmatch(unit) or "<|" in unit:
+            return None
+        words = [unit.lower()] if unit.isalpha() else _WORD.findall(unit.lower())
+        return [w.encode().decode("latin-1").translate(_LEVEL) for w in words]
+    if unit.isalpha():
+        return [unit.lower()]
+    return _WORD.findall(unit.lower()) if unit.isprintable() and "<|" not in unit else None
 
-_ASCII_SPACE = str.maketrans(dict.fromkeys("\t\n\r\x0b\x0c", " "))
+
+_ASCII_SPACE = re.compile("[\t-\r ]+")
 
 
 def _split(text: str | None) -> list[str]:
-    """Units between ASCII white space."""
-    return [u for u in text.translate(_ASCII_SPACE).split(" ") if u] if text else []
+    """Units between white space; the separators U+001C to U+001F are none to tokenizers."""
+    if not text:
+        return []
+    if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+        return [u for u in _ASCII_SPACE.split(text) if u]
+    return text.split()
 
 
 def write_token_ids(
@@ -188,6 +234,7 @@ def write_token_ids(
     id_col: str = "doc_id",
     text_col: str = "text",
     shard_ids: int = SHARD_IDS,
+    words=None,
 ) -> DataFrame:
     """Write the shards and return the manifest: part, seq, name, n_docs, n_ids; reading order is (part, seq)."""
     schema = common.schema_of(
@@ -199,7 +246,7 @@ def write_token_ids(
         from pyspark import TaskContext
 
         part, attempt, seq = TaskContext.get().partitionId(), files.attempt_name(), 0
-        encoder = _encoder(tokenizer_path, end_id)
+        encoder = _encoder(tokenizer_path, end_id, words)
         keys, ends, ids, total = [], [], [], 0
 
         def flush():
@@ -245,9 +292,5 @@ def read_token_ids(manifest: DataFrame, folder: str, finish, schema: T.StructTyp
             for key, start, ids in shard:
                 yield finish(key, base + start, ids)
 
-    spread = shards.repartition(F.col("name"))
+    spread = shards.repartition(max(1, manifest.count()), F.col("name"))  # else the few names are read by one task
     return common.arrow_map(spread, rows, schema)
-
-
-def new_folder(docs: DataFrame, name: str) -> str:
-    return f"{scratch_root(docs.sparkSession)}/{name}-{uuid.uuid4().hex}"
