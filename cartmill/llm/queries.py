@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartmill.llm import bpe, decontamination, pii, repetition, token_store
+from cartmill.llm import bpe, decontamination, pii, repetition, simhash, token_store, warc
 from cartmill.llm.common import new_folder, query, schema_of, table
 
 _BPE_FIELDS = [
@@ -160,3 +160,35 @@ def _token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = T.LongType()
     schema = schema_of(("doc_id", long), ("start", long), ("n_tokens", long), ("ids_crc32", long))
     return token_store.read_token_ids(manifest, folder, finish, schema)
+
+
+def _warc_sql() -> str:
+    """SHA-1 in base32: five hex digits are four base32 digits."""
+    digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    parts = []
+    for i in range(8):
+        number = f"('0x' || substr(hex, {5 * i + 1}, 5))::BIGINT"
+        parts += [f"substr('{digits}', (({number} >> {shift}) & 31)::BIGINT + 1, 1)" for shift in (15, 10, 5, 0)]
+    return f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM p)
+SELECT page_id, payload_bytes, {" || ".join(parts)} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM g"""
+
+
+@query("op4_warc_archive", _warc_sql())
+def _warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = new_folder(spark, "warc")
+    read = warc.read_archive(warc.write_archive(pages, folder), folder)
+    return read.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SIMHASH = {"shingle": 3, "max_bits": 2}
+
+
+@query("op6_simhash_near_duplicates")
+def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), **SIMHASH)
