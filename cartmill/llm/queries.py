@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartmill.llm import bpe, decontamination, pii, repetition, simhash, token_store, warc
+from cartmill.llm import bpe, decontamination, pii, repetition, simhash, token_store, toxicity, warc
 from cartmill.llm.common import new_folder, query, schema_of, table
 
 _BPE_FIELDS = [
@@ -192,3 +192,16 @@ SIMHASH = {"shingle": 3, "max_bits": 2}
 @query("op6_simhash_near_duplicates")
 def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), **SIMHASH)
+
+
+@query("op8_toxicity")
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.add_scores(docs, network)
+    return scored.select(
+        "doc_id",
+        F.coalesce(toxicity.fold_of(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
