@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartmill.llm import bpe, decontamination, pii, repetition, simhash, token_store, toxicity, warc
+from cartmill.llm import bpe, decontamination, extraction, pii, repetition, simhash, token_store, toxicity, warc
 from cartmill.llm.common import new_folder, query, schema_of, table
 
 _BPE_FIELDS = [
@@ -205,3 +205,8 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query("op2_html_extraction")
+def _html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_text(table(spark, sf_dir, "pages"))
