@@ -176,11 +176,17 @@ def items(page: str) -> list[Item]:
     return out
 
 
+_HEADING = re.compile("h[1-6]")
+
+
 def _feature(item: Item) -> tuple[str, int]:
     """What an item counts as, and how many times."""
     if item.kind == "text":
         return ("link words" if item.link else "words"), len(item.text.split())
-    return f"<{item.kind}>", 1
+    return ("<heading>" if _HEADING.fullmatch(item.kind) else f"<{item.kind}>"), 1
+
+
+_TAG, _NEVER = 1.0, -40.0  # score of a tag seen outside only by way of exception, and of one never seen inside
 
 
 @lru_cache(maxsize=1)
@@ -201,7 +207,7 @@ def weights() -> dict[str, float]:
     for feature in inside | outside:
         share = (inside[feature] + 0.5) / (inside[feature] + outside[feature] + 1)
         if feature.startswith("<"):
-            out[feature] = -40.0 if not inside[feature] else -2 * (1 - share)
+            out[feature] = _NEVER if not inside[feature] else -_TAG * (1 - share)
         else:
             out[feature] = share
     return out

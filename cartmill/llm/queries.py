@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartmill.llm import bpe, decontamination, extraction, pii, repetition, simhash, token_store, toxicity, warc
+from cartmill.llm import bpe, decontamination, extraction, pii, repetition, simhash, substrings, token_store, toxicity, warc
 from cartmill.llm.common import new_folder, query, schema_of, table
 
 _BPE_FIELDS = [
@@ -210,3 +210,32 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_html_extraction")
 def _html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract_text(table(spark, sf_dir, "pages"))
+
+
+_REPEATS_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+h AS (SELECT doc_id, n, hex(b) AS x FROM d),
+w AS (SELECT doc_id, p, md5(substr(x, 2 * p + 1, 200)) AS k FROM (SELECT doc_id, x, unnest(range(0, n - 99)) AS p FROM h WHERE n >= 100)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS nth FROM w) WHERE nth > 1),
+g AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS opens FROM r),
+s AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS e FROM (
+  SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g) GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, e, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS from_ FROM s),
+t AS (SELECT h.doc_id, sum(e - a) AS removed, count(*) AS spans,
+  string_agg(substr(x, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) || substr(any_value(x), 2 * max(e) + 1) AS kept
+  FROM k JOIN h USING (doc_id) GROUP BY h.doc_id)
+SELECT h.doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM h LEFT JOIN t USING (doc_id)"""
+
+
+@query("op3_repeated_strings", _REPEATS_SQL)
+def _repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
