@@ -208,3 +208,16 @@ def remove_contamination(
             yield (*row[:at], text, *row[at + 1 : -1])
 
     return common.arrow_map(found, rows, docs.schema)
+
+
+def drop_contaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = 10,
+) -> DataFrame:
+    """The rows of ``docs`` without a word inside an item window."""
+    windows = item_windows(items, window, item_id, item_text)
+    return _with_hits(docs, text_col, windows).filter(F.size(HITS) == 0).drop(HITS)
