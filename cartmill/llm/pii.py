@@ -4,8 +4,8 @@ Base patterns find e-mail addresses, IP addresses, card and phone numbers. Aroun
 terms. Co-occurrence over the whole corpus says how much a term t reveals a value c: with n(c) and n(t) the number of
 texts having either and n(t, c) those having t in the context of c, disclosure is PMI(t; c) / IC(c), where
 IC(c) = log2(N / n(c)) is all there is to learn about c. A term whose disclosure reaches ``threshold`` in at least
-``min_support`` different contexts is generalised to a placeholder wherever it stands in the context of that value.
-Copies of a passage are one context, so that copying alone convicts no term.
+``min_support`` different contexts and as many texts is generalised to a placeholder wherever it stands in the context
+of that value. Copies of a passage are one context, so that copying alone convicts no term, and neither does one text.
 
 Texts are searched by a map; what is shuffled are counts, combined in each task first, keyed by (value, term) or by
 term, so that a value or term standing in a third of all texts costs each task one row.
@@ -41,7 +41,7 @@ _DIGITS = re.compile(r"[^0-9]+")
 
 @dataclass(frozen=True)
 class Disclosure:
-    """When a term counts as revealing: share of IC, contexts needed, words looked at on either side."""
+    """When a term counts as revealing: share of IC, contexts and texts needed, words looked at on either side."""
 
     threshold: float = 0.9
     min_support: int = 3
@@ -199,7 +199,7 @@ def disclosing_terms(
         .filter(F.col("support") >= rules.min_support)
     )
     texts = contexts.groupBy("value", "term", "text_key").agg(F.lit(1).alias("one"))
-    joint = texts.groupBy("value", "term").agg(F.count("*").alias("n_joint"))
+    joint = texts.groupBy("value", "term").agg(F.count("*").alias("n_joint")).filter(F.col("n_joint") >= rules.min_support)
     values = (
         contexts.groupBy("value", "text_key").agg(F.lit(1).alias("one")).groupBy("value").agg(F.count("*").alias("n_value"))
     )
