@@ -69,7 +69,7 @@ def _(s: Shop):
     "SELECT unnest(generate_series(1, n))::BIGINT AS generated_number FROM (SELECT count(*) AS n FROM customer)",
 )
 def _(s: Shop):
-    return rel.generate_series(s.spark, s.customer.count())
+    return rel.numbers_up_to(s.customer.agg(F.count("*").alias("n")), "n", "generated_number")
 
 
 # --- selection and shape --------------------------------------------------------------

@@ -102,8 +102,8 @@ def _(s: Shop):
 )
 def _(s: Shop):
     facts = s.stored_star
-    extracts = (gold.sales_orders, gold.satisfaction_summary, gold.geo_delivery, gold.customer_rfm)
-    kpis = met.headline_kpis(*[extract(facts, WINDOW, s.regions) for extract in extracts])
+    extracts = (gold.sales_orders, gold.satisfaction_summary, gold.geo_delivery)
+    kpis = met.headline_kpis(*[extract(facts, WINDOW, s.regions) for extract in extracts], gold.customer_totals(facts, WINDOW))
     return rounded(rounded(rounded(kpis, 4, "gmv"), 6, "aov"), 6, "on_time_rate", "nps", "repeat_rate")
 
 

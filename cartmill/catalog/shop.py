@@ -17,9 +17,7 @@ from cartmill.plans import gold, star
 from cartmill.plans.staging import LAT_RANGE, LNG_RANGE
 from cartmill.session import materialize
 
-WINDOW = gold.Window(
-    start="2000-01-01", end="2001-08-31", reference="2001-08-31", history_start="2001-01-01"
-)
+WINDOW = gold.Window(start="2000-01-01", end="2001-08-31", reference="2001-08-31")
 CALENDAR = ("1995-01-01", "2002-01-01")
 
 
@@ -198,8 +196,8 @@ class Shop:
 
     @cached_property
     def stored_star(self) -> dict[str, DataFrame]:
-        """The star schema with the window's sales written once, for queries reading them often."""
-        return {**self.star, "fct_sales": materialize(gold.in_window(self.star["fct_sales"], WINDOW))}
+        """The star schema with the sales written once, for queries reading them often."""
+        return {**self.star, "fct_sales": materialize(self.star["fct_sales"])}
 
     @cached_property
     def sales(self) -> DataFrame:

@@ -149,7 +149,7 @@ rfm_base AS (
          date_diff('day', max(date_key), DATE '2001-08-31') AS recency_days,
          count(DISTINCT order_id) AS frequency, sum(total_sale_amount) AS monetary_value
   FROM fct_sales s JOIN dim_customers c ON s.customer_unique_id = c.customer_unique_id
-  WHERE date_key BETWEEN DATE '2001-01-01' AND DATE '2001-08-31' GROUP BY 1, 2
+  WHERE date_key <= DATE '2001-08-31' GROUP BY 1, 2
 ),
 rfm_edges AS (
   SELECT quantile_cont(recency_days, 0.2) AS e1, quantile_cont(recency_days, 0.4) AS e2,

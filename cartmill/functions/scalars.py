@@ -31,12 +31,6 @@ def surrogate_key(*fields, treat_nulls_as_empty: bool = False) -> Column:
     return F.md5(F.concat_ws(SURROGATE_SEPARATOR, *texts))
 
 
-def null_if_empty(value) -> Column:
-    """'' becomes NULL; whitespace is kept."""
-    c = to_column(value)
-    return F.when(c != "", c)
-
-
 def blank_to_null(value) -> Column:
     """Empty or whitespace-only text becomes NULL, other text is left untouched."""
     c = to_column(value)

@@ -82,10 +82,14 @@ def concentration_summary(
     key: str,
     by: Sequence[str] = (),
     top: Sequence[int] = (4, 10),
-    rounding: str = "ceil",
+    rounding: str | Sequence[str] = "ceil",
     min_entities: int = 1,
 ) -> DataFrame:
-    """Gini, HHI, top-k shares, top-20 % share and entity count in one pass per group."""
+    """Gini, HHI, top-k shares, top-20 % share and entity count in one pass per group.
+
+    Several roundings give a column each, named after them.
+    """
+    names = {"top_20pct_share": rounding} if isinstance(rounding, str) else {f"top_20pct_share_{m}": m for m in rounding}
     v, r, n, t = F.col(value), F.col("rank"), F.col("group_rows"), F.col("group_total")
     ranked = with_rank(_usable(df, value), [v.desc(), F.col(key).asc()], by, total=value)
     # with the richest ranked first, the ascending rank is n - r + 1
@@ -99,9 +103,10 @@ def concentration_summary(
         *shares,
         (F.try_divide(F.sum(v * v), F.max(t) * F.max(t)) * 10_000).alias("hhi"),
         F.max(n).alias("n_entities"),
-        F.try_divide(
-            F.sum(F.when(r <= top_count(n, 5, rounding), v).otherwise(0.0)), F.max(t)
-        ).alias("top_20pct_share"),
+        *[
+            F.try_divide(F.sum(F.when(r <= top_count(n, 5, mode), v).otherwise(0.0)), F.max(t)).alias(name)
+            for name, mode in names.items()
+        ],
     )
     return grouped.filter(F.col("n_entities") >= min_entities)
 

@@ -3,10 +3,8 @@
 A window over a whole table, or over a group that may hold a third of it, ends up in one
 task. Here rows are range-partitioned on (group, order), sorted locally and written once
 with their position. Small per-partition totals then supply what each partition has to
-add, whatever the group sizes are.
-
-The input is written out first, so its upstream runs once; when the count of what was
-written proves it small, a plain window does the same in a single task.
+add, whatever the group sizes are. Every input takes this path, so results and plans do
+not change with its size.
 """
 
 from __future__ import annotations
@@ -16,30 +14,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartmill.session import materialize, small_side
+from cartmill.session import materialize
 
 POSITION = "_position"
 SLICE = "_slice"
-ROW = "_row"
-
-# Up to this many counted rows are sorted by one task.
-SINGLE_TASK_ROWS = 500_000
+TIE = "_tie"
 
 
-def _written(df: DataFrame) -> tuple[DataFrame, bool]:
-    """The input read back from scratch, and whether one task may hold all of it.
+def _spread(df: DataFrame, by: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
+    """Globally sorted copy; the position is increasing across the whole result.
 
-    Rows are numbered as they are written: the number settles ties, so that equal rows,
-    however many, can be cut into several ranges.
+    A hash of the row settles ties the caller's order leaves, so that a value shared by many
+    rows can be cut into several ranges. It is a pure function of the row: a task that runs
+    again sends each row where the first attempt did. Only rows equal in every column stay
+    together; they are sorted, never collected.
     """
-    rows = materialize(df.withColumn(ROW, F.monotonically_increasing_id()))
-    return rows, rows.count() <= SINGLE_TASK_ROWS
-
-
-def _spread(df: DataFrame, by: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
-    """Globally sorted copy; the position is increasing across the whole result."""
-    sort = [*[F.col(b).asc() for b in by], *order_by, F.col(ROW).asc()]
-    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort).drop(ROW)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    sort = [*[F.col(b).asc() for b in by], *order_by, F.col(TIE).asc()]
+    marked = df.withColumn(TIE, row)
+    ranged = marked.repartitionByRange(*sort).sortWithinPartitions(*sort).drop(TIE)
     placed = materialize(ranged.withColumn(POSITION, F.monotonically_increasing_id()))
     # the upper bits of the id are the partition, the lower 33 the row inside it
     return placed.withColumn(SLICE, F.shiftright(F.col(POSITION), 33))
@@ -53,7 +46,7 @@ def _attach(rows: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
     for b in by:
         renamed = renamed.withColumnRenamed(b, f"_t_{b}")
         condition = condition & F.col(b).eqNullSafe(F.col(f"_t_{b}"))
-    joined = rows.join(small_side(renamed), condition)
+    joined = rows.join(renamed, condition)
     return joined.drop("_t_slice", *[f"_t_{b}" for b in by])
 
 
@@ -74,19 +67,7 @@ def with_rank(
     """
     if running and not total:
         raise ValueError("a running sum needs the total column")
-    source, small = _written(df)
-    if small:
-        whole = Window.partitionBy(*by)
-        sorted_ = whole.orderBy(*order_by, F.col(ROW))
-        out = source.withColumn(rank, F.row_number().over(sorted_).cast("bigint"))
-        out = out.withColumn(size, F.count("*").over(whole))
-        if total:
-            out = out.withColumn(total_name, F.sum(total).over(whole))
-        if running:
-            upto = sorted_.rowsBetween(Window.unboundedPreceding, 0)
-            out = out.withColumn(running, F.sum(total).over(upto))
-        return out.drop(ROW)
-    rows = _spread(source, by, order_by)
+    rows = _spread(df, by, order_by)
     aggs = [F.min(POSITION).alias("_first"), F.count("*").alias("_n")]
     if total:
         aggs.append(F.sum(total).alias("_sum"))
@@ -104,7 +85,7 @@ def with_rank(
     if total:
         cols.append(F.sum("_sum").over(group).alias(total_name))
         cols.append(F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_sum_before"))
-    joined = _attach(rows, materialize(slices.select(*cols)), by)
+    joined = _attach(rows, slices.select(*cols), by)
     out = joined.withColumn(rank, F.col("_rows_before") + F.col(POSITION) - F.col("_first") + 1)
     if running:
         w = Window.partitionBy(*by, SLICE).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, 0)
@@ -128,15 +109,7 @@ def with_neighbour(
     if offset not in (-1, 1):
         raise ValueError("offset must be -1 or 1")
     c = F.col(value) if isinstance(value, str) else value
-    source, small = _written(df.withColumn("_value", c))
-    if small:
-        w = Window.partitionBy(*by).orderBy(*order_by, F.col(ROW))
-        step = F.lag if offset < 0 else F.lead
-        out = source.withColumn(name, step("_value").over(w))
-        if flag:
-            out = out.withColumn(flag, step(F.lit(True)).over(w).isNull())
-        return out.drop("_value", ROW)
-    rows = _spread(source, by, order_by)
+    rows = _spread(df.withColumn("_value", c), by, order_by)
     edge = (F.max if offset < 0 else F.min)(POSITION)
     own = (F.min if offset < 0 else F.max)(POSITION)
     pick = F.max_by if offset < 0 else F.min_by
@@ -149,7 +122,7 @@ def with_neighbour(
     slices = slices.select(
         *by, SLICE, "_own_edge", F.lag("_edge_value").over(across).alias("_outside")
     )
-    joined = _attach(rows, materialize(slices), by)
+    joined = _attach(rows, slices, by)
     within = Window.partitionBy(*by, SLICE).orderBy(POSITION)
     inside = F.lag("_value").over(within) if offset < 0 else F.lead("_value").over(within)
     at_edge = F.col(POSITION) == F.col("_own_edge")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartmill.functions.dates import SUB_DAY, add_parts, parts_between
-from cartmill.functions.scalars import slugify_text, to_column
+from cartmill.functions.scalars import slugify_text
 
 AGGREGATES: Mapping[str, Callable[[Column], Column]] = {
     "sum": F.sum,
@@ -29,15 +29,35 @@ def bounds(spark: SparkSession, start: str, end: str) -> DataFrame:
     )
 
 
+SERIES_CHUNK = 1 << 16
+
+
+def _numbered(limits: DataFrame, count: str, *keep: str) -> DataFrame:
+    """Rows ``_i`` = 0 .. count - 1 for each row of ``limits``.
+
+    The first explosion makes a row for each chunk; these are dealt out, and every task makes the
+    numbers of its chunks. So a series neither meets the limit of arrays nor fills one task.
+    """
+    n = F.col(count).cast("bigint")
+    last = F.floor((n - 1) / SERIES_CHUNK).cast("bigint")
+    chunks = limits.filter(n > 0).select(*keep, n.alias("_n"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_c"))
+    first = F.col("_c") * SERIES_CHUNK
+    inside = F.sequence(first, F.least(first + SERIES_CHUNK, F.col("_n")) - 1)
+    return chunks.repartition("_c").select(*keep, F.explode(inside).alias("_i"))
+
+
+def numbers_up_to(limits: DataFrame, count: str, name: str = "generated_number") -> DataFrame:
+    """Numbers 1 .. n, n being a column of the one-row frame ``limits``, such as a count."""
+    return _numbered(limits, count).select((F.col("_i") + 1).alias(name))
+
+
 def date_spine(limits: DataFrame, part: str = "day", name: str | None = None) -> DataFrame:
     """One row per ``part`` from ``start`` up to but excluding ``end``.
 
     ``limits`` is a one-row frame with columns start and end, e.g. min and max of a fact.
     """
     name = name or f"date_{part}"
-    steps = parts_between("start", "end", part)
-    numbered = limits.withColumn("_steps", steps).filter(F.col("_steps") > 0)
-    series = numbered.select("start", F.explode(F.sequence(F.lit(0), F.col("_steps") - 1)).alias("_i"))
+    series = _numbered(limits.withColumn("_steps", parts_between("start", "end", part)), "_steps", "start")
     moment = add_parts(part, F.col("_i"), "start")
     return series.select((moment if part in SUB_DAY else moment.cast("date")).alias(name))
 
@@ -245,6 +265,3 @@ def null_safe_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Co
     return condition
 
 
-def first_per_group(df: DataFrame, keys: Sequence[str], value, order: Column, name: str) -> DataFrame:
-    """``value`` of the row with the greatest ``order`` per key, as a plain aggregate."""
-    return df.groupBy(*keys).agg(F.max_by(to_column(value), order).alias(name))

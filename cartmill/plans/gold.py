@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,11 +30,14 @@ class Window:
     start: str = "2017-01-01"
     end: str = "2018-08-31"
     reference: str = "2018-08-31"
-    history_start: str | None = None
 
 
 DEFAULT_WINDOW = Window()
 
+# fixed values: the families of the concentration extract
+CUSTOMER_FAMILY = "customer_monetary"
+FAMILIES = ("seller_gmv", "seller_gmv_monthly", "category_seller_gmv", "category_revenue", CUSTOMER_FAMILY)
+
 # Fewest sellers for a monthly and a category concentration figure.
 MIN_SELLERS_PER_MONTH = 50
 MIN_SELLERS_PER_CATEGORY = 10
@@ -75,8 +79,6 @@ def customer_totals(star: dict[str, DataFrame], window: Window = DEFAULT_WINDOW)
     """Recency, frequency and money per person up to the reference day."""
     reference = F.lit(window.reference).cast("date")
     sales = star["fct_sales"].filter(F.col("date_key") <= reference)
-    if window.history_start:
-        sales = sales.filter(F.col("date_key") >= F.lit(window.history_start).cast("date"))
     # to order grain first: the distinct count becomes a plain count
     orders = sales.groupBy("customer_unique_id", "order_id").agg(
         F.max("date_key").alias("_last"), F.sum("total_sale_amount").alias("_amount")
@@ -228,9 +230,12 @@ def seller_performance(star: dict[str, DataFrame], window: Window = DEFAULT_WIND
 
 
 def concentration_inputs(
-    star: dict[str, DataFrame], window: Window = DEFAULT_WINDOW, customers: DataFrame | None = None
+    star: dict[str, DataFrame],
+    window: Window = DEFAULT_WINDOW,
+    customers: DataFrame | None = None,
+    chosen: Sequence[str] = FAMILIES,
 ) -> DataFrame:
-    """(dimension, group_key, entity, value) of all five concentration families."""
+    """(dimension, group_key, entity, value) of the chosen concentration families."""
     sales = in_window(star["fct_sales"], window)
     categories = star["dim_products"].select("product_id", "product_category_name_english")
     # one pass over the facts; every seller and category family rolls up from it
@@ -244,7 +249,7 @@ def concentration_inputs(
         .agg(F.sum("total_sale_amount").alias("value"))
     )
     people = (customer_totals(star, window) if customers is None else customers).select(
-        F.lit("customer_monetary").alias("dimension"),
+        F.lit(CUSTOMER_FAMILY).alias("dimension"),
         F.lit("overall").alias("group_key"),
         F.col("customer_unique_id").cast("string").alias("entity"),
         F.col("monetary_value").alias("value"),
@@ -258,12 +263,13 @@ def concentration_inputs(
         )
 
     # every base row counts once in each family, so one aggregate serves them all
-    families = F.array(
-        family("seller_gmv", overall, "seller_id"),
-        family("seller_gmv_monthly", F.col("period"), "seller_id"),
-        family("category_seller_gmv", F.col("category"), "seller_id"),
-        family("category_revenue", overall, "category"),
-    )
+    by_name = {
+        "seller_gmv": (overall, "seller_id"),
+        "seller_gmv_monthly": (F.col("period"), "seller_id"),
+        "category_seller_gmv": (F.col("category"), "seller_id"),
+        "category_revenue": (overall, "category"),
+    }
+    families = F.array(*[family(name, *of) for name, of in by_name.items() if name in chosen])
     rolled = (
         base.select("value", F.explode(families).alias("family"))
         .select("family.*", "value")
@@ -271,7 +277,7 @@ def concentration_inputs(
         .groupBy("dimension", "group_key", "entity")
         .agg(F.sum("value").alias("value"))
     )
-    return rolled.unionByName(people)
+    return rolled.unionByName(people) if CUSTOMER_FAMILY in chosen else rolled
 
 
 def concentration_metrics(
@@ -280,11 +286,11 @@ def concentration_metrics(
     min_month: int = MIN_SELLERS_PER_MONTH,
     min_category: int = MIN_SELLERS_PER_CATEGORY,
     customers: DataFrame | None = None,
+    families: Sequence[str] = FAMILIES,
 ) -> DataFrame:
-    """Concentration figures of all families that have enough entities."""
-    stats = concentration_summary(
-        concentration_inputs(star, window, customers), "value", "entity", ["dimension", "group_key"]
-    )
+    """Concentration figures of the chosen families, of groups that have enough entities."""
+    inputs = concentration_inputs(star, window, customers, families)
+    stats = concentration_summary(inputs, "value", "entity", ["dimension", "group_key"])
     d, n = F.col("dimension"), F.col("n_entities")
     enough = (
         F.when(d == "seller_gmv_monthly", n >= min_month)

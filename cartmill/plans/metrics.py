@@ -102,13 +102,13 @@ def repeat_summary(rfm: DataFrame) -> DataFrame:
     )
 
 
-def headline_kpis(sales: DataFrame, satisfaction: DataFrame, geo: DataFrame, rfm: DataFrame) -> DataFrame:
+def headline_kpis(sales: DataFrame, satisfaction: DataFrame, geo: DataFrame, customers: DataFrame) -> DataFrame:
     """One row; every input is reduced to a scalar before they meet."""
     return (
         gmv_summary(sales)
         .crossJoin(on_time_summary(geo))
         .crossJoin(nps_summary(satisfaction).select("nps"))
-        .crossJoin(repeat_summary(rfm).select("repeat_rate"))
+        .crossJoin(repeat_summary(customers).select("repeat_rate"))
     )
 
 

@@ -15,8 +15,6 @@ SEMANTIC_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
-BROADCAST_ROW_LIMIT = 200_000
-
 # Scratch folders written by this process, for clear_scratch.
 WRITTEN: list[str] = []
 
@@ -47,7 +45,10 @@ def apply_semantics(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only in local mode."""
+    """The cluster's shared checkpoint folder; where none is named, local mode has one of its own.
+
+    The session's settings are left as they are.
+    """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
@@ -55,9 +56,7 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    local = tempfile.mkdtemp(prefix="cartmill-scratch-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return f"{tempfile.gettempdir()}/cartmill-scratch"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -73,15 +72,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only if a count proves the side small; else leave a shuffle join."""
-    if df.limit(limit + 1).count() <= limit:
-        return F.broadcast(df)
-    return df
-
-
-
-
 def clear_scratch(spark: SparkSession) -> int:
     """Delete what ``materialize`` wrote; call it once the results have been consumed."""
     removed = 0

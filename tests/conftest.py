@@ -30,14 +30,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture
-def spread(monkeypatch):
-    """Force the distributed path of the ranking operators on small inputs."""
-    from cartmill.operators import ranking
-
-    monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", -1)
-
-
 def rows(df):
     """Rows as tuples in a stable order."""
     return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))

@@ -118,10 +118,7 @@ def test_expression(spark):
 RANGES = [(0, 1), (1, 3), (3, 3), (5, 6)]
 
 
-@pytest.mark.parametrize("distributed", [False, True])
-def test_ranges(spark, monkeypatch, distributed):
-    if distributed:
-        monkeypatch.setattr("cartmill.operators.ranking.SINGLE_TASK_ROWS", -1)
+def test_ranges(spark):
     df = table(spark, "lo int, hi int", *RANGES)
     check = lambda d, **k: [r[:2] for r in rows(C.mutually_exclusive_ranges(d, "lo", "hi", **k).select("lower_bound", "upper_bound"))]  # noqa: E731,E501
     assert check(df) == [(3, 3)]
@@ -151,10 +148,7 @@ def test_recency(spark):
     assert empty(C.recency(df, "ts", "day", 1, F.lit(dt.datetime(2024, 1, 11, 23)), ignore_time=True))
 
 
-@pytest.mark.parametrize("distributed", [False, True])
-def test_sequences(spark, monkeypatch, distributed):
-    if distributed:
-        monkeypatch.setattr("cartmill.operators.ranking.SINGLE_TASK_ROWS", -1)
+def test_sequences(spark):
     even = table(spark, "v int", (2,), (4,), (6,), (8,))
     assert empty(C.sequential_values(even, "v", 2))
     assert C.sequential_values(even, "v").count() == 3

@@ -36,10 +36,7 @@ def top(values, k):
     return v[:k].sum() / v.sum()
 
 
-@pytest.mark.parametrize("distributed", [False, True])
-def test_summary(frame, monkeypatch, distributed):
-    if distributed:
-        monkeypatch.setattr("cartmill.operators.ranking.SINGLE_TASK_ROWS", -1)
+def test_summary(frame):
     got = {r.g: r for r in con.concentration_summary(frame, "v", "k", ["g"]).collect()}
     for g, vs in VALUES.items():
         n = len(vs)
@@ -52,14 +49,14 @@ def test_summary(frame, monkeypatch, distributed):
             assert got[g][f"cr{k}"] == (pytest.approx(want) if want is not None else None)
 
 
-def test_lorenz_curve(frame, spread):
+def test_lorenz_curve(frame):
     points = con.lorenz_curve(frame.filter("g = 'many'"), "v", "k").orderBy("x").collect()
     x, y = lorenz(VALUES["many"])
     assert [p.x for p in points] == pytest.approx(list(x))
     assert [p.y for p in points] == pytest.approx(list(y))
 
 
-def test_pareto_and_share_reaching(frame, spread):
+def test_pareto_and_share_reaching(frame):
     curve = con.pareto_curve(frame.filter("g = 'many'"), "v", "k")
     vs = np.sort(VALUES["many"])[::-1]
     want = 100 * np.cumsum(vs) / vs.sum()

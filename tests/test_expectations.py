@@ -273,7 +273,7 @@ def test_expectation(data, name):
     assert n(failing(data)) == wanted
 
 
-def test_monotonic_keeps_groups_and_spreads(data, spread):
+def test_monotonic_keeps_groups_and_spreads(data):
     out = X.values_increasing(data, "neg", "idx", by=["date_col"])
     assert out.columns == ["date_col", "sort_column", "value_field", "value_field_lag"]
     assert rows(out) == [(dt.date(2020, 10, 23), 4, -8, -6)]

@@ -38,7 +38,6 @@ def test_surrogate_key(spark):
 
 def test_blank_and_empty(spark):
     data = [("",), ("  ",), (" x ",), (None,)]
-    assert values(spark, "s string", data, scalars.null_if_empty("s")) == [None, "  ", " x ", None]
     assert values(spark, "s string", data, scalars.blank_to_null("s")) == [None, None, " x ", None]
 
 

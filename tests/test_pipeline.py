@@ -274,7 +274,7 @@ def test_customer_totals(marts):
     assert got["p3"].recency_days == 0 and got["p2"].frequency == 1
 
 
-def test_concentration_thresholds(marts, spread):
+def test_concentration_thresholds(marts):
     totals = gold.customer_totals(marts)
     all_ = gold.concentration_metrics(marts, min_month=1, min_category=1, customers=totals)
     few = gold.concentration_metrics(marts, customers=totals)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartmill.operators import ranking
-from cartmill.session import clear_scratch, materialize, small_side
+from cartmill.session import clear_scratch, materialize
 
 random.seed(7)
 GROUPS = ["hot"] * 10 + ["a", "b", None]
@@ -48,16 +48,12 @@ def check_ranks(data):
     assert all(r.group_total == pytest.approx(totals[r.g]) for r in got.values())
 
 
-def test_rank_in_one_task(data):
-    check_ranks(data)
-
-
-def test_rank_spread(data, spread):
+def test_rank(data):
     check_ranks(data)
 
 
 @pytest.mark.parametrize("partitions", ["1", "3", "11"])
-def test_rank_does_not_depend_on_partitions(spark, data, spread, partitions):
+def test_rank_does_not_depend_on_partitions(spark, data, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
@@ -67,19 +63,18 @@ def test_rank_does_not_depend_on_partitions(spark, data, spread, partitions):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_rank_without_groups_covers_everything(data, spread):
+def test_rank_without_groups_covers_everything(data):
     ranked = ranking.with_rank(data, [F.col("v").asc(), F.col("k").asc()])
     order = [r.k for r in ranked.orderBy("rank").collect()]
     assert order == [d[2] for d in sorted(DATA, key=lambda d: (d[1], d[2]))]
 
 
-def test_equal_rows_are_cut_into_several_ranges(spark, spread):
+def test_equal_values_are_cut_into_several_ranges(spark):
     """A value held by every row must not end up in a single partition."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        df = spark.range(4000).select(F.lit(1.0).alias("v"))
-        source, _ = ranking._written(df)
-        placed = ranking._spread(source, [], [F.col("v").asc()])
+        df = spark.range(4000).select(F.lit(1.0).alias("v"), "id")
+        placed = ranking._spread(df, [], [F.col("v").asc()])
         sizes = [r["count"] for r in placed.groupBy(ranking.SLICE).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -87,11 +82,17 @@ def test_equal_rows_are_cut_into_several_ranges(spark, spread):
     assert len(sizes) >= 3 and max(sizes) < 2000
 
 
+def test_rows_are_never_gathered_in_one_task(data):
+    """Only per-range totals may meet in a single partition; rows are written sorted, once."""
+    from tests.conftest import plan
+
+    text = plan(ranking.with_rank(data, [F.col("v").desc(), F.col("k").asc()], total="v", running="upto"))
+    before, _, after = text.partition("SinglePartition")
+    assert text.count("SinglePartition") <= 1 and "HashAggregate" in after
+
+
 @pytest.mark.parametrize("offset", [-1, 1])
-@pytest.mark.parametrize("distributed", [False, True])
-def test_neighbour(data, monkeypatch, offset, distributed):
-    if distributed:
-        monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", -1)
+def test_neighbour(data, offset):
     out = ranking.with_neighbour(
         data, "v", [F.col("v").asc(), F.col("k").asc()], ["g"], name="near", offset=offset, flag="edge"
     )
@@ -104,7 +105,7 @@ def test_neighbour(data, monkeypatch, offset, distributed):
             assert got[k] == ((members[j][1] if inside else None), not inside)
 
 
-def test_neighbour_keeps_null_values(spark, spread):
+def test_neighbour_keeps_null_values(spark):
     df = spark.createDataFrame([(1, None), (2, 5), (3, None), (4, 7)], "k int, v int")
     out = ranking.with_neighbour(df, "v", [F.col("k").asc()], flag="first")
     assert [(r.k, r.previous, r.first) for r in out.orderBy("k").collect()] == [
@@ -115,10 +116,7 @@ def test_neighbour_keeps_null_values(spark, spread):
     ]
 
 
-@pytest.mark.parametrize("distributed", [False, True])
-def test_quantiles_match_numpy(data, monkeypatch, distributed):
-    if distributed:
-        monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", -1)
+def test_quantiles_match_numpy(data):
     qs = [0.0, 0.2, 0.5, 0.77, 1.0]
     for row in ranking.exact_quantiles(data, "v", qs, ["g"]).collect():
         values = [d[1] for d in DATA if d[0] == row.g]
@@ -135,15 +133,3 @@ def test_scratch_is_cleared(spark):
     assert df.count() == 5
     assert clear_scratch(spark) >= 1
     assert clear_scratch(spark) == 0
-
-
-def test_broadcast_only_when_counted_small(spark):
-    left = spark.range(100).withColumnRenamed("id", "a")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small = left.join(small_side(spark.range(10), 10), F.col("a") == F.col("id"))
-        large = left.join(small_side(spark.range(11), 10), F.col("a") == F.col("id"))
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")

@@ -30,6 +30,21 @@ def test_spine_excludes_the_end(spark):
     assert spine(spark, "day", "2018-01-03", "2018-01-01") == []
 
 
+def test_long_series(spark):
+    """Seconds over ten years: more than one chunk, in many tasks."""
+    spine = rel.date_spine(rel.bounds(spark, "2010-01-01", "2010-01-03"), "second", "t")
+    assert (spine.count(), spine.distinct().count()) == (172_800, 172_800)
+    long = rel.date_spine(rel.bounds(spark, "2010-01-01", "2020-01-01"), "second", "t")
+    first, last, n = long.agg(F.min("t"), F.max("t"), F.count("*")).first()
+    assert (str(first), str(last), n) == ("2010-01-01 00:00:00", "2019-12-31 23:59:59", 3652 * 86_400)
+
+
+def test_numbers_up_to(spark):
+    limits = spark.createDataFrame([(3,)], "n long")
+    assert [r[0] for r in rel.numbers_up_to(limits, "n").orderBy("generated_number").collect()] == [1, 2, 3]
+    assert rel.numbers_up_to(spark.createDataFrame([(0,)], "n long"), "n").count() == 0
+
+
 def test_series(spark):
     assert [r.generated_number for r in rel.generate_series(spark, 10).collect()] == list(range(1, 11))
     with pytest.raises(ValueError):
@@ -116,8 +131,6 @@ def test_joins(spark):
     assert rows(rel.rows_without_parent(orders, lines, "o", "o")) == [(2,)]
     assert rows(rel.rows_with_parent(orders, lines, "o", "o")) == [(1,)]
     assert rows(rel.compare_scalars(orders.agg(F.count("*")), lines.agg(F.count("*")))) == [(3, 2)]
-    best = rel.first_per_group(lines, ["o"], "seq", F.col("seq"), "last")
-    assert rows(best) == [(1, 2)]
 
 
 # --- calendar -------------------------------------------------------------------------
