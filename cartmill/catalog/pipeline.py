@@ -34,6 +34,22 @@ def _(s: Shop):
     return raw_source.read_raw(s.spark, path, "customers")
 
 
+@query(
+    "src02_byte_order_mark",
+    STAGING
+    + """SELECT CAST(customer_id AS VARCHAR) AS customer_id, customer_zip_code_prefix, customer_state
+      FROM stg_customers""",
+)
+def _(s: Shop):
+    """Every written file starts with a byte-order mark, as some exports do."""
+    path = scratch_path(s.spark, "customers-marked")
+    customers = s.raw["customers"]
+    marked = customers.withColumnRenamed(customers.columns[0], f"\ufeff{customers.columns[0]}")
+    marked.write.option("header", True).csv(path)
+    read = raw_source.read_raw(s.spark, path, "customers")
+    return read.select("customer_id", "customer_zip_code_prefix", "customer_state")
+
+
 @query(
     "src03_blank_cells",
     STAGING
@@ -435,6 +451,20 @@ def _(s: Shop):
     return rounded(s.rfm, 4, "monetary_value")
 
 
+@query(
+    "gld15_stored_extracts",
+    GOLD
+    + " UNION ALL ".join(f"SELECT '{name}' AS extract, count(*) AS n_rows FROM {name}" for name in gold.STORED),
+)
+def _(s: Shop):
+    """All extracts written and read back, as dashboards do instead of building them anew."""
+    folder = scratch_path(s.spark, "gold")
+    built = gold.build_gold(s.stored_star, WINDOW, s.regions)
+    return tables.table_counts({name: tables.write_gold(df, name, folder) for name, df in built.items()}).select(
+        F.col("table_name").alias("extract"), "n_rows"
+    )
+
+
 @query(
     "gld03_r_score",
     GOLD

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,27 @@ class FrameCheck:
     warn_if: str = "!= 0"
 
 
-Check = RowCheck | FrameCheck
+@dataclass(frozen=True)
+class KeyCheck:
+    """Something is wrong with a key; all key checks of a suite share one aggregation.
+
+    ``rule`` "unique": keys held by several rows fail; "absent": every key found fails, ``where`` saying
+    which rows are looked at; "known": rows fail whose key the column ``field`` of ``parent`` lacks.
+    A key with a NULL is passed over unless ``with_null``.
+    """
+
+    name: str
+    columns: tuple[str, ...]
+    rule: str
+    where: Column | None = None
+    parent: DataFrame | None = None
+    field: str | None = None
+    with_null: bool = False
+    error_if: str = "!= 0"
+    warn_if: str = "!= 0"
+
+
+Check = RowCheck | FrameCheck | KeyCheck
 
 
 def row_failures(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
@@ -42,13 +63,70 @@ def row_failures(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     return counts.select(F.explode(pairs).alias("p")).select("p.check_name", "p.failures")
 
 
+def _key(columns: Sequence[str], with_null: bool) -> Column:
+    """The columns as one text; NULL if one of them is and that does not count as a value."""
+    texts = [F.col(c).cast("string") for c in columns]
+    if with_null:
+        texts = [F.coalesce(t, F.lit("\x00")) for t in texts]
+    return F.concat(*[x for t in texts for x in (t, F.lit("\x01"))])
+
+
+def _keyed(df: DataFrame, keys: Sequence[Column], children: int, parents: int) -> DataFrame:
+    """(check, key, children, parents) for each row and each key that is not NULL."""
+    found = df.select(F.explode(F.filter(F.array(*keys), lambda k: k["key"].isNotNull())).alias("k"))
+    return found.select("k.check", "k.key", F.lit(children).alias("children"), F.lit(parents).alias("parents"))
+
+
+def key_failures(tables: Mapping[str, DataFrame], checks: Sequence[tuple[str, KeyCheck]]) -> DataFrame:
+    """(table_name, check_name, failures) of key checks on any number of tables.
+
+    Each table is read once for its own keys and once for each key others refer to; all keys then meet
+    in one aggregation, where a frequent key is one row for each task.
+    """
+    parts = []
+    for table in dict.fromkeys(t for t, _ in checks):
+        keys = []
+        for i, (of, c) in enumerate(checks):
+            if of == table:
+                key = _key(c.columns, c.with_null)
+                key = key if c.where is None else F.when(c.where, key)
+                keys.append(F.struct(F.lit(i).alias("check"), key.alias("key")))
+        parts.append(_keyed(tables[table], keys, 1, 0))
+    for i, (_, c) in enumerate(checks):
+        if c.rule == "known":
+            key = F.struct(F.lit(i).alias("check"), _key([c.field], False).alias("key"))
+            parts.append(_keyed(c.parent, [key], 0, 1))
+    per_key = reduce(DataFrame.unionAll, parts).groupBy("check", "key")
+    per_key = per_key.agg(F.sum("children").alias("n"), F.max("parents").alias("known"))
+    failing = {
+        "unique": (F.col("n") > 1).cast("bigint"),
+        "absent": F.lit(1).cast("bigint"),
+        "known": F.when(F.col("known") == 0, F.col("n")).otherwise(0),
+    }
+    counts = per_key.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("check") == i, failing[c.rule])), F.lit(0)).cast("bigint").alias(f"c{i}")
+            for i, (_, c) in enumerate(checks)
+        ]
+    )
+    rows = [
+        F.struct(F.lit(t).alias("table_name"), F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("failures"))
+        for i, (t, c) in enumerate(checks)
+    ]
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def failures(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
     """(check, failures) for one table: one job, however many checks."""
     checks = list(checks)
     rows = [c for c in checks if isinstance(c, RowCheck)]
     out = row_failures(df, rows) if rows else None
+    keys = [("", c) for c in checks if isinstance(c, KeyCheck)]
+    if keys:
+        found = key_failures({"": df}, keys).drop("table_name")
+        out = found if out is None else out.unionByName(found)
     for c in checks:
-        if isinstance(c, RowCheck):
+        if isinstance(c, RowCheck | KeyCheck):
             continue
         counted = c.failing(df).agg(F.coalesce(c.fail_calc, F.lit(0)).cast("bigint").alias("failures"))
         part = counted.select(F.lit(c.name).alias("check_name"), "failures")
@@ -58,23 +136,37 @@ def failures(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
     return out
 
 
-def with_verdict(counted: DataFrame, checks: Iterable[Check]) -> DataFrame:
-    """Append 'error', 'warn' or 'pass' by each check's thresholds."""
+def _verdict(checks: Iterable[Check]) -> Column:
     verdict = F.lit(None).cast("string")
     for c in checks:
         level = F.when(F.expr(f"failures {c.error_if}"), "error").when(F.expr(f"failures {c.warn_if}"), "warn")
         verdict = F.when(F.col("check_name") == c.name, level.otherwise("pass")).otherwise(verdict)
-    return counted.withColumn("verdict", verdict)
+    return verdict
+
+
+def with_verdict(counted: DataFrame, checks: Iterable[Check]) -> DataFrame:
+    """Append 'error', 'warn' or 'pass' by each check's thresholds."""
+    return counted.withColumn("verdict", _verdict(checks))
 
 
 def run_suite(tables: Mapping[str, DataFrame], suite: Mapping[str, Sequence[Check]]) -> DataFrame:
-    """(table_name, check_name, failures, verdict) of a whole declared suite."""
-    out = None
-    for table, checks in suite.items():
-        part = with_verdict(failures(tables[table], checks), checks).select(
-            F.lit(table).alias("table_name"), "check_name", "failures", "verdict"
-        )
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    """(table_name, check_name, failures, verdict) of a whole declared suite.
+
+    Row checks take one scan of their table, the key checks of all tables one aggregation.
+    """
+    if not suite:
         raise ValueError("empty suite")
-    return out
+    counted = []
+    keys = [(table, c) for table, checks in suite.items() for c in checks if isinstance(c, KeyCheck)]
+    if keys:
+        counted.append(key_failures(tables, keys))
+    for table, checks in suite.items():
+        others = [c for c in checks if not isinstance(c, KeyCheck)]
+        if others:
+            counted.append(failures(tables[table], others).select(F.lit(table).alias("table_name"), "check_name", "failures"))
+    found = reduce(DataFrame.unionByName, counted)
+    verdict = F.lit(None).cast("string")
+    for table, checks in suite.items():
+        here = F.col("table_name") == table
+        verdict = F.when(here, _verdict(checks)).otherwise(verdict)
+    return found.withColumn("verdict", verdict)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cartmill.operators import core_checks as C
 from cartmill.operators import expectations as X
-from cartmill.operators.checks import Check, FrameCheck, RowCheck, failures, with_verdict
+from cartmill.operators.checks import Check, FrameCheck, KeyCheck, RowCheck, failures, with_verdict
 from cartmill.plans import star as star_plan
 from cartmill.plans.staging import LAT_RANGE, LNG_RANGE, stage_all
 from cartmill.sources.tables import write_table
@@ -35,11 +35,11 @@ def not_null(column: str) -> Check:
 
 
 def unique(column: str) -> Check:
-    return FrameCheck(f"unique_{column}", lambda df: C.unique(df, column))
+    return KeyCheck(f"unique_{column}", (column,), "unique")
 
 
 def accepted(column: str, values: Sequence[str]) -> Check:
-    return FrameCheck(f"accepted_values_{column}", lambda df: C.accepted_values(df, column, values))
+    return KeyCheck(f"accepted_values_{column}", (column,), "absent", where=~F.col(column).isin(*values))
 
 
 def between(column: str, low=None, high=None) -> Check:
@@ -53,15 +53,11 @@ def between(column: str, low=None, high=None) -> Check:
 
 
 def unique_key(*columns: str) -> Check:
-    return FrameCheck(f"unique_{'_'.join(columns)}", lambda df: C.unique_combination(df, columns))
+    return KeyCheck(f"unique_{'_'.join(columns)}", columns, "unique", with_null=True)
 
 
 def references(column: str, parent: DataFrame, field: str) -> Check:
-    return FrameCheck(
-        f"relationships_{column}",
-        lambda df: C.orphan_keys(df, column, parent, field),
-        F.expr(C.ORPHAN_ROWS),
-    )
+    return KeyCheck(f"relationships_{column}", (column,), "known", parent=parent, field=field)
 
 
 def row_count(bounds: tuple[int, int]) -> Check:

@@ -36,6 +36,7 @@ DEFAULT_WINDOW = Window()
 
 # fixed values: the families of the concentration extract
 CUSTOMER_FAMILY = "customer_monetary"
+STORED = ("sales_orders", "customer_rfm", "satisfaction_summary", "geo_delivery", "seller_performance", "concentration_metrics")
 FAMILIES = ("seller_gmv", "seller_gmv_monthly", "category_seller_gmv", "category_revenue", CUSTOMER_FAMILY)
 
 # Fewest sellers for a monthly and a category concentration figure.

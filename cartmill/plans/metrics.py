@@ -30,19 +30,10 @@ def _share(part: Column, whole: Column) -> Column:
 
 
 def _with_share(df: DataFrame, value: str, name: str, factor: int = 1) -> DataFrame:
-    """Append a column's share of its total.
-
-    For a handful of groups only (states, statuses, bins): the total is a window over all.
-    """
-    total = F.sum(value).over(Window.partitionBy())
-    return df.withColumn(name, factor * _share(F.col(value), total))
-
-
-def _with_share_of_many(df: DataFrame, value: str, name: str) -> DataFrame:
-    """The same for any number of groups: they meet a one-row total."""
+    """Append a column's share of its total; however many groups there are, they meet one row."""
     total = df.agg(F.sum(value).alias("_total"))
     joined = df.crossJoin(F.broadcast(total))
-    return joined.withColumn(name, _share(F.col(value), F.col("_total"))).drop("_total")
+    return joined.withColumn(name, factor * _share(F.col(value), F.col("_total"))).drop("_total")
 
 
 def _monthly_pct(df: DataFrame) -> DataFrame:
@@ -206,7 +197,7 @@ def cancellation_rate(sales: DataFrame, status: str = "canceled") -> DataFrame:
 def top_categories(sales: DataFrame, n: int = 15, category: str = "product_category_name_english") -> DataFrame:
     """Largest categories by revenue with their share of the total."""
     totals = sales.groupBy(category).agg(F.sum("total_sale_amount").alias("revenue"))
-    shared = _with_share_of_many(totals, "revenue", "share")
+    shared = _with_share(totals, "revenue", "share")
     return shared.orderBy(F.desc("revenue"), F.asc(category)).limit(n)
 
 
@@ -246,8 +237,7 @@ def category_concentration(sales: DataFrame, category: str = "product_category_n
 def gini_trend(concentration: DataFrame, dimension: str = "seller_gmv_monthly") -> DataFrame:
     """Gini per month next to the mean over all months."""
     months = concentration.filter(F.col("dimension") == dimension).select(F.col("group_key").alias("period"), "gini")
-    # one row per month
-    return months.withColumn("mean_gini", F.avg("gini").over(Window.partitionBy()))
+    return months.crossJoin(F.broadcast(months.agg(F.avg("gini").alias("mean_gini"))))
 
 
 # --- geography ------------------------------------------------------------------------
