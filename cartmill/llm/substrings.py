@@ -9,11 +9,12 @@ Rank one of such a position is the hash of its first bytes, itself doubled up fr
 by it; those with a unique rank are out. The second offset takes in all windows that named the position, as one
 segment: sorted by the pair of ranks, a segment that is not the first of its kind is repeated as a whole, and one
 whose position has no other kind of segment is done as well. What is left are the first segments of kinds that share a
-position, where only some windows may agree. Their windows, now past the threshold, are ranked one by one.
+rank, where only some windows may agree. Their windows, now past the threshold, are compared one by one, in the order
+of the documents and among the segments of that rank alone.
 
 A rank that many segments share, such as that of a very common line, is known in each task: equal segments are
 reduced to the task's first before they are shuffled, and positions that are frequent in a task take another route,
-dealt by the pair of ranks, on which their group is spread over all tasks.
+dealt by the pair of ranks and then by the windows themselves, on which their group is spread over all tasks.
 
 Defined results: null and empty texts have no bytes; documents shorter than ``length`` keep all; rows equal in id and
 text count as one document and get the same result; documents of one id are ordered by a hash of their text; null ids
@@ -25,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,7 +34,7 @@ from cartmill.llm import common
 
 _SEED = 16
 _FREQUENT = 48  # positions of one rank in a slice of some megabytes from which on they take the other route
-_MARK, _PLAIN, _SPREAD, _DONE = range(4)
+_MARK, _PLAIN, _SPREAD, _DONE, _SINGLE = range(5)
 _TABLE = np.array([xxhash.xxh64_intdigest(bytes([b]), 99) for b in range(256)], dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -84,12 +85,11 @@ def segments(data: bytes, length: int) -> tuple[np.ndarray, ...] | None:
 
 _ROWS = T.StructType(
     [
-        T.StructField("route", T.LongType()),
         T.StructField("kind", T.IntegerType()),
         T.StructField("rank", T.LongType()),
         T.StructField("content", T.LongType()),
         T.StructField("id", T.LongType()),
-        T.StructField("text_key", T.LongType()),
+        T.StructField("text_key", T.IntegerType()),
         T.StructField("start", T.IntegerType()),
         T.StructField("count", T.IntegerType()),
     ]
@@ -97,6 +97,12 @@ _ROWS = T.StructType(
 _COLUMNS = [f.name for f in _ROWS]
 
 
+def _route() -> Column:
+    """What rows are dealt by; computed on the way, not sent."""
+    spread = F.when(F.col("kind") == _SPREAD, F.col("rank").bitwiseXOR(F.col("content"))).otherwise(F.col("id"))
+    return F.when(F.col("kind") <= _PLAIN, F.col("rank")).otherwise(spread)
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
@@ -139,12 +145,10 @@ def _sampled(docs: DataFrame, length: int) -> DataFrame:
                 waiting = kind == _PLAIN
                 often = np.bincount(group[waiting & keep], minlength=len(rank))[group] >= _FREQUENT
                 kind[waiting & often] = _SPREAD
-                route = np.where(kind == _PLAIN, rank, rank ^ content)
-                route[kind == _DONE] = text_key[kind == _DONE]
-                columns = [route, kind, rank, content, key, text_key, start, count]
+                columns = [kind, rank, content, key, text_key, start, count]
                 marks = np.unique(rank[kind == _SPREAD])
                 zero = np.zeros(len(marks), dtype=np.int64)
-                extra = [marks, np.full(len(marks), _MARK), marks, zero, zero, zero, zero, zero]
+                extra = [np.full(len(marks), _MARK), marks, zero, zero, zero, zero, zero]
                 yield _batch([np.concatenate((c[keep], e)) for c, e in zip(columns, extra, strict=True)], target)
 
     return docs.mapInArrow(run, _ROWS)
@@ -226,7 +230,7 @@ def _by_rank(rows: DataFrame) -> DataFrame:
             plain, spread = c["kind"] == _PLAIN, has_mark[group]
             kind = np.where(spread, _SPREAD, np.where(repeats, _DONE, _PLAIN)).astype(np.int32)
             out = plain & (spread | repeats | (new_pair & mixed[group]))
-            c["kind"], c["route"] = kind, np.where(kind == _SPREAD, c["rank"] ^ c["content"], c["text_key"])
+            c["kind"] = kind
             last = group[-1]
             if not has_mark[last] and not mixed[last] and new_rank.any():
                 at = np.flatnonzero(new_rank)[-1]
@@ -238,11 +242,11 @@ def _by_rank(rows: DataFrame) -> DataFrame:
                 yield _batch([c[k][out] for k in _COLUMNS], target)
 
     order = ["rank", "kind", "content", "id", "text_key", "start"]
-    return rows.repartition("route").sortWithinPartitions(*order).mapInArrow(run, _ROWS)
+    return rows.repartition(_route()).sortWithinPartitions(*order).mapInArrow(run, _ROWS)
 
 
 def _by_pair(rows: DataFrame) -> DataFrame:
-    """Second reranking, of frequent ranks: repeated segments are done, the first of each kind is compared by windows."""
+    """Second reranking, of frequent ranks: repeated segments are done, the first of each kind becomes _SINGLE windows."""
     target = common.arrow_schema(_ROWS)
 
     def run(batches):
@@ -256,43 +260,52 @@ def _by_pair(rows: DataFrame) -> DataFrame:
             if not len(c["kind"]):
                 continue
             new, repeats = pairs.read([c["rank"], c["content"]], [c["id"], c["text_key"], c["start"]])
-            c["kind"] = np.where(repeats, _DONE, _PLAIN).astype(np.int32)
+            c["kind"] = np.where(repeats, _DONE, _SINGLE).astype(np.int32)
             out = new | repeats
             yield _batch([c[k][out] for k in _COLUMNS], target)
 
     order = ["rank", "content", "id", "text_key", "start"]
-    return rows.repartition("route").sortWithinPartitions(*order).mapInArrow(run, _ROWS)
+    return rows.repartition(_route()).sortWithinPartitions(*order).mapInArrow(run, _ROWS)
 
 
-_WINDOWS = T.StructType(
+_OPEN = T.StructType(
     [
         T.StructField("kind", T.IntegerType()),
+        T.StructField("rank", T.LongType()),
         T.StructField("high", T.LongType()),
         T.StructField("low", T.LongType()),
         T.StructField("id", T.LongType()),
-        T.StructField("text_key", T.LongType()),
+        T.StructField("text_key", T.IntegerType()),
         T.StructField("start", T.IntegerType()),
+        T.StructField("body", T.BinaryType()),
     ]
 )
+_RANGES = T.StructType([_OPEN["id"], _OPEN["text_key"], _OPEN["start"], T.StructField("count", T.IntegerType())])
 
 
-def _windows_of(found: DataFrame, length: int) -> DataFrame:
-    """Hashes of the windows of segments still to be compared, reduced in each slice."""
-    target = common.arrow_schema(_WINDOWS)
+def _open_segments(found: DataFrame, length: int) -> DataFrame:
+    """Bytes of the segments still to be compared; of frequent ranks instead the windows' hashes, reduced in each slice."""
+    target = common.arrow_schema(_OPEN)
 
     def run(batches):
         for b in batches:
             for part in common.slices(b, 2):
+                plain: list[tuple] = []
                 hashes, ids, keys, starts = [], [], [], []
                 for key, text_key, text, parts in zip(*[c.to_pylist() for c in part.columns], strict=True):
                     data = memoryview(text.encode())
                     for p in parts:
+                        start, end = p["start"], p["start"] + p["count"]
                         if p["kind"] == _PLAIN:
-                            places = range(p["start"], p["start"] + p["count"])
-                            hashes += [xxhash.xxh3_128_digest(data[i : i + length]) for i in places]
-                            starts += places
-                            ids += [_null_first(key)] * len(places)
-                            keys += [text_key] * len(places)
+                            body = bytes(data[start : end + length - 1])
+                            plain.append((_PLAIN, p["rank"], 0, 0, key, text_key, start, body))
+                        elif p["kind"] == _SINGLE:
+                            hashes += [xxhash.xxh3_128_digest(data[i : i + length]) for i in range(start, end)]
+                            starts += range(start, end)
+                            ids += [key] * p["count"]
+                            keys += [text_key] * p["count"]
+                if plain:
+                    yield common.to_batch(plain, target)
                 if not hashes:
                     continue
                 high, low = np.frombuffer(b"".join(hashes), dtype=">u8").astype(np.uint64).view(np.int64).reshape(-1, 2).T
@@ -300,31 +313,68 @@ def _windows_of(found: DataFrame, length: int) -> DataFrame:
                 first, _ = _first_of([high, low], [ids, keys, starts])
                 same = (ids == ids[first]) & (keys == keys[first]) & (starts == starts[first])
                 keep = ~same | (first == np.arange(len(first)))
-                kind = np.where(same, _PLAIN, _DONE)
-                yield _batch([x[keep] for x in (kind, high, low, ids, keys, starts)], target)
-
-    return found.mapInArrow(run, _WINDOWS)
-
-
-def _repeated_windows(windows: DataFrame) -> DataFrame:
-    """(id, text_key, start) of every window that is not the first of its kind."""
-    schema = T.StructType([_WINDOWS["id"], _WINDOWS["text_key"], _WINDOWS["start"]])
-    target = common.arrow_schema(schema)
+                kind, zero = np.where(same, _SINGLE, _DONE), np.zeros(len(ids), dtype=np.int64)
+                columns = [x[keep] for x in (kind, zero, high, low, ids, keys, starts)]
+                arrays = [pa.array(c).cast(f.type) for c, f in zip(columns, target, strict=False)]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(columns[0]), pa.binary())], schema=target)
+
+    return found.mapInArrow(run, _OPEN)
+
+
+class _Rank:
+    """Windows met so far in the segments of one rank, which come in the order of the documents."""
+
+    def __init__(self, length: int):
+        self.length, self.rank, self.place, self.met = length, None, None, set()
+
+    def repeated(self, rank: int, place: tuple, body: bytes) -> list[tuple[int, int]]:
+        """Runs (first, count) of the segment's windows that were met before."""
+        if rank != self.rank:
+            self.rank, self.place, self.met = rank, None, set()
+        if place == self.place:  # an equal row
+            return []
+        self.place = place
+        view, length, met, digest = memoryview(body), self.length, self.met, xxhash.xxh3_128_intdigest
+        found = [digest(view[i : i + length]) for i in range(len(body) - length + 1)]
+        runs: list[tuple[int, int]] = []
+        if not met.isdisjoint(found):
+            hit = np.flatnonzero(np.diff(np.array([False, *[h in met for h in found], False], dtype=np.int8)))
+            runs = [(int(a), int(b - a)) for a, b in hit.reshape(-1, 2)]
+        for i, h in enumerate(found):  # a window may repeat inside its own segment
+            if h in met and not any(a <= i < a + n for a, n in runs):
+                runs.append((i, 1))
+            met.add(h)
+        return runs
+
+
+def _repeated_windows(rows: DataFrame, length: int) -> DataFrame:
+    """(id, text_key, start, count): runs of windows that are not the first of their kind."""
+    target = common.arrow_schema(_RANGES)
 
     def run(batches):
-        runs = _Runs()
+        runs, rank = _Runs(), _Rank(length)
         for b in batches:
             c = _columns(b)
-            done = c["kind"] == _DONE
-            if done.any():
-                yield _batch([c[k][done] for k in schema.names], target)
-            c = {k: v[~done] for k, v in c.items()}
-            if len(c["kind"]):
-                _, repeats = runs.read([c["high"], c["low"]], [c["id"], c["text_key"], c["start"]])
-                yield _batch([c[k][repeats] for k in schema.names], target)
-
-    order = ["high", "low", "id", "text_key", "start"]
-    return windows.repartition("high", "low").sortWithinPartitions(*order).mapInArrow(run, schema)
+            if (plain := np.flatnonzero(c["kind"] == _PLAIN)).size:
+                out = []
+                for r, key, text_key, start, body in zip(*[c[n][plain].tolist() for n in ("rank", "id", "text_key", "start", "body")], strict=True):
+                    out += [(key, text_key, start + a, n) for a, n in rank.repeated(r, (key, text_key, start), body)]
+                if out:
+                    yield common.to_batch(out, target)
+            c = {k: v[c["kind"] != _PLAIN] for k, v in c.items() if k != "body"}
+            single = c["kind"] == _SINGLE
+            repeats = ~single
+            if single.any():
+                at = [c[n][single] for n in ("high", "low", "id", "text_key", "start")]
+                repeats[single] = runs.read(at[:2], at[2:])[1]
+            if repeats.any():
+                ones = np.ones(int(repeats.sum()), dtype=np.int32)
+                yield _batch([*[c[n][repeats] for n in _RANGES.names[:3]], ones], target)
+
+    order = ["kind", "rank", "high", "low", "id", "text_key", "start"]
+    single = F.when(F.col("kind") == _SINGLE, F.col("high").bitwiseXOR(F.col("low"))).otherwise(F.col("id"))
+    route = F.when(F.col("kind") == _PLAIN, F.col("rank")).otherwise(single)
+    return rows.repartition(route).sortWithinPartitions(*order).mapInArrow(run, _RANGES)
 
 
 def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -345,26 +395,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not isinstance(id_field.dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
         raise TypeError(f"{id_field.name} must be an integer")
     text = F.coalesce(F.col(f"`{common.field(docs, text_col).name}`"), F.lit(""))
-    source = docs.select(F.col(f"`{id_field.name}`").cast("long").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    source = docs.select(F.col(f"`{id_field.name}`").cast("long").alias("id"), F.hash(text).alias("text_key"), text.alias("text"))
     settled = _by_pair(_by_rank(_sampled(source, length)))
     known = F.coalesce("id", F.lit(_NULL))
     # documents are dealt once; both joins read that exchange
     dealt = source.withColumn("id", known).repartition("id", "text_key")
-    parts = settled.groupBy("id", "text_key").agg(F.collect_list(F.struct("kind", "start", "count")).alias("parts"))
-    compared = dealt.join(parts.filter(F.exists("parts", lambda p: p["kind"] == _PLAIN)), ["id", "text_key"])
-    repeated = _repeated_windows(_windows_of(compared.select("id", "text_key", "text", "parts"), length))
-    places = repeated.groupBy("id", "text_key").agg(F.collect_list("start").alias("places"))
-    joined = dealt.join(parts, ["id", "text_key"], "left").join(places, ["id", "text_key"], "left")
+    segment = F.struct("kind", "rank", "start", "count")
+    parts = settled.groupBy("id", "text_key").agg(F.collect_list(segment).alias("parts"))
+    unsettled = parts.filter(F.exists("parts", lambda p: p["kind"] != _DONE))
+    compared = dealt.join(unsettled, ["id", "text_key"]).select("id", "text_key", "text", "parts")
+    repeated = _repeated_windows(_open_segments(compared, length), length)
+    ranges = repeated.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "count")).alias("ranges"))
+    joined = dealt.join(parts, ["id", "text_key"], "left").join(ranges, ["id", "text_key"], "left")
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = common.schema_of(
         id_field, ("n_bytes", T.LongType()), ("spans", T.ArrayType(span)), ("kept", T.BinaryType())
     )
 
     def rows(batch):
-        for key, text, parts, places in batch:
+        for key, text, parts, ranges in batch:
             data = text.encode()
-            ranges = [(p["start"], p["start"] + p["count"] - 1 + length) for p in parts or () if p["kind"] == _DONE]
-            removed = _union(ranges + [(p, p + length) for p in places or ()])
+            repeats = [*[p for p in parts or () if p["kind"] == _DONE], *(ranges or ())]
+            removed = _union([(p["start"], p["start"] + p["count"] - 1 + length) for p in repeats])
             kept, at = [], 0
             for start, end in removed:
                 kept.append(data[at:start])
@@ -377,4 +429,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 b"".join(kept),
             )
 
-    return common.arrow_map(joined.select("id", "text", "parts", "places"), rows, schema, batch=512)
+    return common.arrow_map(joined.select("id", "text", "parts", "ranges"), rows, schema, batch=512)
