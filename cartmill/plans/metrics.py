@@ -431,10 +431,12 @@ def score_by_delay(satisfaction: DataFrame) -> DataFrame:
     """Mean score, orders and percent per delay bin, and the drop from the earliest bin."""
     known = satisfaction.filter(F.col("delay_bin").isNotNull())
     bins = known.groupBy("delay_bin").agg(F.avg("review_score").alias("avg_score"), F.count("*").alias("orders"))
-    early = F.max(F.when(F.col("delay_bin") == DELAY_BINS[0], F.col("avg_score"))).over(Window.partitionBy())
+    early = bins.agg(F.max(F.when(F.col("delay_bin") == DELAY_BINS[0], F.col("avg_score"))).alias("_early"))
     return (
         _with_share(bins, "orders", "pct", 100)
-        .withColumn("drop_from_early", early - F.col("avg_score"))
+        .crossJoin(F.broadcast(early))  # one row
+        .withColumn("drop_from_early", F.col("_early") - F.col("avg_score"))
+        .drop("_early")
         .withColumn("position", position_in("delay_bin", DELAY_BINS))
         .orderBy("position")
     )
