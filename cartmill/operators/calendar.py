@@ -40,6 +40,7 @@ def date_dimension(limits: DataFrame, week_mode: str = "sunday") -> DataFrame:
     days = days.select(
         d, F.add_months(d, -12).alias("prior_year_date_day"), F.date_sub(d, 364).alias("prior_year_over_year_date_day")
     )
+    # fixed values: the attribute names are the output contract
     attributes: dict[str, Column] = {
         "date_day": d,
         "prior_date_day": F.date_sub(d, 1),

@@ -19,6 +19,7 @@ from cartmill.operators.ranking import exact_quantiles, with_neighbour
 from cartmill.operators.relational import date_spine
 
 Condition = Column | str | None
+# fixed values: names of the modes and rules callers give
 LIST_MODES = ("any", "all")
 MISSING_RULES = ("all_values_are_missing", "any_value_is_missing")
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Column contracts of the gold extracts, in order.
+# Column contracts of the gold extracts, in order.
 GOLD_CONTRACTS: dict[str, tuple[str, ...]] = {
     "sales_orders": (
         "order_id", "order_item_id", "product_id", "product_category_name_english", "date_key", "year",
