@@ -4,11 +4,11 @@ Merges run in Spark expressions: a word's bytes become an array of two- or three
 lowest-ranked neighbouring pair into its merged id until no pair has a rank. The rank map is one literal, a hash table
 in a binary value: CRC-32 of a pair's two ids gives the two places where its entry may stand.
 
-Words are encoded once each where that pays: the ``dictionary`` most frequent distinct words of the corpus, a stated
-bound, are folded and broadcast; any other word is folded once per batch of documents that contain it, in the same
-expression. Documents are never shuffled: a map lists the words its batch lacks, the fold encodes them, and a second map puts
-the ids together in order and decodes them. Words longer than ``LONG_BYTES`` would make the fold quadratic; they take
-the same merges from a heap in the second map.
+Words are encoded once each where that pays: the most frequent distinct words of the corpus, ``DICTIONARY_WORDS`` of
+at most ``DICTIONARY_BYTES`` bytes or fewer, are folded and broadcast, a bounded size; any other word is folded once
+per batch of documents that contain it, in the same expression. Documents are never shuffled: a map puts the ids of
+known words in order, with marks for the words it lacks, the fold encodes those, and a second map replaces the marks
+and decodes. Words longer than ``LONG_BYTES`` would make the fold quadratic; they take the same merges from a heap.
 
 Defined results: null and empty texts give no ids; equal rows give equal results; a null id is passed through.
 """
@@ -20,22 +20,23 @@ import heapq
 import re
 import struct
 import zlib
-from collections import Counter
-from functools import lru_cache
+from array import array
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartmill.llm import common
 
-DICTIONARY_WORDS = 1 << 19
-LONG_BYTES = 256
-_CACHED_UNITS = 200_000
-_FLUSH_UNITS = 300_000
+DICTIONARY_WORDS = 1 << 21
+DICTIONARY_BYTES = 32
+LONG_BYTES = 128
+_CACHED = 250_000  # units or words that a worker remembers
 
 # white space as the splitting pattern has it
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -54,6 +55,20 @@ def _word_pattern(pattern: str):
     return regex.compile(inside)
 
 
+def _splitter(pattern: str):
+    """(lead, unit) to the matches in lead + unit; letters, and letters with one point or comma, need no search."""
+    search = _word_pattern(pattern).findall
+
+    def split(lead: str, unit: str) -> list[str]:
+        if unit.isalpha():
+            return [lead + unit]
+        if unit[-1] in ".," and unit[:-1].isalpha():
+            return [lead + unit[:-1], unit[-1]]
+        return search(lead + unit)
+
+    return split
+
+
 class RankTable:
     """The rank map as one binary value for Spark expressions; ``width`` bytes hold an id."""
 
@@ -101,92 +116,89 @@ class RankTable:
         return table
 
     def fold(self, words: Column) -> Column:
-        """Array of words, each a string of Latin-1 characters standing for bytes, to array of ids in hex.
+        """Array of words, each a string of Latin-1 characters standing for bytes, to array of packed ids (binary).
 
-        A word is an array with an entry for each neighbouring pair, a mark standing before the first part and after
-        the last: rank, offset of the left part, left id, right id. The smallest entry is thus the leftmost pair of
-        the lowest rank; merging it replaces three entries by two.
+        A word's state are two binary values: the ids of its parts between two marks, and the ranks of its
+        neighbouring pairs. The smallest rank with its place is the leftmost pair of the lowest rank. Binary values
+        are cut and joined at a fraction of the cost of arrays.
         """
         w, mask, bits = self.width, (1 << self.bits) - 1, self.bits
-        none, one_id, two_ids, size = F.lit(self.none), F.lit(w), F.lit(2 * w), 3 * w
-        left, right = F.lit(w + 3), F.lit(2 * w + 3)
+        none, one_id, two_ids, rest = F.lit(self.none), F.lit(w), F.lit(2 * w), F.lit(1 << 20)
 
         def let(value: Column, body) -> Column:
             return F.transform(F.array(value), body)[0]
 
-        def entry(table: Column):
-            """Put the rank before offset, left id and right id."""
-
-            def ranked(pair: Column) -> Column:
-                key = F.substring(pair, F.lit(3), two_ids)
+        def ids_at(packed: Column, place: Column, count: Column = one_id) -> Column:
+            return F.substring(packed, place * w + 1, count)
 
+        def rank_of(table: Column, key: Column) -> Column:
+            def look(hashed: Column) -> Column:
                 def at(place: Column) -> Column:
-                    return (place * size + 1).cast("int")
-
-                def look(first: Column, second: Column) -> Column:
-                    # a pair stands in its second place only if its first is taken
-                    return (
-                        F.when(F.substring(table, first + 2 * w, one_id) == none, none)
-                        .when(F.substring(table, first, two_ids) == key, F.substring(table, first + 2 * w, one_id))
-                        .when(F.substring(table, second, two_ids) == key, F.substring(table, second + 2 * w, one_id))
-                        .otherwise(none)
-                    )
-
-                hashed = F.crc32(key)
+                    return (place * (3 * w) + 1).cast("int")
+
                 first = at(hashed.bitwiseAND(F.lit(mask)))
                 second = at(F.shiftright(hashed, 32 - bits).bitwiseAND(F.lit(mask)))
-                return F.concat(look(first, second), pair)
+                # a pair stands in its second place only if its first is taken
+                return (
+                    F.when(F.substring(table, first, two_ids) == key, F.substring(table, first + 2 * w, one_id))
+                    .when(F.substring(table, first + 2 * w, one_id) == none, none)
+                    .when(F.substring(table, second, two_ids) == key, F.substring(table, second + 2 * w, one_id))
+                    .otherwise(none)
+                )
 
-            return ranked
+            return look(F.crc32(key))
 
-        def merge(table: Column):
-            ranked = entry(table)
+        def merge(known: Column, places: Column):
+            def step(state: Column, _: Column) -> Column:
+                parts, ranks = state["parts"], state["ranks"]
 
-            def step(entries: Column, _: Column) -> Column:
                 def at(best: Column) -> Column:
                     merged = F.substring(best, F.lit(1), one_id)
 
-                    def replaced(before: Column, after: Column) -> Column:
-                        left_pair = F.concat(F.substring(before, F.lit(w + 1), F.lit(2 + w)), merged)
-                        right_pair = F.concat(F.substring(best, F.lit(w + 1), F.lit(2)), merged, F.substring(after, right, one_id))
-                        # cheaper than cutting the array: drop the merged entry, then replace its neighbours
-                        return F.transform(
-                            F.array_remove(entries, best),
-                            lambda x: F.when(x == before, ranked(left_pair)).when(x == after, ranked(right_pair)).otherwise(x),
-                        )
-
                     def around(p: Column) -> Column:
-                        return let(F.get(entries, p - 2), lambda l: let(F.get(entries, p), lambda r: replaced(l, r)))
+                        before = F.concat(ids_at(parts, p - 1), merged)
+                        after = F.concat(merged, ids_at(parts, p + 2))
+                        return F.struct(
+                            F.concat(F.substring(parts, F.lit(1), p * w), merged, ids_at(parts, p + 2, rest)).alias("parts"),
+                            F.concat(
+                                F.substring(ranks, F.lit(1), (p - 1) * w),
+                                let(before, lambda key: rank_of(known["table"], key)),
+                                let(after, lambda key: rank_of(known["table"], key)),
+                                ids_at(ranks, p + 2, rest),
+                                none,  # as many ranks as before
+                            ).alias("ranks"),
+                        )
 
-                    return F.when(merged == none, entries).otherwise(
-                        let(F.array_position(entries, best).cast("int"), around)
-                    )
+                    place = F.ascii(F.substring(best, F.lit(w + 1), F.lit(4)).cast("string")) - 1
+                    done = F.struct(parts.alias("parts"), F.lit(b"").alias("ranks"))
+                    return F.when(merged == none, done).otherwise(let(place, around))
 
-                return let(F.array_min(entries), at)
+                best = F.array_min(F.transform(places, lambda place, i: F.concat(ids_at(ranks, i), place)))
+                return F.when(F.length(ranks) == 0, state).otherwise(let(best, at))
 
             return step
 
         def encode(known: Column):
             def one(word: Column) -> Column:
                 def run(codes: Column) -> Column:
-                    n = F.size(codes)
-
-                    def pair(i: Column) -> Column:
-                        a, b = F.get(codes, i - 1), F.get(codes, i)  # null beyond the ends
-                        return F.concat(
-                            F.coalesce(F.substring(known["bytes"], (a * 256 + b) * w + 1, one_id), none),
-                            F.get(known["offset"], i),
-                            F.coalesce(F.get(known["single"], a), none),
-                            F.coalesce(F.get(known["single"], b), none),
+                    parts = F.aggregate(codes, none, lambda packed, c: F.concat(packed, F.get(known["single"], c)))
+
+                    def append(packed: Column, i: Column) -> Column:
+                        pair = (F.get(codes, i - 1) * 256 + F.get(codes, i)) * w + 1  # null beyond the ends
+                        return F.concat(packed, F.coalesce(F.substring(known["bytes"], pair, one_id), none))
+
+                    def merged(places: Column) -> Column:
+                        start = F.struct(
+                            F.concat(parts, none).alias("parts"), F.aggregate(F.sequence(F.lit(0), F.size(codes)), F.lit(b""), append).alias("ranks")
+                        )
+                        return F.aggregate(
+                            codes,
+                            start,
+                            merge(known, places),
+                            lambda state: F.substring(state["parts"], F.lit(w + 1), F.length(state["parts"]) - 2 * w),
                         )
 
-                    ids = F.aggregate(
-                        codes,
-                        F.transform(F.sequence(F.lit(0), n), pair),
-                        merge(known["table"]),
-                        lambda e: F.array_join(F.transform(e, lambda x: F.hex(F.substring(x, left, one_id))), ""),
-                    )
-                    return F.substring(ids, F.lit(2 * w + 1), F.length(ids))  # without the mark in front
+                    return let(F.slice(known["place"], F.lit(1), F.size(codes) + 1), merged)
 
                 return let(F.transform(F.split(word, ""), lambda c: F.ascii(c)), run)
 
@@ -197,8 +209,8 @@ class RankTable:
             F.lit(self.table).alias("table"),
             F.lit(self.byte_pairs).alias("bytes"),
             _binaries(self.bytes).alias("single"),
-            # an offset of two bytes is what LONG_BYTES has to fit
-            _binaries([i.to_bytes(2, "big") for i in range(LONG_BYTES + 1)]).alias("offset"),
+            # a place is a character, whose UTF-8 form sorts by its code
+            _binaries([chr(i + 1).encode() for i in range(LONG_BYTES + 1)]).alias("place"),
         )
         return F.transform(F.array(known), lambda k: F.transform(words, encode(k)))[0]
 
@@ -238,30 +250,30 @@ def merge_long(ranks: dict[bytes, int], word: bytes) -> list[int]:
     return out
 
 
-def _count_units(docs: DataFrame, pattern: str) -> DataFrame:
-    """(word, n): distinct words as Latin-1 strings with their counts, added up in each task before the shuffle."""
-    schema = common.schema_of(("word", T.StringType()), ("n", T.LongType()))
-    target = common.arrow_schema(schema)
+def units_of(text: str) -> tuple[list[str], list[str] | None]:
+    """A text in units that no match of the splitting pattern crosses.
+
+    Where single spaces and single line ends are all its white space, these are the lines' words, each but a line's
+    first with the space before it: returned are the text's lines and None. Otherwise returned are the units proper,
+    runs of white space with what follows, as the second value.
+    """
+    words = text.split()
+    if sum(map(len, words)) + len(words) - 1 == len(text) and text.count(" ") + text.count("\n") == len(words) - 1:
+        return text.split("\n"), None
+    return [], _UNIT.findall(text)
 
-    def words_of(units: Counter):
-        split, counts = _word_pattern(pattern), Counter()
-        for unit, n in units.items():
-            for word in split.findall(unit):
-                counts[word] += n
-        return common.to_batch([(w.encode().decode("latin-1"), n) for w, n in counts.items()], target)
 
-    def run(batches):
-        units: Counter = Counter()
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                units.update(_UNIT.findall(text or ""))
-                if len(units) >= _FLUSH_UNITS:
-                    yield words_of(units)
-                    units.clear()
-        if units:
-            yield words_of(units)
+def _count_words(docs: DataFrame, text_col: str, pattern: str) -> DataFrame:
+    """(word, n): distinct words with their counts.
 
-    return docs.mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("n"))
+    White-space separated units are counted first, in each task before the shuffle, and only distinct ones are
+    divided into words. Java's idea of letters decides here what is worth remembering, never what ids come out.
+    """
+    text = F.col(f"`{common.field(docs, text_col).name}`")
+    units = docs.select(F.explode(F.regexp_extract_all(text, F.lit(r"\s*\S+"), F.lit(0))).alias("unit"))
+    counted = units.groupBy("unit").agg(F.count("*").alias("n"))
+    words = counted.select(F.explode(F.regexp_extract_all("unit", F.lit(pattern), F.lit(0))).alias("word"), "n")
+    return words.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _frequent(counts: DataFrame, most: int) -> DataFrame:
@@ -276,73 +288,174 @@ def _frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.filter(F.col("n") >= least)
 
 
-def dictionary(
-    docs: DataFrame, text_col: str, table: RankTable, ranks: dict[bytes, int], pattern: str, most: int = DICTIONARY_WORDS
-) -> dict[bytes, bytes]:
-    """Ids of the most frequent distinct words as little-endian 32-bit integers, at most ``most`` beside the ranks' own."""
-    own = {t: struct.pack("<I", r) for t, r in ranks.items()}
-    name = common.field(docs, text_col).name
-    # counted once; three passes read it
-    counts = common.stored(_count_units(docs.select(F.col(f"`{name}`")), pattern), "bpe-words")
-    words = _frequent(counts.filter((F.length("word") <= LONG_BYTES) & (F.length("word") > 1)), most)
-    packed = words.select("word", table.fold(F.array("word"))[0].alias("ids"))
-    for row in packed.toLocalIterator():
-        own.setdefault(row["word"].encode("latin-1"), _little(row["ids"], table.width))
-    return own
+def dictionary(docs: DataFrame, text_col: str, table: RankTable, pattern: str, most: int = DICTIONARY_WORDS) -> Dictionary:
+    """The most frequent distinct words with their ids."""
+    # counted once; two passes read it
+    counts = common.stored(_count_words(docs, text_col, pattern), "bpe-words")
+    size = F.octet_length("word")
+    words = _frequent(counts.filter((size > 1) & (size <= DICTIONARY_BYTES)), most)
+    # folding is work for all cores, however few bytes the words are
+    spread = words.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
+    latin = F.decode(F.encode("word", "UTF-8"), "ISO-8859-1")
+    packed = spread.select(F.xxhash64("word").alias("hash"), table.fold(F.array(latin))[0].alias("ids")).toArrow()
+    return Dictionary.of(packed)
+
+
+def _little(ids: bytes, width: int) -> bytes:
+    """Packed big-endian ids, ``width`` bytes wide, as little-endian 32-bit integers."""
+    return b"".join([ids[i : i + width][::-1] + b"\0" * (4 - width) for i in range(0, len(ids), width)])
+
+
+class Dictionary:
+    """Packed ids of words by the words' hashes: some 20 bytes for each. Callers tell words of equal hash apart."""
+
+    def __init__(self, hashes: array, starts: array, ids: bytes, buckets: list[int]):
+        self.hashes, self.starts, self.ids, self.buckets = hashes, starts, ids, buckets
+
+    @classmethod
+    def of(cls, packed: pa.Table) -> Dictionary:
+        packed = packed.sort_by("hash")
+        hashes = packed["hash"].to_numpy()
+        column = pa.concat_arrays(packed["ids"].chunks) if len(hashes) else pa.array([], type=pa.binary())
+        offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[: len(column) + 1] if len(column) else np.zeros(1, np.int32)
+        starts, ids = offsets.astype(np.uint32), (column.buffers()[2].to_pybytes() if len(column) else b"")
+        # hashes are spread evenly: their upper 16 bits leave a few to search
+        tops = (np.arange(1 << 16, dtype=np.int64) - (1 << 15)) << 48
+        buckets = [*np.searchsorted(hashes, tops).tolist(), len(hashes)]
+        return cls(array("q", hashes.tobytes()), array("I", starts.tobytes()), ids, buckets)
+
+    def find(self, word: bytes) -> bytes | None:
+        """Packed ids of a word, or of another with the same hash."""
+        wanted = xxhash.xxh64_intdigest(word, 42)
+        wanted -= (wanted >> 63) << 64
+        bucket = (wanted >> 48) + (1 << 15)
+        at = bisect_left(self.hashes, wanted, self.buckets[bucket], self.buckets[bucket + 1])
+        if at == len(self.hashes) or self.hashes[at] != wanted:
+            return None
+        return self.ids[self.starts[at] : self.starts[at + 1]]
+
+
+class Pieces:
+    """The bytes of every id."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            pieces[rank] = token
+        self.sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+
+    def decode(self, ids: bytes, step: int = 1 << 18) -> bytes:
+        """The pieces of little-endian 32-bit ids, one after the other."""
+        numbers, out = np.frombuffer(ids, dtype="<u4"), []
+        for part in (numbers[i : i + step] for i in range(0, len(numbers), step)):
+            sizes = self.sizes[part]
+            ends = np.cumsum(sizes)
+            at = np.repeat(self.starts[part] - (ends - sizes), sizes)
+            out.append(self.data[at + np.arange(len(at))].tobytes())
+        return b"".join(out)
+
+
+_MARK = b"\xff" * 4
+
 
+class _Units(dict):
+    """Ids of units that follow ``lead``, encoded when first met."""
 
-def _little(ids: str, width: int) -> bytes:
-    """Ids in hex, big-endian and ``width`` bytes wide, as little-endian 32-bit integers."""
-    data = bytes.fromhex(ids)
-    return b"".join(data[i : i + width][::-1] + b"\0" * (4 - width) for i in range(0, len(data), width))
+    def __init__(self, words: _Words, lead: str):
+        super().__init__({"": b""})
+        self.words, self.lead = words, lead
+
+    def __missing__(self, unit: str) -> bytes:
+        words = self.words
+        lacking = len(words.lacking)
+        words.met_lacking = False
+        ids = b"".join([words.ids(w) for w in words.split(self.lead, unit)])
+        self[unit] = ids
+        if words.met_lacking or len(words.lacking) > lacking:
+            words.temporary.append((self, unit))
+        return ids
 
 
 class _Words:
-    """What a worker knows: the broadcast dictionary and the units met so far."""
-
-    def __init__(self, known: dict[bytes, bytes], pattern: str):
-        self.known, self.split = known, _word_pattern(pattern)
-        self.units: dict[str, bytes] = {}
-        self.complete: set[str] = set()
-        self.ranks = {t: struct.unpack("<I", v)[0] for t, v in known.items() if len(v) == 4}
-
-    def missing(self, texts: list[str | None]) -> list[bytes]:
-        """Words of the texts that the fold has to encode, each once."""
-        known, found = self.known, {}
-        for text in texts:
-            for unit in set(_UNIT.findall(text or "")) - self.complete:
-                whole = True
-                for word in self.split.findall(unit):
-                    data = word.encode()
-                    if data not in known and len(data) <= LONG_BYTES:
-                        found[data] = whole = False
-                if whole:
-                    if len(self.complete) >= _CACHED_UNITS:
-                        self.complete.clear()
-                    self.complete.add(unit)
-        return list(found)
-
-    def encode(self, text: str, rest: dict[bytes, bytes]) -> bytes:
-        """Ids of a text as little-endian 32-bit integers."""
-        units = _UNIT.findall(text)
-        cache = self.units
-        if len(cache) >= _CACHED_UNITS:
-            cache.clear()
-        for unit in set(units).difference(cache):
-            parts = []
-            for word in self.split.findall(unit):
-                data = word.encode()
-                ids = self.known.get(data) or rest.get(data)
-                if ids is None:
-                    ids = struct.pack(f"<{len(m)}I", *m) if (m := merge_long(self.ranks, data)) else b""
-                parts.append(ids)
-            cache[unit] = b"".join(parts)
-        return b"".join(map(cache.__getitem__, units))
-
-
-@lru_cache(maxsize=2)
-def _words(key: int, shared, pattern: str) -> _Words:
-    return _Words(shared.value, pattern)
+    """What a worker knows: ranks, the broadcast dictionary, and the units and words met so far.
+
+    Ids are little-endian 32-bit integers. A word that only the fold can encode is a mark and its number among the
+    words that the batch lacks.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], known: Dictionary, pattern: str, width: int):
+        self.ranks, self.known, self.width = ranks, known, width
+        self.split = _splitter(pattern)
+        self.packed = {rank.to_bytes(width, "big"): token for token, rank in ranks.items()}
+        self.line_end = ranks[b"\n"].to_bytes(4, "little")
+        self.pieces = Pieces(ranks)
+        self.met: dict[str, bytes] = {}
+        self.spaced, self.plain = _Units(self, " "), _Units(self, "")
+        self.lacking: dict[bytes, int] = {}
+        self.temporary: list[tuple[_Units, str]] = []
+        self.met_lacking = False
+
+    def ids(self, word: str) -> bytes:
+        found = self.met.get(word)
+        if found is None:
+            data = word.encode()
+            found = self._known(data)
+            if found is None:
+                self.met_lacking = True
+                return _MARK + self.lacking.setdefault(data, len(self.lacking)).to_bytes(4, "little")
+            self.met[word] = found
+        return found
+
+    def _known(self, word: bytes) -> bytes | None:
+        if (rank := self.ranks.get(word)) is not None:
+            return rank.to_bytes(4, "little")
+        if len(word) > LONG_BYTES:
+            return struct.pack(f"<{len(ids := merge_long(self.ranks, word))}I", *ids)
+        found, width = self.known.find(word), self.width
+        if found is None or b"".join([self.packed[found[i : i + width]] for i in range(0, len(found), width)]) != word:
+            return None
+        return _little(found, width)
+
+    def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of the texts, with marks, and the words that the marks number."""
+        out = [self._encode(t) if t else b"" for t in texts]
+        lacking = list(self.lacking)
+        for units, unit in self.temporary:
+            units.pop(unit, None)
+        self.lacking.clear()
+        self.temporary.clear()
+        for cache in (self.met, self.spaced, self.plain):
+            if len(cache) >= _CACHED:
+                cache.clear()
+        return out, lacking
+
+    def _encode(self, text: str) -> bytes:
+        lines, units = units_of(text)
+        if units is not None:
+            return b"".join(map(self.plain.__getitem__, units))
+        spaced, plain, out = self.spaced.__getitem__, self.plain.__getitem__, []
+        for line in lines:
+            head, *tail = line.split(" ")
+            out.append(plain(head))
+            out += map(spaced, tail)
+            out.append(self.line_end)
+        return b"".join(out[:-1])
+
+
+def _unmarked(ids: bytes, rest: list[bytes]) -> bytes:
+    """Ids with every mark and number replaced by the ids of that word."""
+    numbers = np.frombuffer(ids, dtype="<u4")
+    marks = np.flatnonzero(numbers == 0xFFFFFFFF).tolist()
+    if not marks:
+        return ids
+    out, at = [], 0
+    for m in marks:
+        out += (ids[4 * at : 4 * m], rest[numbers[m + 1]])
+        at = m + 2
+    out.append(ids[4 * at :])
+    return b"".join(out)
 
 
 def encode_documents(
@@ -350,77 +463,74 @@ def encode_documents(
     ranks_path: str,
     pattern: str,
     text_col: str = "text",
+    keep: list[str] | None = None,
     most: int = DICTIONARY_WORDS,
     finish=None,
     fields: list[T.StructField] | None = None,
 ) -> DataFrame:
-    """``docs`` with the column ``ids`` (array of int), or with what ``finish(ids, pieces)`` makes of them.
+    """The columns ``keep`` of ``docs``, or all, with the column ``ids`` (array of int) or what ``finish`` makes of it.
 
-    ``finish`` gets the ids as bytes of little-endian 32-bit integers and the list of binary pieces by id, and returns
-    a tuple for ``fields``.
+    ``finish`` gets the ids as bytes of little-endian 32-bit integers and ``Pieces`` to decode them, and returns a
+    tuple for ``fields``.
     """
     ranks = read_ranks(ranks_path)
     table = RankTable(ranks)
-    spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(dictionary(docs, text_col, table, ranks, pattern, most))
-    at = docs.columns.index(common.field(docs, text_col).name)
-    width, mark = table.width, known._jbroadcast.id() if known._jbroadcast else id(known)
+    context = docs.sparkSession.sparkContext
+    known = context.broadcast((ranks, dictionary(docs, text_col, table, pattern, most)))
+    common.release()  # the driver's memory is small
+    width = table.width
+    kept = docs.select(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).schema
+    source = docs.select(F.col(f"`{common.field(docs, text_col).name}`").alias("_text"), *[F.col(f"`{f.name}`") for f in kept])
 
     # a batch of documents is one row, next to the distinct words its documents lack
-    inner = docs.schema
-    gathered = common.schema_of(("docs", T.ArrayType(inner)), ("rest", T.ArrayType(T.StringType())))
+    held = T.StructType([*kept, T.StructField("_ids", T.BinaryType())])
+    gathered = common.schema_of(("docs", T.ArrayType(held)), ("rest", T.ArrayType(T.StringType())))
     target = common.arrow_schema(gathered)
 
     def gather(batches):
-        words = _words(mark, known, pattern)
+        words = common.held(("bpe", known, pattern), lambda: _Words(*known.value, pattern, width))
+        struct_type = target.field(0).type.value_type
         for b in batches:
-            for part in common.slices(b, at):
-                rest = [w.decode("latin-1") for w in words.missing(part.column(at).to_pylist())]
-                struct_type = target.field(0).type.value_type
+            for part in common.slices(b, 0):
+                ids, lacking = words.encode(part.column(0).to_pylist())
+                columns = [*part.columns[1:], pa.array(ids, type=pa.binary())]
                 rows = pa.StructArray.from_arrays(
-                    [c.cast(f.type) for c, f in zip(part.columns, struct_type, strict=True)], fields=list(struct_type)
+                    [c.cast(f.type) for c, f in zip(columns, struct_type, strict=True)], fields=list(struct_type)
                 )
+                rest = pa.array([w.decode("latin-1") for w in lacking], type=pa.string())
                 lists = [
                     pa.ListArray.from_arrays(pa.array([0, len(x)], type=pa.int32()), x, type=f.type)
-                    for x, f in ((rows, target.field(0)), (pa.array(rest, type=pa.string()), target.field(1)))
+                    for x, f in ((rows, target.field(0)), (rest, target.field(1)))
                 ]
                 yield pa.RecordBatch.from_arrays(lists, schema=target)
+        common.release()
 
-    folded = docs.mapInArrow(gather, gathered).select("docs", "rest", table.fold(F.col("rest")).alias("ids"))
+    folded = source.mapInArrow(gather, gathered).select("docs", table.fold(F.col("rest")).alias("rest"))
     if finish is None:
         fields = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
 
         def finish(ids, _):
-            return (np.frombuffer(ids, dtype="<u4").astype(np.int32).tolist(),)
+            return (as_list(ids),)
 
-    schema = T.StructType([*inner, *fields])
+    schema = T.StructType([*kept, *fields])
 
-    def rows(batch):
-        words = _words(mark, known, pattern)
-        pieces = _pieces(mark, words)
-        for held, rest, ids in batch:
-            extra = {w.encode("latin-1"): _little(i, width) for w, i in zip(rest, ids, strict=True)}
-            for doc in held:
-                doc = tuple(doc.values())
-                yield (*doc, *finish(words.encode(doc[at] or "", extra), pieces))
-
-    return common.arrow_map(folded, rows, schema, batch=1024)
-
-
-_PIECES: dict[int, list[bytes]] = {}
+    written = common.arrow_schema(schema)
 
+    def unmark(batches):
+        pieces = common.held(("bpe", known, pattern), lambda: _Words(*known.value, pattern, width)).pieces
+        for b in batches:
+            for i in range(b.num_rows):  # one slice of documents at a time
+                ((held, packed),) = zip(*[c.to_pylist() for c in b.slice(i, 1).columns], strict=True)
+                rest = [_little(p, width) for p in packed]
+                out = []
+                for doc in held:
+                    *own, ids = doc.values()
+                    out.append((*own, *finish(_unmarked(ids, rest), pieces)))
+                yield common.to_batch(out, written)
+        common.release()
 
-def _pieces(key: int, words: _Words) -> list[bytes]:
-    """The binary piece of each id."""
-    if key not in _PIECES:
-        _PIECES.clear()
-        out = [b""] * (max(words.ranks.values()) + 1)
-        for token, rank in words.ranks.items():
-            out[rank] = token
-        _PIECES[key] = out
-    return _PIECES[key]
+    return folded.mapInArrow(unmark, schema)
 
 
-def decode(ids: bytes, pieces: list[bytes]) -> bytes:
-    """The pieces of little-endian 32-bit ids, one after the other."""
-    return b"".join(map(pieces.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+def as_list(ids: bytes) -> list[int]:
+    return np.frombuffer(ids, dtype="<u4").tolist()

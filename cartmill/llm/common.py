@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -13,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartmill.session import apply_semantics, scratch_root
+from cartmill.session import WRITTEN, apply_semantics, scratch_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,6 +75,7 @@ def arrow_map(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterable[tuple]],
                     out = []
             if out:
                 yield to_batch(out, target)
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -94,8 +98,10 @@ def schema_of(*fields: T.StructField | tuple[str, T.DataType]) -> T.StructType:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own in the shared scratch folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A folder of its own in the shared scratch folder, deleted by ``clear_scratch``."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    WRITTEN.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -122,3 +128,26 @@ def slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20):
         held += int(size)
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+_HELD: list = [None, None]
+
+
+def held(key: tuple, build):
+    """What ``build`` makes, kept in the worker until something else is asked for.
+
+    Workers live on from task to task and from one operator to the next; only one thing is kept in each.
+    """
+    if _HELD[0] is None or len(_HELD[0]) != len(key) or any(a is not b and a != b for a, b in zip(_HELD[0], key, strict=True)):
+        _HELD[:] = [None, None]
+        release()
+        _HELD[:] = [key, build()]
+    return _HELD[1]
+
+
+def release() -> None:
+    """Give freed memory back to the system before the worker waits for its next task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has this
+        ctypes.CDLL(None).malloc_trim(0)

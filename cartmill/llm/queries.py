@@ -135,14 +135,12 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
 
-    def finish(ids: bytes, pieces: list[bytes]) -> tuple:
-        decoded = bpe.decode(ids, pieces)
+    def finish(ids: bytes, pieces: bpe.Pieces) -> tuple:
+        decoded = pieces.decode(ids)
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
-    encoded = bpe.encode_documents(
-        docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, finish=finish, fields=_BPE_FIELDS
-    )
-    return encoded.drop("text")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"], finish=finish, fields=_BPE_FIELDS)
 
 
 _END_ID = 1

@@ -19,7 +19,6 @@ import re
 import struct
 import zlib
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import regex
@@ -144,7 +143,6 @@ class Shard:
             start = end
 
 
-@lru_cache(maxsize=1)
 def _encoder(path: str, end_id: int, words) -> _UnitEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -246,7 +244,8 @@ def write_token_ids(
         from pyspark import TaskContext
 
         part, attempt, seq = TaskContext.get().partitionId(), files.attempt_name(), 0
-        encoder = _encoder(tokenizer_path, end_id, words)
+        kept = ("token ids", tokenizer_path, end_id, words)
+        encoder = common.held(kept, lambda: _encoder(tokenizer_path, end_id, words))
         keys, ends, ids, total = [], [], [], 0
 
         def flush():

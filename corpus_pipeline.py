@@ -55,13 +55,14 @@ def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Token ids of each document and the text they decode to."""
     common.importable(spark)
 
-    def finish(ids: bytes, pieces: list[bytes]) -> tuple:
-        return len(ids) // 4, bpe.as_list(ids), bpe.decode(ids, pieces).decode()
+    def finish(ids: bytes, pieces: bpe.Pieces) -> tuple:
+        return len(ids) // 4, bpe.as_list(ids), pieces.decode(ids).decode()
 
     encoded = bpe.encode_documents(
-        docs.select("doc_id", "text"),
+        docs,
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
         public_tokenizers.PATTERN,
+        keep=["doc_id"],
         finish=finish,
         fields=_TOKENS,
     )
