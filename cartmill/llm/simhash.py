@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from cartmill.llm import common
 
-SHARD_ROWS = 20_000
+SHARD_ROWS = 4_000
 _LEAF = 64
 _BLOCK = 1 << 21  # distances computed at once
 
@@ -190,7 +190,9 @@ def _stars(distinct: DataFrame, max_bits: int) -> DataFrame:
         inside = np.flatnonzero(groups.label != np.arange(len(values)))
         return pd.DataFrame({"a": ordered[inside], "b": ordered[groups.label[inside]]})
 
-    return dealt.groupBy("cell", "part").applyInPandas(search, edges).filter("a <> b").distinct()
+    # the join has dealt rows by cell alone, which would leave the parts of a cell together
+    spread = dealt.repartition("cell", "part")
+    return spread.groupBy("cell", "part").applyInPandas(search, edges).filter("a <> b").distinct()
 
 
 def _state(edges: DataFrame) -> tuple:
