@@ -31,11 +31,11 @@ _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 class RepetitionLimits:
     """Largest accepted percentages of word characters, by n-gram length and for lines, and the base rules.
 
-    Shares are of characters only: a short text that repeats one of its few lines is not yet repetitive.
+    Shares are of characters only: the number of lines is no rule, as a short clean text may repeat one of three.
     """
 
-    ngrams: dict[int, int] = field(default_factory=lambda: {5: 25, 6: 24, 7: 23, 8: 22, 9: 21, 10: 20})
-    line_chars: int = 25
+    ngrams: dict[int, int] = field(default_factory=lambda: {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10})
+    line_chars: int = 20
     min_words: int = 50
     max_repeat_percent: int = 50
 

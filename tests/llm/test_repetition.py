@@ -52,6 +52,15 @@ def test_verdicts(spark, docs):
     ]
 
 
+def test_verdict_of_the_method_alone():
+    """A passage of 60 words that stands twice among 360 passes the base rules and is rejected by its 10-grams."""
+    words = [f"word{i:03}" for i in range(300)]
+    *_, failed, kept = repetition.measure(" ".join(words + words[100:160]), LIMITS)
+    assert (failed, kept) == (False, False)
+    *_, failed, kept = repetition.measure(" ".join(words + words[100:120]), LIMITS)
+    assert (failed, kept) == (False, True)
+
+
 def test_long_text_and_empty_table(docs):
     n, *_, failed, kept = repetition.measure("word " * 300_000, LIMITS)
     assert (n, failed, kept) == (300_000, True, False)
