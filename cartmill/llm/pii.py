@@ -1,14 +1,16 @@
 """Personal data: patterns, and terms that the corpus shows to give protected values away.
 
-Base patterns find e-mail addresses, IP addresses, card and phone numbers. Around each found value stand context
-terms. Co-occurrence over the whole corpus says how much a term t reveals a value c: with n(c) and n(t) the number of
-texts having either and n(t, c) those having t in the context of c, disclosure is PMI(t; c) / IC(c), where
-IC(c) = log2(N / n(c)) is all there is to learn about c. A term whose disclosure reaches ``threshold`` in at least
-``min_support`` different contexts and as many texts is generalised to a placeholder wherever it stands in the context
-of that value. Copies of a passage are one context, so that copying alone convicts no term, and neither does one text.
-
-Texts are searched by a map; what is shuffled are counts, combined in each task first, keyed by (value, term) or by
-term, so that a value or term standing in a third of all texts costs each task one row.
+Base patterns find e-mail addresses, IP addresses, card and phone numbers. Co-occurrence over the whole corpus says how
+much a term t reveals a found value c: with n(c) and n(t) the number of texts having either and n(t, c) those having
+both, wherever they stand, disclosure is PMI(t; c) / IC(c), where IC(c) = log2(N / n(c)) is all there is to learn about
+c. A term whose disclosure reaches ``threshold`` is generalised to a placeholder wherever it stands in the texts having
+that value. Any word that stands only once in the corpus would reveal its text's value, so two texts are the least that
+show more than chance. Copies count once: equal texts are one text, and the words around the value as well as those
+around the term must differ in ``min_support`` ways, so that copying a text or a passage convicts no term.
+
+Texts are searched by a map; what is shuffled are the terms of texts with a value that recurs, and counts, combined in
+each task first, keyed by (value, term) or by term, so that a value or term standing in a third of all texts costs each
+task one row.
 
 Defined results: null and empty texts have no spans; rows with the same id and text give the same result; a null id
 is passed through; extra columns are kept by ``sanitise``.
@@ -17,6 +19,7 @@ is passed through; extra columns are kept by ``sanitise``.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -41,10 +44,10 @@ _DIGITS = re.compile(r"[^0-9]+")
 
 @dataclass(frozen=True)
 class Disclosure:
-    """When a term counts as revealing: share of IC, contexts and texts needed, words looked at on either side."""
+    """When a term counts as revealing: share of IC, texts and contexts needed, words on either side in a context."""
 
     threshold: float = 0.9
-    min_support: int = 3
+    min_support: int = 2
     reach: int = 6
 
 
@@ -97,31 +100,28 @@ def _value(text: str, start: int, end: int, kind: str) -> str:
     return f"{kind}:{raw.lower() if kind in ('email', 'ip') else _DIGITS.sub('', raw)}"
 
 
-def context_terms(text: str, spans, reach: int):
-    """(value, [(term, start, end), ...], context) for each base span; terms inside any span are left out."""
-    taken = [(a, b) for a, b, _ in spans]
-    for start, end, kind in spans:
-        # the words to the left are searched backwards in growing slices, so long texts cost no more than short ones
-        terms = []
-        width = 32 * reach
-        for side in ("left", "right"):
-            lo, hi = (max(0, start - width), start) if side == "left" else (end, min(len(text), end + width))
-            near = [(m[0].lower(), lo + m.start(), lo + m.end()) for m in _TERM.finditer(text[lo:hi])]
-            if side == "left" and near and lo > 0 and near[0][1] == lo:
-                near = near[1:]  # cut by the slice
-            if side == "right" and near and hi < len(text) and near[-1][2] == hi:
-                near = near[:-1]
-            terms += near[-reach:] if side == "left" else near[:reach]
-        terms = [t for t in terms if not any(a < t[2] and t[1] < b for a, b in taken_near(taken, t))]
-        yield _value(text, start, end, kind), terms, " ".join(t[0] for t in terms)
+def terms_outside(text: str, spans) -> list[tuple[str, int, int]]:
+    """(term, start, end) of all terms outside the spans, in order."""
+    out, at = [], 0
+    for start, end in [*((a, b) for a, b, _ in spans), (len(text), len(text))]:
+        out += [(m[0].lower(), *m.span()) for m in _TERM.finditer(text, at, max(at, start))]
+        at = max(at, end)
+    return out
 
 
-def taken_near(taken, term):
-    """Base spans that may overlap the term; spans are few and sorted."""
-    from bisect import bisect_left
+def _mark(terms) -> int:
+    import xxhash
 
-    i = bisect_left(taken, (term[2],))
-    return taken[max(0, i - 4) : i]
+    return xxhash.xxh3_64_intdigest(" ".join(t[0] for t in terms).encode()) - (1 << 63)
+
+
+def value_contexts(text: str, spans, reach: int):
+    """(value, context) for each base span: a hash of the nearest terms on either side, however far they are."""
+    terms = terms_outside(text, spans)
+    ends = [t[2] for t in terms]
+    for start, end, kind in spans:
+        at = bisect_right(ends, start)
+        yield _value(text, start, end, kind), _mark(terms[max(0, at - reach) : at + reach])
 
 
 _BASE = T.ArrayType(
@@ -136,29 +136,71 @@ _BASE = T.ArrayType(
 
 
 def _contexts(docs: DataFrame, text_col: str, reach: int) -> DataFrame:
-    """One row per (text, base span, context term): text_key, value, term, start, end, context."""
-    schema = common.schema_of(
-        ("text_key", T.LongType()),
-        ("value", T.StringType()),
-        ("term", T.StringType()),
-        ("start", T.LongType()),
-        ("end", T.LongType()),
-        ("context", T.LongType()),
+    """One row per (text, base span): text_key, value, context."""
+    schema = common.schema_of(("text_key", T.LongType()), ("value", T.StringType()), ("context", T.LongType()))
+
+    def rows(batch):
+        for key, text in batch:
+            spans = base_spans(text) if text else []
+            for value, mark in value_contexts(text, spans, reach) if spans else ():
+                yield key, value, mark
+
+    return common.arrow_map(_keyed(docs, text_col), rows, schema)
+
+
+def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
+    name = common.field(docs, text_col).name
+    return docs.select(F.xxhash64(F.col(f"`{name}`")).alias("text_key"), F.col(f"`{name}`"))
+
+
+_TERMS = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("term", T.StringType()),
+            T.StructField("start", T.LongType()),
+            T.StructField("end", T.LongType()),
+            T.StructField("around", T.LongType()),
+        ]
     )
-    import xxhash
+)
+
+
+def _recurring(contexts: DataFrame, rules: Disclosure) -> DataFrame:
+    """(value, n_value) of the values that stand in enough texts; no other can convict a term."""
+    texts = contexts.groupBy("value", "text_key").agg(F.lit(1).alias("one"))
+    return texts.groupBy("value").agg(F.count("*").alias("n_value")).filter(F.col("n_value") >= rules.min_support)
+
+
+_BITS = 1 << 22
+
+
+def _occurrences(docs: DataFrame, text_col: str, rules: Disclosure, contexts: DataFrame) -> DataFrame:
+    """(text_key, terms): all terms outside base spans, with the words around them, of texts with a recurring value."""
+    schema = common.schema_of(("text_key", T.LongType()), ("terms", _TERMS))
+    reach = rules.reach
+    chosen = contexts.join(_recurring(contexts, rules), "value", "left_semi").select("text_key").distinct()
+    # a bit map of fixed size keeps nearly all other texts out before anything is shuffled
+    bit = F.pmod("text_key", F.lit(_BITS))
+    parts = chosen.groupBy(F.shiftright(bit, 15).alias("part")).agg(F.bitmap_construct_agg(bit.bitwiseAND(32767)).alias("bits"))
+    shared = docs.sparkSession.sparkContext.broadcast({r["part"]: bytes(r["bits"]) for r in parts.collect()})
 
     def rows(batch):
+        bits = shared.value
         for key, text in batch:
-            if not text:
+            at = key % _BITS
+            part = bits.get(at >> 15)
+            if part is None or not part[(at & 32767) >> 3] >> (at & 7) & 1:
                 continue
-            for value, terms, context in context_terms(text, base_spans(text), reach):
-                mark = xxhash.xxh3_64_intdigest(context.encode()) - (1 << 63)
-                for term, a, b in terms:
-                    yield key, value, term, a, b, mark
+            spans = base_spans(text) if text else []
+            if spans:
+                terms = terms_outside(text, spans)
+                yield key, [
+                    {"term": t, "start": a, "end": b, "around": _mark(terms[max(0, i - reach) : i + reach + 1])}
+                    for i, (t, a, b) in enumerate(terms)
+                ]
 
-    name = common.field(docs, text_col).name
-    source = docs.select(F.xxhash64(F.col(f"`{name}`")).alias("text_key"), F.col(f"`{name}`"))
-    return common.arrow_map(source, rows, schema)
+    every = common.arrow_map(_keyed(docs, text_col), rows, schema, batch=256)
+    return every.join(chosen, "text_key", "left_semi").dropDuplicates(["text_key"])
 
 
 def _term_counts(docs: DataFrame, text_col: str, flush: int = 200_000) -> DataFrame:
@@ -185,27 +227,36 @@ def _term_counts(docs: DataFrame, text_col: str, flush: int = 200_000) -> DataFr
 
 
 def disclosing_terms(
-    docs: DataFrame, text_col: str = "text", rules: Disclosure | None = None, contexts: DataFrame | None = None
+    docs: DataFrame,
+    text_col: str = "text",
+    rules: Disclosure | None = None,
+    contexts: DataFrame | None = None,
+    occurrences: DataFrame | None = None,
 ) -> DataFrame:
     """(value, term, disclosure) for the terms that reveal a value found by the base patterns."""
     rules = rules or Disclosure()
     if contexts is None:
         contexts = _contexts(docs, text_col, rules.reach)
-    pairs = (
-        contexts.groupBy("value", "term", "context")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("value", "term")
-        .agg(F.count("*").alias("support"))
-        .filter(F.col("support") >= rules.min_support)
-    )
-    texts = contexts.groupBy("value", "term", "text_key").agg(F.lit(1).alias("one"))
-    joint = texts.groupBy("value", "term").agg(F.count("*").alias("n_joint")).filter(F.col("n_joint") >= rules.min_support)
-    values = (
-        contexts.groupBy("value", "text_key").agg(F.lit(1).alias("one")).groupBy("value").agg(F.count("*").alias("n_value"))
-    )
+    if occurrences is None:
+        occurrences = _occurrences(docs, text_col, rules, contexts)
+    values = _recurring(contexts, rules)
+    around = contexts.join(values, "value", "left_semi")
+    having = around.select("text_key", "value").distinct()
+    terms = occurrences.select("text_key", F.explode("terms").alias("t")).select("text_key", "t.term", "t.around")
+    once = terms.select("text_key", "term").distinct()
+
+    def enough(counted: DataFrame, name: str) -> DataFrame:
+        found = counted.groupBy("value", "term").agg(F.count("*").alias(name))
+        return found.filter(F.col(name) >= rules.min_support)
+
+    def kinds(pairs: DataFrame, of: str) -> DataFrame:
+        return enough(pairs.groupBy("value", "term", of).agg(F.lit(1).alias("one")), f"n_{of}")
+
     total = docs.agg(F.count("*").alias("n_texts"))
     scored = (
-        pairs.join(joint, ["value", "term"])
+        enough(having.join(once, "text_key"), "n_joint")
+        .join(kinds(around.join(once, "text_key"), "context"), ["value", "term"])
+        .join(kinds(having.join(terms, "text_key"), "around"), ["value", "term"])
         .join(values, "value")
         .join(_term_counts(docs, text_col), "term")
         .crossJoin(F.broadcast(total))
@@ -223,13 +274,18 @@ def disclosing_terms(
 def _added(docs: DataFrame, text_col: str, rules: Disclosure) -> DataFrame:
     """(text_key, terms): spans of revealing terms for each text that has any.
 
-    Contexts stand only around base spans, a small part of the text; they are stored because four passes read them.
+    Contexts and the terms of texts with a recurring value are stored, because several passes read them.
     """
     contexts = common.stored(_contexts(docs, text_col, rules.reach), "pii-contexts")
+    occurrences = common.stored(_occurrences(docs, text_col, rules, contexts), "pii-terms")
+    found = disclosing_terms(docs, text_col, rules, contexts, occurrences).select("value", "term")
+    # a term that reveals several values of a text is marked once
+    marked = contexts.select("text_key", "value").distinct().join(found, "value").select("text_key", "term").distinct()
+    places = occurrences.select("text_key", F.explode("terms").alias("t")).select("text_key", "t.term", "t.start", "t.end")
     return (
-        contexts.join(disclosing_terms(docs, text_col, rules, contexts), ["value", "term"])
+        places.join(marked, ["text_key", "term"])
         .groupBy("text_key")
-        .agg(F.collect_set(F.struct("start", "end", F.lit(TERM).alias("kind"))).cast(_BASE).alias("terms"))
+        .agg(F.collect_list(F.struct("start", "end", F.lit(TERM).alias("kind"))).cast(_BASE).alias("terms"))
     )
 
 

@@ -63,6 +63,27 @@ def test_copies_are_one_context(docs):
     assert pii.disclosing_terms(docs(rows + contexts(2))).count() == 0
 
 
+def test_terms_of_whole_texts(docs):
+    """A name far from the address convicts in two texts and is marked all over them; near copies do not."""
+    far = " " * 3000 + " ".join(f"plain{'abcdefghijkl'[j]}" for j in range(12)) + " " * 3000
+    plain = [(50 + i, f"{WORDS[i % 5]} {far} {WORDS[i % 3]}") for i in range(30)]
+    rows = [(i, f"{WORDS[i]} Zorblax {WORDS[i]} lives {far} {WORDS[i + 1]} zb@mail.org {WORDS[i]} Zorblax") for i in range(2)]
+    found = {(r["value"], r["term"]) for r in pii.disclosing_terms(docs(rows + plain)).collect()}
+    assert ("email:zb@mail.org", "zorblax") in found and not {t for _, t in found} & {"plaina", *WORDS}
+    texts = {r["doc_id"]: r["text"] for r in pii.sanitise(docs(rows + plain)).collect()}
+    assert all(texts[i].count("<TERM>") >= 2 and "Zorblax" not in texts[i] for i in range(2))
+    assert all(texts[i] == t for i, t in plain)
+    copies = [(i, f"Zorblax rare words of one text {far} about {WORDS[i]}: zb@mail.org") for i in range(2)]
+    assert pii.disclosing_terms(docs(copies + plain)).filter("term IN ('zorblax', 'rare')").count() == 0
+
+
+def test_context_beyond_white_space():
+    (_, near), (_, other) = (
+        next(pii.value_contexts(t, pii.base_spans(t), 6)) for t in ("call Anna" + " " * n + "a@b.org" for n in (1, 5000))
+    )
+    assert near == other != pii._mark([])
+
+
 def test_spans_and_sanitised_text(docs):
     rows = contexts(5) + [(200, None), (201, ""), (None, "call +1 555 123 4567"), (3, contexts(5)[3][1])]
     got = pii.personal_data(docs(rows)).collect()
