@@ -58,25 +58,34 @@ class Item:
     skip: bool = False
 
 
-def _tag_end(page: str, at: int) -> int:
-    """Place after the tag that begins at ``at``, quotes respected if they close; -1 if it does not end."""
+def _tag_end(page: str, at: int, last: dict[str, int], failed: set[int]) -> int:
+    """Place after the tag that begins at ``at``, quotes respected if they close; -1 if it does not end.
+
+    ``last`` holds the page's last place of each quote and ``failed`` the opening quotes after which no tag ends, so
+    that no part of the page is searched for either again and again.
+    """
     end = page.find(">", at)
     if end < 0:
         return -1
     quote = page.find('"', at, end), page.find("'", at, end)
     if quote == (-1, -1):
         return end + 1
-    i = at
+    i, opened = at, []
     while i < len(page):
         m = _QUOTE_OR_END.search(page, i)
         if m is None:
-            return end + 1
+            break
         if m[0] == ">":
             return m.end()
-        close = page.find(m[0], m.end(), m.end() + 4096)
-        if close < 0:
-            return end + 1
-        i = close + 1
+        opened.append(m.start())
+        if m.start() in failed:
+            break
+        if m[0] not in last:
+            last[m[0]] = page.rfind(m[0])
+        if m.end() > last[m[0]]:
+            break
+        i = page.find(m[0], m.end()) + 1
+    failed.update(opened)
     return end + 1
 
 
@@ -103,6 +112,8 @@ def items(page: str) -> list[Item]:
     stack: list[tuple[str, bool]] = []  # open elements that contain others, and whether they are left out
     skipping = links = articles = 0
     at, size = 0, len(page)
+    last: dict[str, int] = {}
+    failed: set[int] = set()
     lower = page.lower() if len(page.lower()) == size else page
 
     def pop(name: str) -> None:
@@ -139,7 +150,7 @@ def items(page: str) -> list[Item]:
                 out.append(Item("text", "<", links > 0, skipping > 0))
                 at = start + 1
             continue
-        end = _tag_end(page, start)
+        end = _tag_end(page, start, last, failed)
         if end < 0:
             break
         name, attributes = m[0].lower(), page[m.end() : end - 1]

@@ -72,6 +72,23 @@ def test_pages(page, text):
     assert extraction.main_text(page) == text
 
 
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_long_attribute_values(quote):
+    """A value of 10,000 characters that holds tags ends at its quote, and the class behind it counts."""
+    value = "<p>words of a value</p> " * 420
+    assert len(value) > 10_000
+    assert extraction.main_text(f"<div data-x={quote}{value}{quote}>{MAIN}</div>") == TEXT
+    aside = f"<div data-x={quote}{value}{quote} class=sidebar>Read this as well, it is long and good</div>"
+    assert extraction.main_text(f"<article>{MAIN}</article>{aside}") == TEXT
+
+
+def test_quotes_without_an_end_are_linear():
+    start = time.time()
+    for piece in ('<a ">" ', "<a '>' ", """<a '">"' """, """<a "'> """):
+        extraction.main_text(piece * 50_000)
+    assert time.time() - start < 20
+
+
 def test_linear_in_length():
     start = time.time()
     for piece in ("<", '<a "', "<div>", "</div>", "<script>", '<p "> x', "<!--", "word "):
