@@ -10,7 +10,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartmill.llm import bpe, decontamination, extraction, pii, repetition, simhash, substrings, token_store, toxicity, warc
+from cartmill.llm import (
+    bpe,
+    decontamination,
+    extraction,
+    pii,
+    repetition,
+    runs,
+    simhash,
+    substrings,
+    token_store,
+    toxicity,
+    warc,
+)
 from cartmill.llm.common import new_folder, query, schema_of, table
 
 _BPE_FIELDS = [
@@ -237,3 +249,54 @@ def _repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+_CRC32_SQL = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"""
+_RUNS_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS_SQL} AS ws, {_CRC32_SQL} AS h FROM documents),
+e AS (SELECT *, len(ws) AS n, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) ELSE len(ws) END AS a, h // 10 AS g FROM d),
+t AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM e),
+w AS (SELECT r, n, i, ws[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END] AS w
+  FROM (SELECT *, unnest(range(0, n)) AS i FROM t)),
+pairs AS (SELECT x.r, x.i, y.i - x.i AS q FROM w x JOIN w y ON x.r = y.r AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretches AS (SELECT r, q, min(i) AS s, count(*) + q AS l
+  FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs)
+  GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT r, s, l, min(q) AS q FROM stretches GROUP BY r, s, l),
+listed AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS text,
+  min((-l, s, q)) AS best FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (SELECT r, string_agg(w, ' ' ORDER BY i) AS text FROM w ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[2]::BIGINT AS start, -best[1]::BIGINT AS length, best[3]::BIGINT AS period,
+  (-best[1] * 1000 // best[3])::BIGINT AS exponent_milli, sha256(coalesce(listed.text, '')) AS runs_sha256,
+  sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)"""
+
+
+def _periodic_tail(key: int | None, words: list[bytes]) -> list[bytes]:
+    """Where a tenth of the keys fall, the words from some place on repeat a part of themselves."""
+    h = zlib.crc32(str(key).encode()) if key is not None else 1
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query("op12_periodic_runs", _RUNS_SQL)
+def _periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=_periodic_tail)
+    line = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))))["run"]
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
