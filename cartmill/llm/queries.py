@@ -15,6 +15,7 @@ from cartmill.llm import (
     decontamination,
     extraction,
     pii,
+    posting,
     repetition,
     runs,
     simhash,
@@ -300,3 +301,18 @@ def _periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+_NEAREST_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
+@query("op13_nearest_neighbours", _NEAREST_SQL)
+def _nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = posting.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
