@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from cartmill.llm import (
     bpe,
+    collocations,
     decontamination,
     extraction,
     pii,
@@ -316,3 +317,32 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 def _nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = posting.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+_COLLOCATIONS_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, {_LOWER_SQL} AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM p GROUP BY lang),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM (
+  SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase FROM (
+    SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k))
+  GROUP BY ALL),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 30),
+cuts AS (SELECT c.lang, c.k, c.phrase, a, x.f AS l, y.f AS r, cut, 2000000::HUGEINT * a // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1 : cut], ' ') AND x.k = cut
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[cut + 1 : c.k], ' ') AND y.k = c.k - cut),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (SELECT lang, array_to_string(ws[i : i + size - 1], ' ') AS phrase, max(a) AS longer FROM (
+  SELECT lang, ws, a, size, unnest(range(1, k - size + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS size FROM c))
+  GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 80 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
+
+@query("op11_phrase_collocations", _COLLOCATIONS_SQL)
+def _phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

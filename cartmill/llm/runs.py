@@ -33,8 +33,6 @@ from pyspark.sql import types as T
 from cartmill.llm.common import arrow_schema, doc_rows, field, release, schema_of, slices, to_batch
 
 MIN_LENGTH, MIN_PERIODS = 6, 4
-#: Bytes of text that share a grammar.
-SLICE_BYTES = 4 << 20
 #: Pairs of equal grams looked at together.
 CHUNK = 1 << 20
 #: Fixed odd numbers for mixing 64 bits.
@@ -384,13 +382,14 @@ def periodic_runs(
     id_col: str = "doc_id",
     text_col: str = "text",
     rewrite: Callable[[object, list[bytes]], list[bytes]] | None = None,
+    slice_bytes: int = 4 << 20,
 ) -> DataFrame:
     """Per row: the key, ``n_words``, ``runs`` (start, length and period in words, by start and period) and ``collapsed``.
 
     Words are split at space, tab, line feed, vertical tab, form feed and carriage return. A run is a stretch of at least
     ``MIN_LENGTH`` words and ``MIN_PERIODS`` times its smallest period that cannot be extended. ``collapsed`` holds the
     words joined by one space without those that a run holds after its first period. ``rewrite`` may replace the words
-    of a row before the search; it sees the key and the words as bytes.
+    of a row before the search; it sees the key and the words as bytes. ``slice_bytes`` of text share a grammar.
     """
     schema = schema_of(
         field(df, id_col), ("n_words", T.LongType()), ("runs", T.ArrayType(_RUN)), ("collapsed", T.StringType())
@@ -415,7 +414,7 @@ def periodic_runs(
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 1, SLICE_BYTES):
+            for part in slices(batch, 1, slice_bytes):
                 yield to_batch(list(rows(part)), target)
         release()
 

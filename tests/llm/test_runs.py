@@ -91,12 +91,11 @@ def test_very_long_texts(words, expected):
     assert runs.find_runs(*numbered([words]), max(words) + 1) == [expected]
 
 
-def test_small_slices_give_the_same_runs(spark, docs, monkeypatch):
+def test_small_slices_give_the_same_runs(docs):
     rng = random.Random(3)
     rows = [(i, " ".join(map(str, text_of(rng)))) for i in range(30)]
     whole = runs.periodic_runs(docs(rows)).collect()
-    monkeypatch.setattr(runs, "SLICE_BYTES", 64)
-    assert runs.periodic_runs(docs(rows)).collect() == whole
+    assert runs.periodic_runs(docs(rows), slice_bytes=64).collect() == whole
     assert [[tuple(r) for r in row["runs"]] for row in whole] == [brute(t.split()) for _, t in rows]
 
 
