@@ -116,7 +116,7 @@ def test_awkward_rows(spark):
 def test_very_long_text(spark):
     rows = [("en", "p q " * 200_000), ("en", "p q r")]
     got = answers(table(spark, rows), Limits(5, 2))
-    assert [(r[2], r[3]) for r in got] == [("p q p q", 199_999), ("q p q p", 199_999)]
+    assert [(r[2], r[3]) for r in got] == [("p q p q", 199_999), ("q p q p", 199_998)]
     assert got[0][6] == 400_003
 
 
