@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,15 @@ def apply_semantics(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it; a cluster may ship it with --py-files."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(p for p in (root, paths) if p)
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; where none is named, local mode has one of its own.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartmill.functions.scalars import blank_to_null
+from cartmill.sources.split_csv import read_split_csv
 
 
 @dataclass(frozen=True)
@@ -106,20 +107,17 @@ BLANK_POLICIES = ("empty", "null", "keep")
 def read_raw(spark: SparkSession, path: str, entity: str, blanks: str = "empty") -> DataFrame:
     """Read one entity as text; a leading byte-order mark in the header is ignored.
 
+    Files of any entity are read by many tasks, those with line breaks inside quotes too.
+
     ``blanks``: "empty" turns missing cells into '', "null" turns blank cells into NULL,
     "keep" leaves what the CSV reader produced.
     """
     spec = ENTITIES[entity]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in spec.columns])
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("enforceSchema", True)
-        .option("multiLine", spec.multiline)
-        .csv(path)
-    )
-    return apply_blank_policy(df, blanks)
+    if spec.multiline:
+        return apply_blank_policy(read_split_csv(spark, path, schema), blanks)
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", True)
+    return apply_blank_policy(reader.csv(path), blanks)
 
 
 def apply_blank_policy(df: DataFrame, blanks: str) -> DataFrame:
