@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartmill.operators import membership
+
 
 @dataclass(frozen=True)
 class RowCheck:
@@ -33,7 +35,7 @@ class FrameCheck:
 
 @dataclass(frozen=True)
 class KeyCheck:
-    """Something is wrong with a key; all key checks of a suite share one aggregation.
+    """Something is wrong with a key; checks on the same columns share one aggregation.
 
     ``rule`` "unique": keys held by several rows fail; "absent": every key found fails, ``where`` saying
     which rows are looked at; "known": rows fail whose key the column ``field`` of ``parent`` lacks.
@@ -63,57 +65,65 @@ def row_failures(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     return counts.select(F.explode(pairs).alias("p")).select("p.check_name", "p.failures")
 
 
-def _key(columns: Sequence[str], with_null: bool) -> Column:
-    """The columns as one text; NULL if one of them is and that does not count as a value."""
-    texts = [F.col(c).cast("string") for c in columns]
-    if with_null:
-        texts = [F.coalesce(t, F.lit("\x00")) for t in texts]
-    return F.concat(*[x for t in texts for x in (t, F.lit("\x01"))])
+def _key_counts(df: DataFrame, columns: Sequence[str], checks: Mapping[int, KeyCheck]) -> DataFrame:
+    """One row (n<check>) of the checks on how often each key of these columns stands in the table.
+
+    Keys keep their types; a frequent key is one row for each task.
+    """
+    with_null = any(c.with_null for c in checks.values())
+    wanted = [c.where for c in checks.values()]
+    if all(w is not None for w in wanted):
+        df = df.filter(reduce(lambda a, b: a | b, wanted))
+    if not with_null:
+        df = df.dropna(subset=list(columns))
+    found = df.groupBy(*columns).agg(
+        *[(F.count("*") if c.where is None else F.count_if(c.where)).alias(f"n{i}") for i, c in checks.items()]
+    )
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    held = {"unique": lambda n: n > 1, "absent": lambda n: n > 0}
+    return found.agg(
+        *[F.count_if(held[c.rule](F.col(f"n{i}")) & (F.lit(c.with_null) | whole)).alias(f"n{i}") for i, c in checks.items()]
+    )
 
 
-def _keyed(df: DataFrame, keys: Sequence[Column], children: int, parents: int) -> DataFrame:
-    """(check, key, children, parents) for each row and each key that is not NULL."""
-    found = df.select(F.explode(F.filter(F.array(*keys), lambda k: k["key"].isNotNull())).alias("k"))
-    return found.select("k.check", "k.key", F.lit(children).alias("children"), F.lit(parents).alias("parents"))
+def _orphans(df: DataFrame, checks: Mapping[int, KeyCheck]) -> DataFrame:
+    """One row (n<check>) of the rows without a parent; references to small sets of whole numbers share one scan."""
+    plain, tests = [], {}
+    for i, c in checks.items():
+        (column,) = c.columns
+        known = membership.key_set(c.parent, c.field) if membership.alike(df, column, c.parent, c.field) else None
+        if known is None:
+            counted = df.groupBy(F.col(column).alias("key")).agg(F.count("*").alias("n")).filter("key IS NOT NULL")
+            lost = counted.join(c.parent.select(F.col(c.field).alias("key")), "key", "left_anti")
+            plain.append(lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(f"n{i}")))
+        else:
+            tests[i] = (column, known)
+    if tests:
+        marked = df.select(*dict.fromkeys(column for column, _ in tests.values()))
+        for i, (column, known) in tests.items():
+            marked = membership.marked(marked, column, known, f"lost{i}")
+        plain.append(marked.agg(*[F.count_if(f"lost{i}").alias(f"n{i}") for i in tests]))
+    return reduce(DataFrame.crossJoin, plain)
 
 
 def key_failures(tables: Mapping[str, DataFrame], checks: Sequence[tuple[str, KeyCheck]]) -> DataFrame:
     """(table_name, check_name, failures) of key checks on any number of tables.
 
-    Each table is read once for its own keys and once for each key others refer to; all keys then meet
-    in one aggregation, where a frequent key is one row for each task.
+    Checks on the same columns of a table share one aggregation of typed keys.
     """
+    groups: dict[tuple, dict[int, KeyCheck]] = {}
+    for i, (table, c) in enumerate(checks):
+        kind = ("known",) if c.rule == "known" else ("counted", c.columns, c.where is None)
+        groups.setdefault((table, *kind), {})[i] = c
     parts = []
-    for table in dict.fromkeys(t for t, _ in checks):
-        keys = []
-        for i, (of, c) in enumerate(checks):
-            if of == table:
-                key = _key(c.columns, c.with_null)
-                key = key if c.where is None else F.when(c.where, key)
-                keys.append(F.struct(F.lit(i).alias("check"), key.alias("key")))
-        parts.append(_keyed(tables[table], keys, 1, 0))
-    for i, (_, c) in enumerate(checks):
-        if c.rule == "known":
-            key = F.struct(F.lit(i).alias("check"), _key([c.field], False).alias("key"))
-            parts.append(_keyed(c.parent, [key], 0, 1))
-    per_key = reduce(DataFrame.unionAll, parts).groupBy("check", "key")
-    per_key = per_key.agg(F.sum("children").alias("n"), F.max("parents").alias("known"))
-    failing = {
-        "unique": (F.col("n") > 1).cast("bigint"),
-        "absent": F.lit(1).cast("bigint"),
-        "known": F.when(F.col("known") == 0, F.col("n")).otherwise(0),
-    }
-    counts = per_key.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("check") == i, failing[c.rule])), F.lit(0)).cast("bigint").alias(f"c{i}")
-            for i, (_, c) in enumerate(checks)
+    for (table, kind, *columns), own in groups.items():
+        counts = _orphans(tables[table], own) if kind == "known" else _key_counts(tables[table], columns[0], own)
+        rows = [
+            F.struct(F.lit(table).alias("table_name"), F.lit(c.name).alias("check_name"), F.col(f"n{i}").alias("failures"))
+            for i, c in own.items()
         ]
-    )
-    rows = [
-        F.struct(F.lit(t).alias("table_name"), F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("failures"))
-        for i, (t, c) in enumerate(checks)
-    ]
-    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+        parts.append(counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def failures(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
@@ -152,10 +162,15 @@ def with_verdict(counted: DataFrame, checks: Iterable[Check]) -> DataFrame:
 def run_suite(tables: Mapping[str, DataFrame], suite: Mapping[str, Sequence[Check]]) -> DataFrame:
     """(table_name, check_name, failures, verdict) of a whole declared suite.
 
-    Row checks take one scan of their table, the key checks of all tables one aggregation.
+    Row checks take one scan of their table, key checks one aggregation for each set of columns.
     """
     if not suite:
         raise ValueError("empty suite")
+    return with_verdicts(suite_failures(tables, suite), suite)
+
+
+def suite_failures(tables: Mapping[str, DataFrame], suite: Mapping[str, Sequence[Check]]) -> DataFrame:
+    """(table_name, check_name, failures) of all checks of a suite."""
     counted = []
     keys = [(table, c) for table, checks in suite.items() for c in checks if isinstance(c, KeyCheck)]
     if keys:
@@ -164,9 +179,13 @@ def run_suite(tables: Mapping[str, DataFrame], suite: Mapping[str, Sequence[Chec
         others = [c for c in checks if not isinstance(c, KeyCheck)]
         if others:
             counted.append(failures(tables[table], others).select(F.lit(table).alias("table_name"), "check_name", "failures"))
-    found = reduce(DataFrame.unionByName, counted)
+    return reduce(DataFrame.unionByName, counted)
+
+
+def with_verdicts(counted: DataFrame, suite: Mapping[str, Sequence[Check]]) -> DataFrame:
+    """Append the verdict of each table's checks."""
     verdict = F.lit(None).cast("string")
     for table, checks in suite.items():
         here = F.col("table_name") == table
         verdict = F.when(here, _verdict(checks)).otherwise(verdict)
-    return found.withColumn("verdict", verdict)
+    return counted.withColumn("verdict", verdict)

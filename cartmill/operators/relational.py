@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartmill.functions.dates import SUB_DAY, add_parts, parts_between
 from cartmill.functions.scalars import slugify_text
+from cartmill.operators import membership
 
 AGGREGATES: Mapping[str, Callable[[Column], Column]] = {
     "sum": F.sum,
@@ -232,10 +233,8 @@ def left_join_where(left: DataFrame, right: DataFrame, on: str | Sequence[str],
 
 
 def rows_without_parent(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows whose non-null key is missing from the parent."""
-    keys = parent.select(F.col(parent_key).alias("_parent_key"))
-    present = child.filter(F.col(child_key).isNotNull())
-    return present.join(keys, F.col(child_key) == F.col("_parent_key"), "left_anti")
+    """Child rows whose non-null key is missing from the parent; see ``membership``."""
+    return membership.orphans(child, child_key, parent, parent_key)
 
 
 def rows_with_parent(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

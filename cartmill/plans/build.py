@@ -3,16 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartmill.operators import core_checks as C
 from cartmill.operators import expectations as X
-from cartmill.operators.checks import Check, FrameCheck, KeyCheck, RowCheck, failures, with_verdict
+from cartmill.operators.checks import (
+    Check,
+    FrameCheck,
+    KeyCheck,
+    RowCheck,
+    failures,
+    suite_failures,
+    with_verdict,
+    with_verdicts,
+)
 from cartmill.plans import star as star_plan
 from cartmill.plans.staging import LAT_RANGE, LNG_RANGE, stage_all
-from cartmill.sources.tables import write_table
+from cartmill.sources.tables import write_measured
+
+T = TypeVar("T")
 
 # Accepted codes and the date range facts may cover.
 ORDER_STATUSES = (
@@ -192,41 +206,147 @@ DEPENDS_ON: dict[str, tuple[str, ...]] = {
 }
 
 
+Builder = Callable[[Mapping[str, DataFrame]], DataFrame]
+Rules = Callable[[Mapping[str, DataFrame]], Mapping[str, Sequence[Check]]]
+
+
+def concurrently(
+    spark: SparkSession,
+    work: Mapping[str, Callable[[Mapping[str, T]], T]],
+    needs: Mapping[str, Sequence[str]],
+    workers: int = 4,
+) -> tuple[dict[str, T], dict[str, BaseException | None]]:
+    """Run functions at the same time, each as soon as what it needs is there.
+
+    Each gets the results so far and runs its Spark jobs in a thread, job group and pool of its own name (pools share
+    executors fairly where ``spark.scheduler.mode`` is FAIR). Returns the results, and for each name that has none the
+    exception, or None where something it needs has no result.
+    """
+    unknown = {n: set(needs.get(n, ())) & work.keys() for n in work}
+    done: dict[str, T] = {}
+    lost: dict[str, BaseException | None] = {}
+
+    def run(name: str, ready: Mapping[str, T]) -> T:
+        context = spark.sparkContext
+        context.setJobGroup(name, name)
+        context.setLocalProperty("spark.scheduler.pool", name)
+        return work[name](ready)
+
+    waiting, running = list(work), {}
+    with ThreadPoolExecutor(workers) as pool:
+        while waiting or running:
+            for name in list(waiting):
+                if unknown[name] & lost.keys():
+                    lost[name] = None
+                elif unknown[name] <= done.keys():
+                    running[pool.submit(inheritable_thread_target(spark)(run), name, dict(done))] = name
+                else:
+                    continue
+                waiting.remove(name)
+            if running:
+                for finished in wait(running, return_when=FIRST_COMPLETED).done:
+                    name = running.pop(finished)
+                    if finished.exception() is None:
+                        done[name] = finished.result()
+                    else:
+                        lost[name] = finished.exception()
+            elif waiting and not any(unknown[n] & lost.keys() for n in waiting):
+                raise ValueError(f"{', '.join(waiting)} need each other")
+    return done, lost
+
+
+class Rejected(Exception):
+    """A table did not pass; ``broken`` has its failing checks and their failures."""
+
+    def __init__(self, name: str, broken: list[tuple[str, int]]):
+        super().__init__(f"{name}: {broken}")
+        self.broken = broken
+
+
+def write_checked(
+    name: str, df: DataFrame, known: Mapping[str, DataFrame], checks: Rules, path: str, partition_by: Sequence[str] = ()
+) -> tuple[DataFrame, list[tuple[str, int]], list[Check]]:
+    """Write a table and count what its row checks find in the same pass.
+
+    Returns the stored table, (check, failures) of the row checks, and the checks that are left to do on it.
+    """
+    rows = [c for c in checks({**known, name: df}).get(name, ()) if isinstance(c, RowCheck)]
+    counts = {f"c{i}": F.count_if(c.broken) for i, c in enumerate(rows)}
+    table, seen = write_measured(df, path, counts, partition_by)
+    others = [c for c in checks({**known, name: table}).get(name, ()) if not isinstance(c, RowCheck)]
+    return table, [(c.name, seen[f"c{i}"]) for i, c in enumerate(rows)], others
+
+
 def gated_build(
     spark: SparkSession,
-    steps: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]],
-    checks: Callable[[Mapping[str, DataFrame]], Mapping[str, Sequence[Check]]],
+    steps: Mapping[str, Builder],
+    checks: Rules,
     folder: str,
     depends_on: Mapping[str, Sequence[str]] = DEPENDS_ON,
     partition_by: Mapping[str, Sequence[str]] | None = None,
+    workers: int = 4,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Write each table, check it, and skip whatever depends on a failed one.
 
-    ``partition_by`` names the storage partitions of large tables, e.g. facts by date.
-    Returns the tables that passed and a report (table_name, status, check_name, failures).
+    Tables that do not depend on each other are built at the same time, ``workers`` at most; a step sees the tables
+    built before, of which only those in ``depends_on`` are sure to be there. ``partition_by`` names the storage
+    partitions of large tables, e.g. facts by date. Returns the tables that passed and a report (table_name, status,
+    check_name, failures), in the order of the steps; a step that raised counts as failed, its error in check_name.
     """
-    done: dict[str, DataFrame] = {}
+
+    def build(name: str, ready: Mapping[str, DataFrame]) -> DataFrame:
+        path, parts = f"{folder}/{name}", (partition_by or {}).get(name, ())
+        table, measured, others = write_checked(name, steps[name](ready), ready, checks, path, parts)
+        rules = list(checks({**ready, name: table}).get(name, ()))
+        if rules:
+            found = spark.createDataFrame(measured, "check_name string, failures bigint")
+            if others:
+                found = found.unionByName(failures(table, others))
+            broken = with_verdict(found, rules).filter("verdict = 'error'").collect()
+            if broken:
+                raise Rejected(name, [(r.check_name, r.failures) for r in broken])
+        return table
+
+    work = {name: (lambda ready, name=name: build(name, ready)) for name in steps}
+    done, lost = concurrently(spark, work, depends_on, workers)
     report: list[tuple[str, str, str | None, int | None]] = []
-    for name, builder in steps.items():
-        blocked = [d for d in depends_on.get(name, ()) if d in steps and d not in done]
-        if blocked:
+    for name in steps:
+        error = lost.get(name)
+        if name in done:
+            report.append((name, "built", None, None))
+        elif isinstance(error, Rejected):
+            report += [(name, "failed", check, n) for check, n in error.broken]
+        elif error is None:
             report.append((name, "skipped", None, None))
-            continue
-        table = write_table(builder(done), f"{folder}/{name}", (partition_by or {}).get(name, ()))
-        rules = list(checks({**done, name: table}).get(name, ()))
-        broken = []
-        if rules:
-            counted = with_verdict(failures(table, rules), rules).filter("verdict = 'error'")
-            broken = [(name, "failed", r.check_name, r.failures) for r in counted.collect()]
-        if broken:
-            report += broken
         else:
-            done[name] = table
-            report.append((name, "built", None, None))
+            report.append((name, "failed", f"error: {error}"[:400], None))
     schema = "table_name string, status string, check_name string, failures bigint"
     return done, spark.createDataFrame(report, schema)
 
 
+def checked_tables(
+    spark: SparkSession, tables: Mapping[str, DataFrame], checks: Rules, folder: str, workers: int = 4
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Write tables, several at a time, and run all their checks, whatever fails.
+
+    Row checks are counted while a table is written; the others read what was written. Returns the stored tables and
+    (table_name, check_name, failures, verdict).
+    """
+    order = list(tables)
+    work = {n: (lambda _, n=n: write_checked(n, tables[n], tables, checks, f"{folder}/{n}")) for n in order}
+    done, lost = concurrently(spark, work, {}, workers)
+    for error in lost.values():
+        raise error
+    stored = {n: done[n][0] for n in order}
+    suite = checks(stored)
+    counted = [(n, check, k) for n in order for check, k in done[n][1]]
+    found = spark.createDataFrame(counted, "table_name string, check_name string, failures bigint")
+    others = {n: [c for c in suite.get(n, ()) if not isinstance(c, RowCheck)] for n in order}
+    if any(others.values()):
+        found = found.unionByName(suite_failures(stored, others))
+    return stored, with_verdicts(found, suite)
+
+
 def marketplace_steps(
     raw: dict[str, DataFrame], calendar: DataFrame
 ) -> dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]]:
