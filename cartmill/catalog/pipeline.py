@@ -17,6 +17,7 @@ from cartmill.operators import relational as rel
 from cartmill.plans import gold, metrics, staging, star
 from cartmill.sources import raw as raw_source
 from cartmill.sources import tables
+from cartmill.sources.split_csv import read_split_csv
 
 # --- sources and sinks ----------------------------------------------------------------
 
@@ -68,6 +69,22 @@ def _(s: Shop):
     )
 
 
+@query(
+    "src05_split_quoted_breaks",
+    """SELECT doc_id::VARCHAR AS doc_id, lang, md5(text) AS text_md5, length(text)::INTEGER AS n_chars,
+      (length(text) - length(replace(text, chr(10), '')))::INTEGER AS n_breaks FROM documents""",
+)
+def _(s: Shop):
+    """Texts with line breaks and quotes, written as CSV and read in blocks that records cross the borders of."""
+    path = scratch_path(s.spark, "documents-csv")
+    texts = s.documents.select(F.col("doc_id").cast("string"), "lang", "text")
+    keep = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    texts.write.option("header", True).options(**keep).csv(path)
+    read = read_split_csv(s.spark, path, texts.schema)
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    return read.select("doc_id", "lang", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"), breaks.alias("n_breaks"))
+
+
 @query("src04_read_gold", GOLD + "SELECT * FROM geo_delivery")
 def _(s: Shop):
     folder = scratch_path(s.spark, "gold")

@@ -7,8 +7,8 @@ extracts. A query's SQL is one of them followed by its own SELECT (or ", name AS
 STAGING = """
 WITH places AS (SELECT n_nationkey, n_name AS state FROM nation),
 regions AS (
-  SELECT n_name AS state, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey
-  WHERE n_regionkey <> 4
+  SELECT n_name AS state, CASE WHEN n_regionkey <> 4 THEN r_name END AS region
+  FROM nation JOIN region ON n_regionkey = r_regionkey
 ),
 stg_customers AS (
   SELECT c_custkey AS customer_id,
@@ -44,7 +44,6 @@ stg_payments AS (
          greatest(o_orderkey % 24, 1) AS payment_installments,
          CASE WHEN o_orderkey % 10 = 3 THEN o_totalprice / 2 ELSE o_totalprice END AS payment_value
   FROM orders JOIN (VALUES (1), (2)) s(seq) ON seq = 1 OR o_orderkey % 10 = 3
-  WHERE o_orderkey % 100 <> 99
 ),
 stg_reviews AS (
   SELECT o_orderkey * 2 + copy AS review_id, o_orderkey AS order_id,
@@ -55,7 +54,6 @@ stg_reviews AS (
          o_orderdate + INTERVAL 32 DAY + to_hours(copy) AS review_answer_timestamp,
          CAST(o_orderdate + INTERVAL 30 DAY AS DATE) AS date_key
   FROM orders JOIN (VALUES (0), (1)) c(copy) ON copy = 0 OR o_orderkey % 10 = 7
-  WHERE o_orderkey % 10 <> 0
 ),
 stg_products AS (
   SELECT p_partkey AS product_id, raw_category AS product_category_name,
@@ -77,7 +75,7 @@ points AS (
   SELECT lpad(CAST(c_nationkey * 1000 + c_custkey % 7 AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix,
          (c_custkey * 13 % 500) / 10.0::DOUBLE - 40 AS geolocation_lat,
          (c_custkey * 7 % 500) / 10.0::DOUBLE - 80 AS geolocation_lng
-  FROM customer WHERE c_nationkey <> 3
+  FROM customer
 ),
 stg_geolocation AS (
   SELECT geolocation_zip_code_prefix AS zip_code_prefix, avg(geolocation_lat) AS geolocation_lat,
