@@ -390,7 +390,6 @@ class _Words:
         self.split = _splitter(pattern)
         self.packed = {rank.to_bytes(width, "big"): token for token, rank in ranks.items()}
         self.line_end = ranks[b"\n"].to_bytes(4, "little")
-        self.pieces = Pieces(ranks)
         self.met: dict[str, bytes] = {}
         self.spaced, self.plain = _Units(self, " "), _Units(self, "")
         self.lacking: dict[bytes, int] = {}
@@ -444,6 +443,18 @@ class _Words:
         return b"".join(out[:-1])
 
 
+class _Coder:
+    """What a worker holds: the bytes of every id, and what encoding takes once it has to encode."""
+
+    def __init__(self, ranks):
+        self.ranks, self.pieces, self._words = ranks, Pieces(ranks.value), None
+
+    def words(self, known, pattern: str, width: int) -> _Words:
+        if self._words is None:
+            self._words = _Words(self.ranks.value, known.value, pattern, width)
+        return self._words
+
+
 def _unmarked(ids: bytes, rest: list[bytes]) -> bytes:
     """Ids with every mark and number replaced by the ids of that word."""
     numbers = np.frombuffer(ids, dtype="<u4")
@@ -476,7 +487,8 @@ def encode_documents(
     ranks = read_ranks(ranks_path)
     table = RankTable(ranks)
     context = docs.sparkSession.sparkContext
-    known = context.broadcast((ranks, dictionary(docs, text_col, table, pattern, most)))
+    shared = common.share(context, ranks)
+    known = common.share(context, dictionary(docs, text_col, table, pattern, most))
     common.release()  # the driver's memory is small
     width = table.width
     kept = docs.select(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).schema
@@ -486,9 +498,10 @@ def encode_documents(
     held = T.StructType([*kept, T.StructField("_ids", T.BinaryType())])
     gathered = common.schema_of(("docs", T.ArrayType(held)), ("rest", T.ArrayType(T.StringType())))
     target = common.arrow_schema(gathered)
+    key = ("bpe", shared, known, pattern)
 
     def gather(batches):
-        words = common.held(("bpe", known, pattern), lambda: _Words(*known.value, pattern, width))
+        words = common.held(key, lambda: _Coder(shared)).words(known, pattern, width)
         struct_type = target.field(0).type.value_type
         for b in batches:
             for part in common.slices(b, 0):
@@ -517,7 +530,7 @@ def encode_documents(
     written = common.arrow_schema(schema)
 
     def unmark(batches):
-        pieces = common.held(("bpe", known, pattern), lambda: _Words(*known.value, pattern, width)).pieces
+        pieces = common.held(key, lambda: _Coder(shared)).pieces
         for b in batches:
             for i in range(b.num_rows):  # one slice of documents at a time
                 ((held, packed),) = zip(*[c.to_pylist() for c in b.slice(i, 1).columns], strict=True)

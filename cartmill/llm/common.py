@@ -27,8 +27,7 @@ def query(name: str, sql: str | None = None):
 
     def register(build: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            importable(spark)
-            return build(apply_semantics(spark), sf_dir)
+            return build(prepared(spark), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:
@@ -38,6 +37,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+#: Rows of an Arrow batch, a tenth of Spark's default: whole texts are long.
+BATCH_ROWS = 1000
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings that results and the workers' memory depend on."""
+    importable(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+    return apply_semantics(spark)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it; a cluster may ship it with --py-files."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
@@ -130,6 +142,28 @@ def slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20):
         yield batch.slice(start)
 
 
+#: Lists of broadcast values that whoever stores results wants to take back afterwards.
+_OWNERS: list[list] = []
+
+
+def share(context, value):
+    """Broadcast a value."""
+    shared = context.broadcast(value)
+    if _OWNERS:
+        _OWNERS[-1].append(shared)
+    return shared
+
+
+@contextlib.contextmanager
+def owning(values: list):
+    """Collect in ``values`` what is broadcast meanwhile."""
+    _OWNERS.append(values)
+    try:
+        yield
+    finally:
+        _OWNERS.pop()
+
+
 _HELD: list = [None, None]
 
 

@@ -140,7 +140,7 @@ def _with_hits(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFrame:
     text_at = schema.names.index(common.field(docs, text_col).name)
     spark = docs.sparkSession
     for block in _blocks(windows):
-        shared = spark.sparkContext.broadcast(block)
+        shared = common.share(spark.sparkContext, block)
 
         def rows(batch, shared=shared, state={}):  # noqa: B006 - one automaton per task
             if "automaton" not in state:

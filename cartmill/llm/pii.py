@@ -182,7 +182,7 @@ def _occurrences(docs: DataFrame, text_col: str, rules: Disclosure, contexts: Da
     # a bit map of fixed size keeps nearly all other texts out before anything is shuffled
     bit = F.pmod("text_key", F.lit(_BITS))
     parts = chosen.groupBy(F.shiftright(bit, 15).alias("part")).agg(F.bitmap_construct_agg(bit.bitwiseAND(32767)).alias("bits"))
-    shared = docs.sparkSession.sparkContext.broadcast({r["part"]: bytes(r["bits"]) for r in parts.collect()})
+    shared = common.share(docs.sparkSession.sparkContext, {r["part"]: bytes(r["bits"]) for r in parts.collect()})
 
     def rows(batch):
         bits = shared.value

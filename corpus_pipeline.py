@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,38 +11,53 @@ from pyspark.sql import types as T
 
 from cartmill.llm import bpe, common, decontamination, pii, simhash, toxicity
 from cartmill.llm.queries import SIMHASH
-from cartmill.session import apply_semantics
 
 TOXIC = 0.5
 
 
+_SHARED: list = []
+
+
+def _stage(build):
+    """A stage with its settings; the stage before is stored by now, so executors drop what that one broadcast."""
+
+    @functools.wraps(build)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _SHARED:
+            _SHARED.pop().unpersist()
+        with common.owning(_SHARED):
+            return build(common.prepared(spark), docs, sf_dir)
+
+    return run
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     """``n_chars`` anew after the text has changed."""
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
+@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network, trained on the labelled ones among them, scores below ``TOXIC``."""
-    common.importable(spark)
     network = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
     return toxicity.add_scores(docs, network, score="_score").filter(F.col("_score") < TOXIC).drop("_score")
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of linked fingerprints."""
-    common.importable(spark)
     return simhash.keep_one(docs, **SIMHASH)
 
 
+@_stage
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    common.importable(spark)
     return decontamination.drop_contaminated(docs, common.table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data and what reveals it replaced by its kind."""
-    common.importable(spark)
     return _counted(pii.sanitise(docs))
 
 
@@ -51,9 +68,9 @@ _TOKENS = [
 ]
 
 
+@_stage
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document and the text they decode to."""
-    common.importable(spark)
 
     def finish(ids: bytes, pieces: bpe.Pieces) -> tuple:
         return len(ids) // 4, bpe.as_list(ids), pieces.decode(ids).decode()
@@ -83,7 +100,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table, each stored before the next one reads it."""
-    docs = common.table(apply_semantics(spark), sf_dir, "documents")
+    docs = common.table(common.prepared(spark), sf_dir, "documents")
     for name, stage in STAGES:
         docs = common.stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -40,7 +40,7 @@ def texts(con):
 
 def test_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in NAMES)
-    assert numbers == list(range(1, 11)) and set(NAMES) | {"pipeline"} <= set(queries())
+    assert numbers == list(range(1, 14)) and set(NAMES) | {"pipeline"} <= set(queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "personal_data", "byte_bpe"]
 
 
