@@ -14,6 +14,7 @@ from cartmill.functions.business import add_region
 from cartmill.functions.scalars import blank_to_null
 from cartmill.operators import concentration as con
 from cartmill.operators import relational as rel
+from cartmill.operators.intervals import join_containing
 from cartmill.plans import gold, metrics, staging, star
 from cartmill.sources import raw as raw_source
 from cartmill.sources import tables
@@ -440,6 +441,25 @@ def _(s: Shop):
     return rel.join_week_range(days, "day", weeks, "week_start", "week_end")
 
 
+@query(
+    "jn10_key_ranges",
+    """WITH spans AS (SELECT s_suppkey, CASE WHEN s_suppkey * 20 > 480 THEN s_suppkey * 20 - 480 END AS first_key,
+          s_suppkey * 20 - 480 + s_suppkey * 37 % 500 AS last_key FROM supplier)
+        SELECT s_suppkey, count(*) AS n_parts, min(p_partkey) AS lowest, max(p_partkey) AS highest
+        FROM spans JOIN part ON (first_key IS NULL OR p_partkey >= first_key) AND p_partkey <= last_key GROUP BY 1""",
+)
+def _(s: Shop):
+    """Parts by the ranges of keys that suppliers cover, of very different lengths; the first ones have no lower end."""
+    low = F.col("s_suppkey") * 20 - 480
+    spans = s.supplier.select(
+        "s_suppkey", F.when(low > 0, low).alias("first_key"), (low + F.col("s_suppkey") * 37 % 500).alias("last_key")
+    )
+    hits = join_containing(s.part.select("p_partkey"), "p_partkey", spans, "first_key", "last_key")
+    return hits.groupBy("s_suppkey").agg(
+        F.count("*").alias("n_parts"), F.min("p_partkey").alias("lowest"), F.max("p_partkey").alias("highest")
+    )
+
+
 @query(
     "jn08_semi_join",
     """SELECT o_orderkey, o_custkey FROM orders

@@ -114,7 +114,7 @@ def fiscal_year_dates(
     ).filter(F.col("fiscal_year_start_date").isNotNull())
     days = join_week_range(
         dimension.select("date_day"), "date_day",
-        years, "fiscal_year_start_date", "fiscal_year_end_date",
+        years, "fiscal_year_start_date", "fiscal_year_end_date", lengths=(300, 400),
     )
     days = join_week_range(
         days, "date_day", weeks.select("week_start_date", "week_end_date"), "week_start_date", "week_end_date"

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cartmill.functions.dates import add_parts, parts_between, truncate
 from cartmill.functions.scalars import regex_position
 from cartmill.operators.core_checks import as_condition
+from cartmill.operators.frequent import most_frequent
 from cartmill.operators.ranking import exact_quantiles, with_neighbour
 from cartmill.operators.relational import date_spine
 
@@ -331,13 +332,8 @@ def median_between(df, column, min_value=None, max_value=None, by=(), row_condit
 
 def most_common_value_in_set(df, column, values: Sequence, top_n: int, row_condition=None) -> DataFrame:
     """The value at frequency rank ``top_n`` when it is not in the set (ties by value)."""
-    counted = (
-        _restrict(df, row_condition)
-        .groupBy(F.col(column).alias("value_field"))
-        .agg(F.count("*").alias("value_count"))
-    )
-    order = [F.desc("value_count"), F.asc("value_field")]
-    leaders = counted.orderBy(*order).limit(top_n)
+    order = [F.desc("n_rows"), F.asc("value_field")]
+    leaders = most_frequent(_restrict(df, row_condition), F.col(column), df.schema[column].dataType, top_n)
     # at most top_n rows reach this window
     ranked = leaders.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))
     return ranked.filter((F.col("_rank") == top_n) & ~F.col("value_field").isin(*values)).select("value_field")
@@ -363,7 +359,7 @@ def within_n_stdevs(df: DataFrame, column: str, by: Sequence[str] = (), sigma: f
     """Groups whose sum lies more than ``sigma`` deviations from the mean over all groups."""
     sums = df.groupBy(*by).agg(F.sum(column).alias("group_sum"))
     stats = sums.agg(F.avg("group_sum").alias("sum_average"), F.stddev("group_sum").alias("sum_stddev"))
-    scored = sums.crossJoin(stats).withColumn(
+    scored = sums.crossJoin(F.broadcast(stats)).withColumn(
         "sum_sigma", F.try_divide(F.col("group_sum") - F.col("sum_average"), F.col("sum_stddev"))
     )
     return scored.filter(F.abs("sum_sigma") > sigma)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartmill.operators.frequent import most_frequent
 from cartmill.operators.core_checks import not_null_proportion
 from cartmill.operators.relational import rows_with_parent, rows_without_parent
 
@@ -68,7 +69,9 @@ def value_distribution(df: DataFrame, column: str, where: Column | None = None)
 
 
 def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
-    return value_distribution(df, column).limit(n)
+    """The ``n`` most common values, ties by value; see ``frequent``."""
+    found = most_frequent(df, F.col(column), df.schema[column].dataType, n)
+    return found.withColumnRenamed("value_field", column)
 
 
 def numeric_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:

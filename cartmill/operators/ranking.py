@@ -10,6 +10,7 @@ not change with its size.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,38 +133,59 @@ def with_neighbour(
     return out.drop("_value", POSITION, SLICE, "_own_edge", "_outside")
 
 
+#: Share of the rows on either side of a quantile that a sketch with errors up to 1 / ``ACCURACY`` is asked for.
+MARGIN, ACCURACY = 0.001, 10_000
+#: Groups of fewer rows are counted whole: there the margin may hold less than the two rows a quantile lies between.
+SMALL_GROUP = 4096
+
+
 def exact_quantiles(
     df: DataFrame, value: str, quantiles: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Linearly interpolated quantiles q0, q1, ... per group, for any number of values.
 
-    Equal values are counted before anything is sorted, so frequent values cost one row.
+    A quantile sketch of each group names two values that surely have the quantile between them. Of the rows below the
+    lower one only the number counts, those above the upper one do not matter, so what is left to sort is a small part
+    of the distinct values.
     """
-    counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count("*").alias("_count"))
+    for q in quantiles:
+        if not 0 <= q <= 1:
+            raise ValueError(f"quantile out of range: {q}")
+    rows = df.filter(F.col(value).isNotNull()).select(*by, value, F.col(value).cast("double").alias("_number"))
+    asked = [p for q in quantiles for p in (max(0.0, q - MARGIN), min(1.0, q + MARGIN))]
+    limits = rows.groupBy(*by).agg(
+        F.count("*").alias("_size"),
+        F.percentile_approx("_number", [float(p) for p in asked], ACCURACY).alias("_limits"),
+    )
+    if by:
+        named = limits.withColumnsRenamed({b: f"_l_{b}" for b in by})
+        same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"_l_{b}")) for b in by])
+        bounded = rows.join(named, same).drop(*[f"_l_{b}" for b in by])
+    else:
+        bounded = rows.crossJoin(F.broadcast(limits))  # one row
+    large = F.col("_size") >= SMALL_GROUP
+    sides = [
+        F.struct(
+            F.lit(i).alias("i"),
+            # what lies below is one value, NULL, which sorts first
+            F.when(~large | (F.col("_number") >= F.col("_limits")[2 * i]), F.col(value)).alias("v"),
+            (~large | (F.col("_number") <= F.col("_limits")[2 * i + 1])).alias("keep"),
+        )
+        for i in range(len(quantiles))
+    ]
+    kept = bounded.select(*by, "_size", F.explode(F.filter(F.array(*sides), lambda s: s["keep"])).alias("_s"))
+    counted = kept.groupBy(*by, F.col("_s.i").alias("_i"), F.col("_s.v").alias("_v")).agg(
+        F.count("*").alias("_count"), F.first("_size").alias("_size")
     )
     ranked = with_rank(
-        counted, [F.col(value).asc()], by, total="_count", total_name="_size", running="_upto"
+        counted, [F.col("_v").asc_nulls_first()], [*by, "_i"], total="_count", total_name="_kept", running="_upto"
     )
-    picks = []
-    for i, q in enumerate(quantiles):
-        if not 0 <= q <= 1:
-            raise ValueError(f"quantile out of range: {q}")
-        place = (F.col("_size") - 1) * F.lit(float(q))
-        picks += [
-            F.min(F.when(F.col("_upto") > F.floor(place), F.col(value))).alias(f"_low{i}"),
-            F.min(F.when(F.col("_upto") > F.ceil(place), F.col(value))).alias(f"_high{i}"),
-            F.max(place - F.floor(place)).alias(f"_share{i}"),
-        ]
-    edges = ranked.groupBy(*by).agg(*picks)
-    return edges.select(
-        *by,
-        *[
-            (F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * F.col(f"_share{i}"))
-            .cast("double")
-            .alias(f"q{i}")
-            for i in range(len(quantiles))
-        ],
+    place = (F.col("_size") - 1) * F.element_at(F.array(*[F.lit(float(q)) for q in quantiles]), F.col("_i") + 1)
+    edges = ranked.groupBy(*by, "_i").agg(
+        F.min(F.when(F.col("_upto") > F.floor(place), F.col("_v"))).alias("_low"),
+        F.min(F.when(F.col("_upto") > F.ceil(place), F.col("_v"))).alias("_high"),
+        F.max(place - F.floor(place)).alias("_share"),
     )
+    between = (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).cast("double")
+    picks = [F.max(F.when(F.col("_i") == i, between)).alias(f"q{i}") for i in range(len(quantiles))]
+    return edges.groupBy(*by).agg(*picks)

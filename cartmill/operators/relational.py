@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cartmill.functions.dates import SUB_DAY, add_parts, parts_between
 from cartmill.functions.scalars import slugify_text
 from cartmill.operators import membership
+from cartmill.operators.intervals import join_containing
 
 AGGREGATES: Mapping[str, Callable[[Column], Column]] = {
     "sum": F.sum,
@@ -247,13 +248,11 @@ def compare_scalars(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.crossJoin(right)
 
 
-def join_week_range(days: DataFrame, day: str, weeks: DataFrame, start: str, end: str) -> DataFrame:
-    """Each day with the calendar range that contains it.
-
-    Ranges are expanded to their days first, so the join is an equi-join on the date.
-    """
-    by_day = weeks.withColumn("_day", F.explode(F.sequence(F.col(start), F.col(end))))
-    return days.join(by_day, F.col(day) == F.col("_day")).drop("_day")
+def join_week_range(
+    days: DataFrame, day: str, weeks: DataFrame, start: str, end: str, lengths: tuple[int, int] = (6, 6)
+) -> DataFrame:
+    """Each day with the calendar range that contains it; ``lengths`` as in ``intervals.join_containing``."""
+    return join_containing(days, day, weeks, start, end, lengths=lengths)
 
 
 def null_safe_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
