@@ -366,6 +366,26 @@ def _(s: Shop):
     return rounded(rounded(out, 4, "agg_metric_value"), 6, "metric_test_sigma")
 
 
+@query(
+    "ex30_moving_stdevs_by_minute",
+    """WITH p AS (SELECT date_trunc('minute', ts)::TIMESTAMP AS metric_period, sum(value) AS v FROM events GROUP BY 1),
+      l AS (SELECT *, lag(v, 3) OVER (ORDER BY metric_period) AS prior FROM p),
+      t AS (SELECT *, coalesce(v, 0) - coalesce(prior, 0) AS x FROM l),
+      r AS (SELECT *, avg(x) OVER w AS m, stddev_samp(x) OVER w AS sd FROM t
+            WINDOW w AS (ORDER BY metric_period ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))
+      SELECT metric_period, round(v, 4) AS agg_metric_value, round((x - m) / nullif(sd, 0), 6) AS metric_test_sigma FROM r
+      WHERE metric_period < TIMESTAMP '2024-01-31' AND NOT abs((x - m) / nullif(sd, 0)) <= 3""",
+)
+def _(s: Shop):
+    """Minutes of the whole month, in slices that lend their last rows to the next one."""
+    scored = X.within_n_moving_stdevs(
+        s.events, "value", "ts", period="minute", lookback_periods=3, trend_periods=30, test_periods=50_000, sigma=3,
+        take_logs=False, as_of=as_of(),
+    )
+    out = scored.select(F.col("metric_period").cast("timestamp").alias("metric_period"), "agg_metric_value", "metric_test_sigma")
+    return rounded(rounded(out, 4, "agg_metric_value"), 6, "metric_test_sigma")
+
+
 @query("ex30_moving_stdevs_plain", MOVING.format(test="coalesce(v, 0)", low="-0.5", high="1.5"))
 def _(s: Shop):
     out = X.within_n_moving_stdevs(

@@ -14,6 +14,7 @@ from cartmill.functions.business import add_region
 from cartmill.functions.scalars import blank_to_null
 from cartmill.operators import concentration as con
 from cartmill.operators import relational as rel
+from cartmill.operators.compare import changed_rows
 from cartmill.operators.intervals import join_containing
 from cartmill.plans import gold, metrics, staging, star
 from cartmill.sources import raw as raw_source
@@ -441,6 +442,31 @@ def _(s: Shop):
     return rel.join_week_range(days, "day", weeks, "week_start", "week_end")
 
 
+@query(
+    "jn11_changed_rows",
+    """WITH later AS (SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 1 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+          CASE WHEN o_orderkey % 70 = 2 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+        FROM orders UNION ALL SELECT -c_custkey, 'N', 0 FROM customer WHERE c_custkey % 40 = 0)
+        SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN 'added' ELSE 'changed' END AS change,
+          CASE WHEN a.o_orderkey IS NOT NULL THEN concat_ws(',', CASE WHEN a.o_orderstatus <> b.o_orderstatus THEN 'o_orderstatus' END,
+            CASE WHEN a.o_totalprice <> b.o_totalprice THEN 'o_totalprice' END) END AS differing
+        FROM orders a FULL JOIN later b ON a.o_orderkey = b.o_orderkey
+        WHERE a.o_orderkey IS NULL OR a.o_orderstatus <> b.o_orderstatus OR a.o_totalprice <> b.o_totalprice""",
+)
+def _(s: Shop):
+    """What changed from one version of the orders to the next."""
+    key = F.col("o_orderkey")
+    before = s.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    later = before.withColumns(
+        {
+            "o_orderstatus": F.when(key % 50 == 1, "X").otherwise(F.col("o_orderstatus")),
+            "o_totalprice": F.col("o_totalprice") + F.when(key % 70 == 2, 1.0).otherwise(0.0),
+        }
+    )
+    fresh = s.customer.filter("c_custkey % 40 = 0").selectExpr("-c_custkey AS o_orderkey", "'N' AS o_orderstatus", "0D AS o_totalprice")
+    return changed_rows(before, later.unionByName(fresh), ["o_orderkey"])
+
+
 @query(
     "jn10_key_ranges",
     """WITH spans AS (SELECT s_suppkey, CASE WHEN s_suppkey * 20 > 480 THEN s_suppkey * 20 - 480 END AS first_key,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartmill.functions.dates import add_parts
+from cartmill.operators.compare import only_differing
 from cartmill.operators.ranking import with_neighbour
 from cartmill.operators.relational import rows_without_parent
 
@@ -155,7 +156,10 @@ def equality(
     exclude_columns: Sequence[str] | None = None,
     precision: int | None = None,
 ) -> DataFrame:
-    """Distinct rows present on one side only; condense with EQUALITY_FAILURES."""
+    """Distinct rows present on one side only; condense with EQUALITY_FAILURES.
+
+    Rows are compared only in the buckets whose hashes differ, see ``compare``.
+    """
     if compare_columns and exclude_columns:
         raise ValueError("give compare_columns or exclude_columns, not both")
     if compare_columns:
@@ -170,15 +174,19 @@ def equality(
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
     def comparable(frame: DataFrame) -> DataFrame:
-        out = []
+        out, beyond = [], []
         for c in columns:
             if precision is not None and kinds[c].startswith(fractional):
-                out.append(F.round(F.col(c).cast("decimal(38,9)"), precision).alias(c))
+                exact = F.col(c).try_cast("decimal(38,9)")
+                out.append(F.round(exact, precision).alias(c))
+                # what no decimal of this size holds is compared as it is
+                beyond.append(F.when(exact.isNull(), F.col(c).cast("double")).alias(f"_beyond_{c}"))
             else:
                 out.append(F.col(c))
-        return frame.select(*out)
+        return frame.select(*out, *beyond)
 
     a, b = comparable(df), comparable(other)
+    a, b = only_differing(a, b, a.columns)
     only_a = a.subtract(b).select(F.lit("a_minus_b").alias("which_diff"), *columns)
     only_b = b.subtract(a).select(F.lit("b_minus_a").alias("which_diff"), *columns)
     return only_a.unionByName(only_b)

@@ -12,11 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartmill.functions.dates import add_parts, parts_between, truncate
+from cartmill.functions.dates import SUB_DAY, add_parts, parts_between, truncate
 from cartmill.functions.scalars import regex_position
 from cartmill.operators.core_checks import as_condition
 from cartmill.operators.frequent import most_frequent
-from cartmill.operators.ranking import exact_quantiles, with_neighbour
+from cartmill.operators.ranking import exact_quantiles, with_halo, with_neighbour
 from cartmill.operators.relational import date_spine
 
 Condition = Column | str | None
@@ -375,6 +375,7 @@ def moving_sigma(
     trend_periods: int = 7,
     take_diffs: bool = True,
     take_logs: bool = True,
+    halo_chunk: int = 1 << 16,
 ) -> DataFrame:
     """Deviation of each period from the preceding trend, in rolling standard deviations."""
     sums = df.groupBy(truncate(period, date_column).alias("metric_period"), *by).agg(
@@ -385,8 +386,11 @@ def moving_sigma(
         value = F.ln(F.nullif(c, F.lit(0))) if take_logs else c
         return F.coalesce(value, F.lit(0))
 
-    # windows over one row per period and group
-    along = Window.partitionBy(*by).orderBy("metric_period")
+    # windows over one row per period and group: of days and longer periods a calendar holds few, others are sliced
+    sliced = period.lower() in SUB_DAY
+    if sliced:
+        sums = with_halo(sums, [F.col("metric_period").asc()], by, trend_periods + lookback_periods, halo_chunk)
+    along = Window.partitionBy(*by, *(["_slice"] if sliced else [])).orderBy("metric_period")
     tested = metric(F.col("agg_metric_value"))
     if take_diffs:
         sums = sums.withColumn("prior_agg_metric_value", F.lag("agg_metric_value", lookback_periods).over(along))
@@ -395,6 +399,8 @@ def moving_sigma(
     moved = sums.withColumn("metric_test_value", tested)
     moved = moved.withColumn("metric_test_rolling_average", F.avg("metric_test_value").over(trend))
     moved = moved.withColumn("metric_test_rolling_stddev", F.stddev("metric_test_value").over(trend))
+    if sliced:
+        moved = moved.filter("_own").drop("_slice", "_own")
     delta = F.col("metric_test_value") - F.col("metric_test_rolling_average")
     return moved.withColumn("metric_test_delta", delta).withColumn(
         "metric_test_sigma", F.try_divide(F.col("metric_test_delta"), F.col("metric_test_rolling_stddev"))

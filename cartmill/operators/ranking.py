@@ -133,6 +133,22 @@ def with_neighbour(
     return out.drop("_value", POSITION, SLICE, "_own_edge", "_outside")
 
 
+def with_halo(df: DataFrame, order_by: Sequence[Column], by: Sequence[str], rows: int, chunk: int = 1 << 16) -> DataFrame:
+    """Cut each group into slices of ``chunk`` rows in order, each preceded by the last ``rows`` of the slice before.
+
+    Adds ``_slice`` and ``_own``, false for the rows lent to the next slice: a window over (by, _slice) that looks back
+    ``rows`` rows at most is right for a slice's own rows, and no group has to fit one task.
+    """
+    chunk = max(chunk, rows)
+    ranked = with_rank(df, order_by, by, rank="_rank", size="_rows")
+    at, first = F.col("_rank") - 1, (F.col("_rank") - 1) % chunk
+    mine = F.struct((F.floor(at / chunk)).cast("bigint").alias("s"), F.lit(True).alias("own"))
+    lent = F.struct((F.floor(at / chunk) + 1).cast("bigint").alias("s"), F.lit(False).alias("own"))
+    places = F.when(first >= chunk - rows, F.array(mine, lent)).otherwise(F.array(mine))
+    placed = ranked.withColumn("_place", F.explode(places))
+    return placed.withColumns({"_slice": F.col("_place.s"), "_own": F.col("_place.own")}).drop("_rank", "_rows", "_place")
+
+
 #: Share of the rows on either side of a quantile that a sketch with errors up to 1 / ``ACCURACY`` is asked for.
 MARGIN, ACCURACY = 0.001, 10_000
 #: Groups of fewer rows are counted whole: there the margin may hold less than the two rows a quantile lies between.
