@@ -36,7 +36,7 @@ _BPE_FIELDS = [
 _WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
-def _repetition_sql(ngrams: dict[int, int], line_chars: int) -> str:
+def _repetition_sql(ngrams: dict[int, int], line_chars: int, line_count: int, least_lines: int) -> str:
     """Counts by list functions and windows over exploded words and lines."""
     shares = []
     for k, percent in ngrams.items():
@@ -56,7 +56,7 @@ words AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
 lines AS (SELECT r, line, i, row_number() OVER (PARTITION BY r, line ORDER BY i) AS nth FROM (
   SELECT r, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT r, string_split(text, chr(10)) AS ls FROM d))
   WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
-line_stats AS (SELECT r, count(*) FILTER (nth > 1) AS dup,
+line_stats AS (SELECT r, count(*) AS n_lines, count(*) FILTER (nth > 1) AS dup,
   coalesce(sum(length(regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g'))) FILTER (nth > 1), 0) AS dup_chars
   FROM lines GROUP BY r),
 threes AS (SELECT r, i, g, count(*) OVER (PARTITION BY r, g) AS n FROM (
@@ -70,12 +70,13 @@ base AS (SELECT d.r, doc_id, len(ws)::BIGINT AS n_words,
   length(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
   length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
   coalesce(dup, 0)::BIGINT AS n_dup_lines, coalesce(repeats.n, 0)::BIGINT AS n_repeat_words,
-  coalesce(dup_chars, 0) AS dup_chars, o.r IS NOT NULL AS over_share
+  coalesce(dup_chars, 0) AS dup_chars, coalesce(n_lines, 0) AS n_lines, o.r IS NOT NULL AS over_share
   FROM d LEFT JOIN line_stats USING (r) LEFT JOIN repeats USING (r) LEFT JOIN over_limit o USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT over_share
-    AND 100 * dup_chars <= {line_chars} * word_chars AS kept
+    AND 100 * dup_chars <= {line_chars} * word_chars
+    AND NOT (n_dup_lines >= {least_lines} AND 100 * n_dup_lines > {line_count} * n_lines) AS kept
 FROM base"""
 
 
@@ -138,7 +139,7 @@ def _personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LIMITS = repetition.RepetitionLimits()
 
 
-@query("op10_quality_repetition", _repetition_sql(_LIMITS.ngrams, _LIMITS.line_chars))
+@query("op10_quality_repetition", _repetition_sql(_LIMITS.ngrams, _LIMITS.line_chars, _LIMITS.line_count, _LIMITS.least_lines))
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_quality(table(spark, sf_dir, "documents"), limits=_LIMITS).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"

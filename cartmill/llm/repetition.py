@@ -31,11 +31,14 @@ _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 class RepetitionLimits:
     """Largest accepted percentages of word characters, by n-gram length and for lines, and the base rules.
 
-    Shares are of characters only: the number of lines is no rule, as a short clean text may repeat one of three.
+    ``line_count`` is the largest share of lines with a word that equal an earlier one; it holds from ``least_lines``
+    repeated lines on, as a short clean text may repeat one line of three.
     """
 
     ngrams: dict[int, int] = field(default_factory=lambda: {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10})
     line_chars: int = 20
+    line_count: int = 30
+    least_lines: int = 2
     min_words: int = 50
     max_repeat_percent: int = 50
 
@@ -97,11 +100,12 @@ def measure(text: str | None, limits: RepetitionLimits) -> tuple:
     ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), dtype=np.int64, count=n)
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=n)
     word_chars = int(sizes.sum())
-    dup_lines = dup_line_chars = 0
+    lines = dup_lines = dup_line_chars = 0
     seen: set[str] = set()
     for line in text.split("\n"):
         if WORD.search(line) is None:
             continue
+        lines += 1
         if line in seen:
             dup_lines += 1
             dup_line_chars += sum(map(len, WORD.findall(line)))
@@ -118,6 +122,7 @@ def measure(text: str | None, limits: RepetitionLimits) -> tuple:
     base_failed = n < limits.min_words or 100 * repeat_words > limits.max_repeat_percent * n
     kept = not base_failed and not (
         100 * dup_line_chars > limits.line_chars * word_chars
+        or (dup_lines >= limits.least_lines and 100 * dup_lines > limits.line_count * lines)
         or any(100 * dup_chars[k] > share * word_chars for k, share in limits.ngrams.items())
     )
     symbols = len(SYMBOLS.findall(text))

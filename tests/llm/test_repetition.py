@@ -61,6 +61,16 @@ def test_verdict_of_the_method_alone():
     assert (failed, kept) == (False, True)
 
 
+def test_share_of_repeated_lines():
+    """Two of five short lines are repeated: few characters, but too many lines. One of three is none too many."""
+    words = [f"word{i:03}" for i in range(300)]
+    lines = ["a b", "c d", "a b", "c d", " ".join(words)]
+    *_, failed, kept = repetition.measure("\n".join(lines), LIMITS)
+    assert (failed, kept) == (False, False)
+    *_, failed, kept = repetition.measure("\n".join(["a b", "a b", " ".join(words)]), LIMITS)
+    assert (failed, kept) == (False, True)
+
+
 def test_long_text_and_empty_table(docs):
     n, *_, failed, kept = repetition.measure("word " * 300_000, LIMITS)
     assert (n, failed, kept) == (300_000, True, False)
