@@ -14,6 +14,7 @@ text; rows with a null id come first; an empty table gives no shard.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -35,6 +36,7 @@ _MAGIC = b"EFIDS\x00\x00\x01"
 _HEADER = struct.Struct("<8sIIQQq")
 _SEQUENCE = struct.Struct("<QBQQ")
 _BLOCK = 64  # bytes
+_TOGETHER = 1024  # documents whose bounds are selected at once
 _ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
 
@@ -70,17 +72,26 @@ class EliasFano:
         """Value number i."""
         if not 0 <= i < self.size:
             raise IndexError(i)
-        block = int(np.searchsorted(self.before, i, side="right")) - 1
-        left = i - int(self.before[block])
-        data = self.high[block * _BLOCK : (block + 1) * _BLOCK]
-        upto = np.cumsum(_ONES[data])
-        byte = int(np.searchsorted(upto, left, side="right"))
-        left -= int(upto[byte - 1]) if byte else 0
-        bit = int(np.flatnonzero(np.unpackbits(data[byte : byte + 1], bitorder="little"))[left])
-        high = (block * _BLOCK + byte) * 8 + bit - i
-        at = i * self.low_bits
-        raw = int.from_bytes(self.low[at >> 3 : (at + self.low_bits + 7) >> 3].tobytes(), "little")
-        return (high << self.low_bits) | ((raw >> (at & 7)) & ((1 << self.low_bits) - 1))
+        return int(self.select_many(np.array([i]))[0])
+
+    def select_many(self, i: np.ndarray) -> np.ndarray:
+        """Values by ascending numbers: the counts name the block of each, its ones are looked for in that block alone."""
+        block = np.searchsorted(self.before, i, side="right") - 1
+        high = np.empty(len(i), dtype=np.int64)
+        cuts = np.flatnonzero(np.diff(block, prepend=-1, append=-1))
+        for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            b = int(block[a])
+            ones = np.flatnonzero(np.unpackbits(self.high[b * _BLOCK : (b + 1) * _BLOCK], bitorder="little"))
+            high[a:z] = 8 * _BLOCK * b + ones[i[a:z] - int(self.before[b])]
+        at = i.astype(np.int64) * self.low_bits
+        raw = np.zeros(len(i), dtype=np.uint64)
+        if self.low_bits:
+            found = np.take(self.low, (at >> 3)[:, None] + np.arange(9), mode="clip").astype(np.uint64)
+            shift = (at & 7).astype(np.uint64)
+            whole = (found[:, :8] << (8 * np.arange(8, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
+            raw = whole >> shift | found[:, 8] << np.uint64(1) << (np.uint64(63) - shift)
+            raw &= (np.uint64(1) << np.uint64(self.low_bits)) - np.uint64(1)
+        return (high - i).astype(np.uint64) << np.uint64(self.low_bits) | raw
 
     def values(self) -> np.ndarray:
         """The whole sequence."""
@@ -135,18 +146,24 @@ class Shard:
         return self.ids[self.ends.select(i - 1) if i else 0 : self.ends.select(i)]
 
     def __iter__(self):
-        """(document id, first id's place, ids) of each document."""
-        keys = [None] * self.nulls + [self.base + int(k) for k in self.keys.values()]
+        """(document id, first id's place, ids) of each document; bounds and ids are selected some documents at a time."""
         start = 0
-        for key, end in zip(keys, self.ends.values().tolist(), strict=True):
-            yield key, start, self.ids[start:end]
-            start = end
+        for a in range(0, self.docs, _TOGETHER):
+            numbers = np.arange(a, min(self.docs, a + _TOGETHER))
+            ends = self.ends.select_many(numbers).tolist()
+            known = self.keys.select_many(numbers[numbers >= self.nulls] - self.nulls).tolist()
+            keys = [None] * (len(numbers) - len(known)) + [self.base + k for k in known]
+            for key, end in zip(keys, ends, strict=True):
+                yield key, start, self.ids[start:end]
+                start = end
 
 
 def _encoder(path: str, end_id: int, words) -> _UnitEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
+    if words is lower_case_words:
+        require_lower_case(path)
     return _UnitEncoder(Tokenizer.from_file(path), end_id, words)
 
 
@@ -200,6 +217,32 @@ _LEVEL = {b: chr(b) for b in _PRINTED} | {
 }
 
 
+# Normal forms and steps before the model, as the tokenizer file names them
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_DIVIDERS = [
+    {
+        "type": "Split",
+        "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def require_lower_case(path: str) -> None:
+    """An error unless the tokenizer divides text as ``lower_case_words`` does."""
+    with open(path, encoding="utf8") as file:
+        described = json.load(file)
+    normal, divided = described.get("normalizer") or {}, described.get("pre_tokenizer") or {}
+    if normal.get("normalizers") != _NORMALIZERS or divided.get("pretokenizers") != _DIVIDERS:
+        raise ValueError(f"{path} divides text into other words; write without 'words'")
+
+
 def lower_case_words(unit: str) -> list[str] | None:
     """Words of a unit as a byte-level vocabulary with lower-casing and ``_WORD`` has them; None if it is not plain."""
     if not unit.isascii():

@@ -6,7 +6,9 @@ import base64
 import glob
 import hashlib
 import io
+import json
 import random
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -128,6 +130,8 @@ def test_elias_fano(n, top):
     found, end = token_store.EliasFano.load(data, 0)
     assert end == len(data) and (found.values() == values).all()
     assert [found.select(i) for i in range(n)] == values.tolist()
+    some = np.arange(0, n, 3)
+    assert found.select_many(some).tolist() == values[some].tolist()
     with pytest.raises(IndexError):
         found.select(n)
     # two bits and the logarithm of the mean gap for each value
@@ -173,6 +177,28 @@ def test_files_of_lost_attempts_are_not_read(spark, docs):
     assert not glob.glob(f"{folder.removeprefix('file://')}/*.tmp")
 
 
+def test_reading_selects_boundaries(monkeypatch):
+    """No sequence is unpacked whole to read the documents of a shard."""
+    sizes = np.random.default_rng(3).integers(0, 400, 5_000)
+    keys = np.cumsum(np.random.default_rng(4).integers(0, 99, 4_990)).tolist()
+    ids = [np.arange(n, dtype="<u2").tobytes() for n in sizes]
+    parts = token_store.dump_shard([None] * 10 + keys, np.cumsum(sizes).tolist(), ids, 2)
+    monkeypatch.delattr(token_store.EliasFano, "values")
+    shard = token_store.Shard(b"".join(parts))
+    got = list(shard)
+    assert [k for k, *_ in got] == [None] * 10 + keys
+    assert [x.tobytes() for *_, x in got] == ids and [s for _, s, _ in got] == (np.cumsum(sizes) - sizes).tolist()
+
+
+def test_other_tokenizers_are_refused(tmp_path):
+    described = json.loads(Path(TOKENIZER).read_text())
+    described["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"\p{N}+|\p{L}+"
+    (tmp_path / "t.json").write_text(json.dumps(described))
+    with pytest.raises(ValueError, match="other words"):
+        token_store.require_lower_case(str(tmp_path / "t.json"))
+    token_store.require_lower_case(TOKENIZER)
+
+
 def test_no_documents(spark, docs):
     folder = common.new_folder(spark, "ids-test")
     manifest = token_store.write_token_ids(docs([]), folder, TOKENIZER, 1)
