@@ -1,21 +1,29 @@
-"""Main text of web pages: the best-scoring run of words and tags.
+"""Main text of web pages: the best-scoring run of words and tags, completed within its container.
 
-A page is cut into text and tags by one scan. Words score positive, more so as plain text than in links; tags score
-negative, little if labelled pages have them inside main text and much if never. A second scan finds the contiguous
-run with the largest sum; it is widened to whole blocks. What stands in menus, adverts, forms, comments and the like,
-told by element name, role or the words of class and id, scores nothing and is left out wherever it stands.
+A page is cut into text and tags by one scan, which also notes where elements begin and end and what they hold. Words
+score positive, more so as plain text than in links; tags score negative, little if labelled pages have them inside
+main text and much if never. A second scan finds the contiguous run with the largest sum: it tells where the main text
+is, not yet where it ends. The run is completed in the element that holds it: all of an ``article``; otherwise the
+neighbours between and next to what the run touches that are no lists of links, so that a table of short cells, a
+paragraph that is a link or an unknown element does not end the text; then likewise for elements of the same kind beside it.
+
+Menus, adverts, forms, comments and the like score nothing and are left out wherever they stand. Some elements are that by
+name. Words of class, id and role, and forms, only say so of elements that hold neither an article nor most of
+the page's words, as a page's outermost box may well be called 'has-sidebar', 'widget' or be a form.
 
 Defined results: a null or empty page, and one without a word that counts, has empty text; unclosed elements end with
 their container or the page; an unfinished tag or comment at the end is dropped; pages without markup are text; a
-null id or URL is passed through; equal rows give equal results. Work is linear in the page's length.
+null id or URL is passed through; equal rows give equal results. Work is linear in the page's length but for deep
+nesting, each level of which is looked through once.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -30,16 +38,21 @@ _INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
-# elements that are not main text whatever their class
+# elements that are not main text whatever they hold
 _ASIDE = set(
-    "head nav footer aside form menu dialog button select option fieldset datalist template svg canvas object video audio "
-    "map noscript".split()
+    "head nav footer aside menu dialog button select option datalist template svg canvas object video audio map noscript".split()
+)
+_PRE = r"(?:^|[\s_-])(?<!has-)(?<!no-)(?<!with-)(?<!has_)(?<!no_)(?<!with_)(?<!without-)"
+_COMMENTS = re.compile(
+    _PRE + r"(?:comment\w*|disqus\w*|discussions?|repl(?:y|ies)|respond|responses|reactions?|talkback|guestbook|feedback)"
+    r"(?=$|[\s_-]|\d)",
+    re.IGNORECASE,
 )
 _HINT = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar|sidenav|widget\w*|menu\w*|nav|navbar|"
+    _PRE + r"(?:ad|ads|adv|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar|sidenav|widget\w*|menu\w*|nav|navbar|"
     r"navigation|breadcrumbs?|footer|masthead|topbar|cookie\w*|consent|gdpr|notice\w*|alert\w*|popup|modal|overlay|newsletter|"
-    r"subscribe|subscription|signup|login|searchbox|share|sharing|social|related|recommend\w*|comment\w*|disqus|replies|"
-    r"respond|form|copyright|disclaimer|toolbar|pagination|pager|skip|contentinfo|complementary|search|dialog)(?=$|[\s_-]|\d)"
+    r"subscribe|subscription|signup|login|searchbox|share|sharing|social|related|recommend\w*|"
+    r"form|copyright|disclaimer|toolbar|pagination|pager|skip|contentinfo|complementary|search|dialog)(?=$|[\s_-]|\d)"
     r"|(?:^|\s)(?:(?:site|page|top|main|global)[_-]?)?header(?=$|\s)",
     re.IGNORECASE,
 )
@@ -56,6 +69,26 @@ class Item:
     text: str = ""
     link: bool = False
     skip: bool = False
+    node: int = 0  # the innermost element
+
+
+@dataclass
+class Node:
+    """An element that is neither inline nor empty: items ``start`` to ``end`` lie in it."""
+
+    name: str
+    attributes: str
+    parent: int
+    start: int
+    end: int = -1
+    words: int = 0
+    link_words: int = 0
+    holds: set[str] = field(default_factory=set)  # which of article, main and h1 are inside
+    aside: bool = False
+
+    @property
+    def plain(self) -> int:
+        return self.words - self.link_words
 
 
 def _tag_end(page: str, at: int, last: dict[str, int], failed: set[int]) -> int:
@@ -92,47 +125,106 @@ def _tag_end(page: str, at: int, last: dict[str, int], failed: set[int]) -> int:
 _QUOTE_OR_END = re.compile("[\"'>]")
 
 
-def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
-    if name in _ASIDE or name == "header" and not in_article:
-        return True
-    if not attributes or name in ("body", "html", "main", "article") and "comment" not in attributes.lower():
-        return False
+def _signs(name: str, attributes: str) -> str:
+    """"hidden", "comments" or "hint" by the attributes of an element, or nothing."""
+    found = ""
+    if not attributes:
+        return found
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id", "role") and _HINT.search(value):
-            return True
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDDEN.search(value):
-            return True
-    return False
+            return "hidden"
+        if key in ("class", "id", "role"):
+            if _COMMENTS.search(value):
+                found = "comments"
+            elif not found and _HINT.search(value):
+                found = "hint"
+    return found
+
+
+def _mark_asides(nodes: list[Node]) -> None:
+    """Decide which elements are no main text; parents stand before what they hold."""
+    named = [n.name in _ASIDE for n in nodes]
+    for i, n in enumerate(nodes):
+        named[i] = named[i] or n.parent >= 0 and named[n.parent]
+    whole = max(1, nodes[0].plain - sum(n.plain for i, n in enumerate(nodes) if named[i] and not named[n.parent]))
+    # an article or main element somewhere else says that a box of many words is not the main text
+    proper = [n for i, n in enumerate(nodes) if n.name in ("article", "main") and not named[i] and n.plain]
+    starts, ends = [n.start for n in proper], sorted(n.end for n in proper)
+    sectioned = [False]  # whether an article, main or section is around
+    for n in nodes[1:]:
+        up = nodes[n.parent]
+        sectioned.append(sectioned[n.parent] or up.name in ("article", "main", "section"))
+        if up.aside or n.name in _ASIDE:
+            n.aside = True
+            continue
+        sign = _signs(n.name, n.attributes)
+        if sign == "hidden":
+            n.aside = n.name not in ("html", "body")
+        elif n.name in ("html", "body", "main"):
+            continue
+        elif sign == "comments":
+            n.aside = not n.holds & {"main", "h1"}
+        elif n.name == "header" and not sectioned[-1]:
+            n.aside = True
+        elif n.name != "article" and (sign or n.name in ("form", "fieldset")):
+            elsewhere = bisect_right(ends, n.start) + len(starts) - bisect_left(starts, n.end)
+            most = 2 * n.plain >= whole and not elsewhere
+            n.aside = not (n.holds & {"article", "main"} or most)
 
 
-def items(page: str) -> list[Item]:
-    """The page's text and tags in order."""
+def _above(nodes: list[Node], n: Node):
+    """Numbers of the elements that hold ``n``, from inside outwards."""
+    at = n.parent
+    while at >= 0:
+        yield at
+        at = nodes[at].parent
+
+
+# Elements that a following element of the second kind ends
+_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
+
+
+def parse(page: str) -> tuple[list[Item], list[Node]]:
+    """The page's text and tags in order, and its elements."""
     out: list[Item] = []
-    stack: list[tuple[str, bool]] = []  # open elements that contain others, and whether they are left out
-    skipping = links = articles = 0
+    nodes = [Node("", "", -1, 0)]
+    stack = [0]
+    open_names: Counter = Counter()
+    links = 0
     at, size = 0, len(page)
     last: dict[str, int] = {}
     failed: set[int] = set()
     lower = page.lower() if len(page.lower()) == size else page
 
+    def text(piece: str) -> None:
+        out.append(Item("text", piece, links > 0, False, stack[-1]))
+        n = len(piece.split())
+        nodes[stack[-1]].words += n
+        if links > 0:
+            nodes[stack[-1]].link_words += n
+
+    def close() -> Node:
+        done = nodes[stack.pop()]
+        done.end = len(out)
+        open_names[done.name] -= 1
+        up = nodes[stack[-1]]
+        up.words += done.words
+        up.link_words += done.link_words
+        up.holds |= done.holds | ({done.name} & {"article", "main", "h1"})
+        return done
+
     def pop(name: str) -> None:
-        nonlocal skipping, articles
-        if not any(n == name for n, _ in stack):
-            return
-        while stack:
-            found, aside = stack.pop()
-            skipping -= aside
-            articles -= found == "article"
-            if found == name:
-                return
+        if open_names[name]:
+            while close().name != name:
+                pass
 
     while at < size:
         start = page.find("<", at)
         if start < 0:
             start = size
         if start > at:
-            out.append(Item("text", page[at:start], links > 0, skipping > 0))
+            text(page[at:start])
         if start == size:
             break
         if page.startswith("<!--", start):
@@ -147,7 +239,7 @@ def items(page: str) -> list[Item]:
                 end = page.find(">", start)
                 at = size if end < 0 else end + 1
             else:
-                out.append(Item("text", "<", links > 0, skipping > 0))
+                text("<")
                 at = start + 1
             continue
         end = _tag_end(page, start, last, failed)
@@ -158,33 +250,46 @@ def items(page: str) -> list[Item]:
         if closing:
             if name == "a":
                 links = max(0, links - 1)
-            elif name not in _VOID:
-                inside = skipping
+            out.append(Item(name, node=stack[-1]))
+            if name not in _VOID:
                 pop(name)
-                out.append(Item(name if not inside or skipping else "aside", skip=skipping > 0))
-                continue
-            out.append(Item(name, skip=skipping > 0))
             continue
         if name in _RAW and not attributes.rstrip().endswith("/"):
-            close = lower.find(f"</{name}", at)
-            close = size if close < 0 else close
-            after = page.find(">", close)
+            close_at = lower.find(f"</{name}", at)
+            close_at = size if close_at < 0 else close_at
+            after = page.find(">", close_at)
             at = size if after < 0 else after + 1
             continue
         if name == "body":
             pop("head")
-        if stack and stack[-1][0] == "p" and name not in _INLINE and name not in _VOID:
-            pop("p")  # a paragraph that is left out ends where the next block begins
-        aside = _is_aside(name, attributes, articles > 0)
-        inside = skipping > 0
-        if name not in _VOID and not attributes.endswith("/") and (aside or name not in _INLINE and name not in ("p", "li")):
-            stack.append((name, aside))
-            skipping += aside
-            articles += name == "article"
+        if name not in _INLINE and name not in _VOID:
+            if nodes[stack[-1]].name == "p":
+                close()  # a paragraph ends where the next block begins
+            while nodes[stack[-1]].name in _ENDS and name in _ENDS[nodes[stack[-1]].name]:
+                close()
+        out.append(Item(name, node=stack[-1]))
+        if name not in _VOID and name not in _INLINE and not attributes.endswith("/"):
+            nodes.append(Node(name, attributes, stack[-1], len(out)))
+            stack.append(len(nodes) - 1)
+            open_names[name] += 1
+        elif name in _INLINE and name != "a" and _signs(name, attributes):
+            # an inline element is left out like any other, up to its end
+            nodes.append(Node(name, attributes, stack[-1], len(out)))
+            stack.append(len(nodes) - 1)
+            open_names[name] += 1
         if name == "a":
             links += 1
-        out.append(Item("aside" if aside and not inside else name, skip=inside))
-    return out
+    while len(stack) > 1:
+        close()
+    nodes[0].end = len(out)
+    _mark_asides(nodes)
+    for item in out:
+        item.skip = nodes[item.node].aside
+    return out, nodes
+
+
+def items(page: str) -> list[Item]:
+    return parse(page)[0]
 
 
 _HEADING = re.compile("h[1-6]")
@@ -227,11 +332,9 @@ def weights() -> dict[str, float]:
 _UNKNOWN = -1.0  # a tag that no labelled page has
 
 
-def main_text(page: str | None) -> str:
-    """The main text: blocks in page order, white space as one space."""
-    if not page:
-        return ""
-    found, score = items(page), weights()
+def _best_run(found: list[Item]) -> tuple[int, int]:
+    """The contiguous run of items with the largest sum of scores."""
+    score = weights()
     best = total = 0.0
     start, region = 0, (0, 0)
     for i, item in enumerate(found):
@@ -246,9 +349,131 @@ def main_text(page: str | None) -> str:
         total += gain
         if total > best:
             best, region = total, (start, i + 1)
-    first, last = region
+    return region
+
+
+# elements that text consists of, whatever their length
+_TEXT_BLOCKS = set("p h1 h2 h3 h4 h5 h6 blockquote pre table ul ol dl figure figcaption hr address details".split())
+_PIECES = _TEXT_BLOCKS | set("li dt dd tr td th tbody thead tfoot caption".split())
+_PROSE = 20  # words from which a box beside the text counts as more of it
+
+
+@dataclass
+class _Part:
+    """A child of an element, or text that stands between its children."""
+
+    start: int
+    end: int
+    words: int
+    link_words: int
+    node: Node | None = None
+
+    def belongs(self, loose: bool) -> bool:
+        """Whether it may be main text beside main text; boxes directly in the page's body must say more."""
+        if self.node is not None and self.node.aside or not self.words:
+            return False
+        if self.node is not None and self.node.name == "p":
+            return True
+        few_links = 2 * self.link_words < self.words
+        if self.node is None or self.node.name in _TEXT_BLOCKS:
+            return few_links
+        return few_links and (not loose or self.words - self.link_words >= _PROSE // 2)
+
+
+    def resembles(self, other: Node) -> bool:
+        """Whether it is a box like another one and holds prose."""
+        if self.node is None or self.node.aside or self.words - self.link_words < _PROSE or 5 * self.link_words >= self.words:
+            return False
+        return (self.node.name, _class(self.node)) == (other.name, _class(other))
+
+
+def _parts_of(found: list[Item], nodes: list[Node], children: dict[int, list[int]], at: int) -> list[_Part]:
+    node, out = nodes[at], []
+    place = node.start
+    for k in [*children.get(at, ()), None]:
+        upto = nodes[k].start if k is not None else node.end
+        own = [i for i in range(place, upto) if found[i].kind == "text"]
+        words = sum(len(found[i].text.split()) for i in own)
+        if words:
+            linked = sum(len(found[i].text.split()) for i in own if found[i].link)
+            out.append(_Part(place, upto, words, linked))
+        if k is not None:
+            out.append(_Part(nodes[k].start, nodes[k].end, nodes[k].words, nodes[k].link_words, nodes[k]))
+            place = nodes[k].end
+    return out
+
+
+def _holder(found: list[Item], nodes: list[Node], first: int, last: int) -> int:
+    """The innermost element that holds the run and is more than a block of text."""
+    a = next(found[i].node for i in range(first, last) if found[i].kind == "text" and not found[i].skip)
+    b = next(found[i].node for i in range(last - 1, first - 1, -1) if found[i].kind == "text" and not found[i].skip)
+    around = {a, *_above(nodes, nodes[a])}
+    at = b
+    while at not in around:
+        at = nodes[at].parent
+    while nodes[at].name in _PIECES and nodes[at].parent >= 0:
+        if nodes[at].name in ("td", "th") and nodes[at].plain >= _PROSE:
+            break  # a cell may be a page's column
+        at = nodes[at].parent
+    return at
+
+
+def _completed(found: list[Item], nodes: list[Node], first: int, last: int) -> tuple[int, int]:
+    """The run with what belongs to it in the elements around it."""
+    children: dict[int, list[int]] = {}
+    for k, n in enumerate(nodes):
+        if n.parent >= 0:
+            children.setdefault(n.parent, []).append(k)
+    while True:
+        at = _holder(found, nodes, first, last)
+        article = next((k for k in (at, *_above(nodes, nodes[at])) if nodes[k].name == "article"), None)
+        if article is not None:
+            return nodes[article].start, nodes[article].end
+        parts = _parts_of(found, nodes, children, at)
+        loose = nodes[at].name in ("", "html", "body")
+        touched = [p for p in parts if p.start < last and p.end > first and p.words]
+        kept = list(touched)  # without boxes of links that the run ran into
+        while kept and not kept[-1].belongs(loose):
+            kept.pop()
+        while kept and not kept[0].belongs(loose):
+            kept.pop(0)
+        if not kept or len(kept) == len(touched):
+            break
+        first, last = max(first, kept[0].start), min(last, kept[-1].end)
+    ok, whole = [p.belongs(loose) for p in parts], True
+    while True:
+        inside = [i for i, p in enumerate(parts) if p.start < last and p.end > first]
+        if inside:
+            low, high = inside[0], inside[-1]
+            while low > 0 and (ok[low - 1] or not parts[low - 1].words):
+                low -= 1
+            while high + 1 < len(parts) and (ok[high + 1] or not parts[high + 1].words):
+                high += 1
+            if whole or low < inside[0]:  # blocks that the run touches are taken whole, the boxes around it are not
+                first = min(first, parts[low].start)
+            if whole or high > inside[-1]:
+                last = max(last, parts[high].end)
+        inner, whole = nodes[at], False
+        if inner.parent < 0 or inner.name in ("main", "body", "html"):
+            return first, last
+        at = inner.parent
+        parts = _parts_of(found, nodes, children, at)
+        ok = [p.resembles(inner) for p in parts]  # beside a box only boxes of its kind, with prose
+
+
+def _class(node: Node) -> str:
+    return next((v.strip("\"'") for k, v in _ATTRIBUTE.findall(node.attributes) if k.lower() == "class"), "")
+
+
+def main_text(page: str | None) -> str:
+    """The main text: blocks in page order, white space as one space."""
+    if not page:
+        return ""
+    found, nodes = parse(page)
+    first, last = _best_run(found)
     if first == last:
         return ""
+    first, last = _completed(found, nodes, first, last)
     while first > 0 and (found[first - 1].kind == "text" or found[first - 1].kind in _INLINE):
         first -= 1
     while last < len(found) and (found[last].kind == "text" or found[last].kind in _INLINE):
