@@ -492,10 +492,11 @@ def encode_documents(
     common.release()  # the driver's memory is small
     width = table.width
     kept = docs.select(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).schema
-    source = docs.select(F.col(f"`{common.field(docs, text_col).name}`").alias("_text"), *[F.col(f"`{f.name}`") for f in kept])
+    text, packed_ids = common.free(docs, "_text"), common.free(docs, "_ids")
+    source = docs.select(F.col(f"`{common.field(docs, text_col).name}`").alias(text), *[F.col(f"`{f.name}`") for f in kept])
 
     # a batch of documents is one row, next to the distinct words its documents lack
-    held = T.StructType([*kept, T.StructField("_ids", T.BinaryType())])
+    held = T.StructType([*kept, T.StructField(packed_ids, T.BinaryType())])
     gathered = common.schema_of(("docs", T.ArrayType(held)), ("rest", T.ArrayType(T.StringType())))
     target = common.arrow_schema(gathered)
     key = ("bpe", shared, known, pattern)

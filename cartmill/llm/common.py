@@ -69,6 +69,14 @@ def field(df: DataFrame, name: str) -> T.StructField:
     )
 
 
+def free(df: DataFrame, name: str) -> str:
+    """A name that no column of ``df`` has, whatever its case: the one given, with underscores if need be."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def arrow_map(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterable[tuple]], schema: T.StructType, batch: int = 4096):
     """Map tuples of ``df``'s rows to tuples of ``schema``, batch by batch, without a shuffle.
 

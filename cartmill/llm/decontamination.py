@@ -32,7 +32,6 @@ _WORD_BYTES = frozenset(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(0x8
 _NORMAL = bytes(b if b in _WORD_BYTES else 0x20 for b in bytes(range(256)).lower())
 _WORD = re.compile(rb"[^\x20]+")
 
-HITS = "_hits"
 _HIT_TYPE = T.ArrayType(
     T.StructType(
         [
@@ -134,8 +133,8 @@ def remove_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def _with_hits(docs: DataFrame, text_col: str, windows: DataFrame) -> DataFrame:
-    """``docs`` with the array of hits; one map over the documents per block of windows."""
-    out = docs.withColumn(HITS, F.array().cast(_HIT_TYPE))
+    """``docs`` with the array of hits as the last column; one map over the documents per block of windows."""
+    out = docs.withColumn(common.free(docs, "_hits"), F.array().cast(_HIT_TYPE))
     schema = out.schema
     text_at = schema.names.index(common.field(docs, text_col).name)
     spark = docs.sparkSession
@@ -220,4 +219,5 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of ``docs`` without a word inside an item window."""
     windows = item_windows(items, window, item_id, item_text)
-    return _with_hits(docs, text_col, windows).filter(F.size(HITS) == 0).drop(HITS)
+    found = _with_hits(docs, text_col, windows)
+    return found.filter(F.size(found.columns[-1]) == 0).drop(found.columns[-1])

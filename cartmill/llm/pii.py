@@ -292,9 +292,10 @@ def _added(docs: DataFrame, text_col: str, rules: Disclosure) -> DataFrame:
 def _with_terms(docs: DataFrame, text_col: str, rules: Disclosure) -> DataFrame:
     """``docs`` with the column of added spans."""
     name = common.field(docs, text_col).name
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(f"`{name}`")))
-    added = _added(docs, text_col, rules).select(F.col("text_key").alias("_added_key"), F.col("terms").alias("_terms"))
-    return keyed.join(added, F.col("_key") == F.col("_added_key"), "left").drop("_key", "_added_key")
+    key, other, terms = (common.free(docs, c) for c in ("_key", "_added_key", "_terms"))
+    keyed = docs.withColumn(key, F.xxhash64(F.col(f"`{name}`")))
+    added = _added(docs, text_col, rules).select(F.col("text_key").alias(other), F.col("terms").alias(terms))
+    return keyed.join(added, F.col(key) == F.col(other), "left").drop(key, other)
 
 
 def personal_data(

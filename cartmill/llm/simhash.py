@@ -247,14 +247,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """Rows of ``docs`` without near-duplicates: of each component that with the smallest id, null ids last, then any."""
     name = common.field(docs, id_col).name
     row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    found = common.stored(fingerprints(docs, id_col, text_col, shingle, [row.alias("_row")]), "fingerprints")
-    first = F.min(F.struct(F.col(f"`{name}`").isNull().alias("unknown"), F.col(f"`{name}`").alias("id"), "_row"))
+    mark, at, of = (common.free(docs, c) for c in ("_row", "_chosen", "_chosen_id"))
+    found = common.stored(fingerprints(docs, id_col, text_col, shingle, [row.alias(mark)]), "fingerprints")
+    first = F.min(F.struct(F.col(f"`{name}`").isNull().alias("unknown"), F.col(f"`{name}`").alias("id"), F.col(mark).alias("row")))
     distinct = common.stored(found.groupBy("fp").agg(first.alias("first")), "distinct-fingerprints")
     chosen = _roots(distinct, max_bits).groupBy("root").agg(F.min("first").alias("first"))
-    chosen = chosen.select(F.col("first._row").alias("_chosen"), F.col("first.id").alias("_chosen_id"))
-    marked = docs.withColumn("_row", row)
-    kept = marked.join(
-        chosen, (F.col("_row") == F.col("_chosen")) & F.col(f"`{name}`").eqNullSafe(F.col("_chosen_id")), "left_semi"
-    )
+    chosen = chosen.select(F.col("first.row").alias(at), F.col("first.id").alias(of))
+    marked = docs.withColumn(mark, row)
+    kept = marked.join(chosen, (F.col(mark) == F.col(at)) & F.col(f"`{name}`").eqNullSafe(F.col(of)), "left_semi")
     # equal rows have equal marks; only one of them stays
-    return kept.dropDuplicates([name, "_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.dropDuplicates([name, mark]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,4 +1,11 @@
-"""From raw documents to token ids: five stages, each one of the operators of ``cartmill.llm``."""
+"""From raw documents to token ids: five stages, each one of the operators of ``cartmill.llm``.
+
+Defined results of the stages: a null or empty text is not toxic and holds neither benchmark words nor personal data; all
+such texts have fingerprint zero and are one group of near-duplicates; in the last stage they have no ids and empty text.
+Rows with a null id are never in the labelled sample and stay, of a group last. Equal rows count as near-duplicates, of
+which one stays; of other ties the smallest id stays. Empty tables give empty tables with the same columns. Further
+columns, whatever their names, pass the first four stages unchanged, but for ``n_chars``, which follows the text.
+"""
 
 from __future__ import annotations
 
@@ -40,7 +47,8 @@ def _counted(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network, trained on the labelled ones among them, scores below ``TOXIC``."""
     network = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
-    return toxicity.add_scores(docs, network, score="_score").filter(F.col("_score") < TOXIC).drop("_score")
+    score = common.free(docs, "_score")
+    return toxicity.add_scores(docs, network, score=score).filter(F.col(score) < TOXIC).drop(score)
 
 
 @_stage
