@@ -535,10 +535,11 @@ def _(s: Shop):
       FROM customer_rfm GROUP BY 1""",
 )
 def _(s: Shop):
-    people = gold.customer_totals(s.star, WINDOW)
-    scored = people.crossJoin(F.broadcast(gold.recency_edges(people))).withColumn("r_score", gold.r_score())
+    # both sides read the one aggregation by day
+    per_day = gold.per_recency(gold.customer_totals(s.star, WINDOW))
+    scored = per_day.crossJoin(F.broadcast(gold.edges_of(per_day))).withColumn("r_score", gold.r_score())
     return scored.groupBy("r_score").agg(
-        F.count("*").alias("customers"),
+        F.sum("customers").alias("customers"),
         F.min("recency_days").alias("min_days"),
         F.max("recency_days").alias("max_days"),
     )

@@ -92,10 +92,18 @@ def customer_totals(star: dict[str, DataFrame], window: Window = DEFAULT_WINDOW)
     return _with_state(people, star["dim_customers"])
 
 
+def per_recency(people: DataFrame) -> DataFrame:
+    """(recency_days, customers); recency has few distinct values."""
+    return people.groupBy("recency_days").agg(F.count("*").alias("customers"))
+
+
 def recency_edges(people: DataFrame) -> DataFrame:
-    """The quintile edges of recency as one row e0 .. e5; recency has few distinct values."""
-    per_day = people.groupBy("recency_days").agg(F.count("*").alias("_n"))
-    points = F.expr("percentile(recency_days, array(0.0, 0.2, 0.4, 0.6, 0.8, 1.0), _n)")
+    """The quintile edges of recency as one row e0 .. e5."""
+    return edges_of(per_recency(people))
+
+
+def edges_of(per_day: DataFrame) -> DataFrame:
+    points = F.expr("percentile(recency_days, array(0.0, 0.2, 0.4, 0.6, 0.8, 1.0), customers)")
     edges = per_day.agg(points.alias("e"))
     return edges.select(*[F.col("e")[i].alias(f"e{i}") for i in range(6)])
 
