@@ -103,15 +103,20 @@ def _info_member(name: str, layout: ArchiveLayout) -> bytes:
     return _member("warcinfo", headers, b"software: cartmill\r\nformat: WARC File Format 1.1\r\n", layout.level)
 
 
+MOST_SHARDS = 1 << 16
+
+
 def range_cuts(sizes: DataFrame, target: int) -> list[int]:
     """Ascending keys at which a new shard begins, so that shards hold about ``target`` of the column ``size``.
 
     Sums per bin of keys are exact, so the cuts do not depend on how the rows lie. Bins that are too heavy are
-    divided again until they are light or a single key; what reaches the driver is a few numbers for each shard.
+    divided again until they are light or a single key; what reaches the driver is a few numbers for each shard, of
+    which there are ``MOST_SHARDS`` at most, larger ones if the input asks for more.
     """
     low, high, total = sizes.agg(F.min("key"), F.max("key"), F.sum("size")).first()
     if low is None or total <= target:
         return []
+    target = max(target, -(-total // MOST_SHARDS))
     shift = max(0, (high - low).bit_length() - _BINS.bit_length() + 1)
     sums: list[tuple[int, int]] = []
     frame = sizes

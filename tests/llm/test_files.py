@@ -117,6 +117,13 @@ def test_cuts_divide_heavy_bins(spark):
     assert warc.range_cuts(sizes.limit(0), 500) == []
 
 
+def test_number_of_shards_is_bounded(spark, monkeypatch):
+    sizes = spark.range(5_000).selectExpr("id AS key", "10 AS size")
+    monkeypatch.setattr(warc, "MOST_SHARDS", 20)
+    cuts = warc.range_cuts(sizes, 100)
+    assert 10 <= len(cuts) <= 20
+
+
 def test_empty_archive(spark, pages):
     folder = common.new_folder(spark, "warc-test")
     assert warc.read_archive(warc.write_archive(pages([]), folder), folder).count() == 0
