@@ -277,12 +277,15 @@ def _count_words(docs: DataFrame, text_col: str, pattern: str) -> DataFrame:
 
 
 def _frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The words of at least some count, chosen so that they are ``most`` or fewer; a histogram of counts decides."""
+    """The words of at least some count, chosen so that they are ``most`` or fewer; a histogram of counts decides.
+
+    A word that stands once is left out: it is folded once either way.
+    """
     sizes = counts.groupBy(F.when(F.col("n") < 4096, F.col("n")).otherwise(F.lit(4096)).alias("n")).agg(F.count("*").alias("words"))
     least, total = 1 << 62, 0
     for n, words in sorted(((r["n"], r["words"]) for r in sizes.collect()), reverse=True):
         total += words
-        if total > most:
+        if total > most or n < 2:
             break
         least = n
     return counts.filter(F.col("n") >= least)
@@ -297,7 +300,8 @@ def dictionary(docs: DataFrame, text_col: str, table: RankTable, pattern: str, m
     # folding is work for all cores, however few bytes the words are
     spread = words.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
     latin = F.decode(F.encode("word", "UTF-8"), "ISO-8859-1")
-    packed = spread.select(F.xxhash64("word").alias("hash"), table.fold(F.array(latin))[0].alias("ids")).toArrow()
+    common.release()  # the driver's memory is small
+    packed = [spread.select(F.xxhash64("word").alias("hash"), table.fold(F.array(latin))[0].alias("ids")).toArrow()]
     return Dictionary.of(packed)
 
 
@@ -313,10 +317,12 @@ class Dictionary:
         self.hashes, self.starts, self.ids, self.buckets = hashes, starts, ids, buckets
 
     @classmethod
-    def of(cls, packed: pa.Table) -> Dictionary:
-        packed = packed.sort_by("hash")
+    def of(cls, found: list[pa.Table]) -> Dictionary:
+        """From a list of one table, which is taken out of it so that its memory is free once it is sorted."""
+        packed = found.pop().sort_by("hash")
         hashes = packed["hash"].to_numpy()
         column = pa.concat_arrays(packed["ids"].chunks) if len(hashes) else pa.array([], type=pa.binary())
+        del packed
         offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[: len(column) + 1] if len(column) else np.zeros(1, np.int32)
         starts, ids = offsets.astype(np.uint32), (column.buffers()[2].to_pybytes() if len(column) else b"")
         # hashes are spread evenly: their upper 16 bits leave a few to search
