@@ -219,7 +219,7 @@ def _with_bound(phrases: DataFrame, words: DataFrame, nexts: DataFrame) -> DataF
     return out.withColumn("bound", _scored("m", "f_first", "m")).drop("f_first", "f_next", "m")
 
 
-def _cut(phrases: DataFrame, counts: dict[int, DataFrame], length: int, least: DataFrame | None = None) -> DataFrame:
+def _cut(phrases: DataFrame, counts: dict[int, DataFrame], length: int) -> DataFrame:
     """(lang, phrase, f, l, r, score) of the lowest-scoring cut, of several that after the fewest words.
 
     A cut one part of which was not counted gives no score: ``score`` is then null.
@@ -279,8 +279,8 @@ def _expanded(docs: DataFrame, known: dict[int, DataFrame], limits: Limits, thre
         found = _counts(docs, length, at_once, wanted, sets).filter(F.col("f") >= limits.min_count)
         found = found.join(thresholds, "lang", "left_semi")
         counts[length] = longer[own] = found
-        scored = _cut(found, counts, length)
         # parts of three words and more may not have been counted, where their own prefix has a low bound
+        parts = dict(counts)
         for part in range(3, length):
             grown = frontier.select("lang", F.col("phrase").alias(f"head{own}"))
             lacking = found.withColumns(_parts(length)).join(grown, ["lang", f"head{own}"], "left_semi")
@@ -290,8 +290,8 @@ def _expanded(docs: DataFrame, known: dict[int, DataFrame], limits: Limits, thre
                 asked = {"lacking": _set(lacking, part, bits)}
                 more = _counts(docs, part, at_once, lambda sets, grams, n: sets["lacking"].has(grams, 0, n), asked)
                 more = more.join(lacking, ["lang", "phrase"], "left_semi")
-                scored = _cut(found, {**counts, part: counts[part].unionByName(more)}, length)
-        scored = stored(scored.join(thresholds, "lang"), f"phrases-scored-{length}")
+                parts[part] = counts[part].unionByName(more)
+        scored = stored(_cut(found, parts, length).join(thresholds, "lang"), f"phrases-scored-{length}")
         reaching.append((length, scored.filter("score >= t").drop("t")))
         bounded = _with_bound(scored, known[1], known[0])
         frontier = bounded.filter("score >= t or bound >= t")
