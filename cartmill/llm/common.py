@@ -37,16 +37,18 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-#: Rows of an Arrow batch, a tenth of Spark's default: whole texts are long.
-BATCH_ROWS = 1000
+#: Rows of an Arrow batch, a tenth of Spark's default, as whole texts are long. Characters of a plan's description: Spark
+#: keeps those of a thousand executions on the driver, and the literal rank map alone is a megabyte.
+_MOST = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.maxPlanStringLength": 1 << 16}
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session with the settings that results and the workers' memory depend on."""
+    """The session with the settings that results and the memory of workers and driver depend on."""
     importable(spark)
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
-        spark.conf.set(rows, BATCH_ROWS)
+    for name, most in _MOST.items():
+        found = spark.conf.get(name)
+        if not found.isdigit() or not 0 < int(found) <= most:
+            spark.conf.set(name, most)
     return apply_semantics(spark)
 
 

@@ -32,6 +32,7 @@ def _stage(build):
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         while _SHARED:
             _SHARED.pop().unpersist()
+        common.release()
         with common.owning(_SHARED):
             return build(common.prepared(spark), docs, sf_dir)
 
