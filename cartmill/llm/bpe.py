@@ -36,7 +36,7 @@ from cartmill.llm import common
 DICTIONARY_WORDS = 1 << 21
 DICTIONARY_BYTES = 32
 LONG_BYTES = 128
-_CACHED = 120_000  # units or words that a worker remembers
+_CACHED = 60_000  # units or words that a worker remembers
 
 # white space as the splitting pattern has it
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
