@@ -8,7 +8,7 @@ Words are encoded once each where that pays: the most frequent distinct words of
 at most ``DICTIONARY_BYTES`` bytes or fewer, are folded and broadcast, a bounded size; any other word is folded once
 per batch of documents that contain it, in the same expression. Documents are never shuffled: a map puts the ids of
 known words in order, with marks for the words it lacks, the fold encodes those, and a second map replaces the marks
-and decodes. Words longer than ``LONG_BYTES`` would make the fold quadratic; they take the same merges from a heap.
+and decodes. The first map works on arrays: a batch's texts are cut in units, each distinct unit is looked up once. Words longer than ``LONG_BYTES`` would make the fold quadratic; they take the same merges from a heap.
 
 Defined results: null and empty texts give no ids; equal rows give equal results; a null id is passed through.
 """
@@ -20,11 +20,10 @@ import heapq
 import re
 import struct
 import zlib
-from array import array
-from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -36,12 +35,17 @@ from cartmill.llm import common
 DICTIONARY_WORDS = 1 << 21
 DICTIONARY_BYTES = 32
 LONG_BYTES = 128
-_CACHED = 60_000  # units or words that a worker remembers
 
 # white space as the splitting pattern has it
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # a run of white space and what follows up to the next: no match of the pattern crosses its ends
 _UNIT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+# the same white space in UTF-8: single bytes, and the codes of two and of three bytes
+_SPACES = [c.encode() for c in re.findall(f"[{_SPACE}]", "".join(map(chr, range(0x3001))))]
+_SPACE_BYTES = np.isin(np.arange(256), [c[0] for c in _SPACES if len(c) == 1])
+_WIDE_SPACES = {n: [int.from_bytes(c, "big") for c in _SPACES if len(c) == n] for n in (2, 3)}
+_WIDE_LEADS = np.isin(np.arange(256), [c[0] for c in _SPACES if len(c) > 1])
+_LETTER_BYTES = np.isin(np.arange(256), [c for c in range(128) if chr(c).isalpha()])
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -73,6 +77,7 @@ class RankTable:
     """The rank map as one binary value for Spark expressions; ``width`` bytes hold an id."""
 
     def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
         self.width = 2 if max(ranks.values()) < 0xFFFF else 3
         pack = self.pack
         pairs = {}
@@ -302,7 +307,7 @@ def dictionary(docs: DataFrame, text_col: str, table: RankTable, pattern: str, m
     latin = F.decode(F.encode("word", "UTF-8"), "ISO-8859-1")
     common.release()  # the driver's memory is small
     packed = [spread.select(F.xxhash64("word").alias("hash"), table.fold(F.array(latin))[0].alias("ids")).toArrow()]
-    return Dictionary.of(packed)
+    return Dictionary.of(packed, {token: table.pack(rank) for token, rank in table.ranks.items()})
 
 
 def _little(ids: bytes, width: int) -> bytes:
@@ -310,35 +315,61 @@ def _little(ids: bytes, width: int) -> bytes:
     return b"".join([ids[i : i + width][::-1] + b"\0" * (4 - width) for i in range(0, len(ids), width)])
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    """Spark's ``xxhash64`` of each word."""
+    return np.array([xxhash.xxh64_intdigest(w, 42) for w in words], dtype=np.uint64).view(np.int64)
+
+
+def _gather(values: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` that start at ``first``, one after the other."""
+    ends = np.cumsum(sizes)
+    places = np.repeat(first - (ends - sizes), sizes)
+    places += np.arange(len(places))
+    return values[places]
+
+
 class Dictionary:
-    """Packed ids of words by the words' hashes: some 20 bytes for each. Callers tell words of equal hash apart."""
+    """Packed ids of words by the words' hashes: some 20 bytes for each."""
 
-    def __init__(self, hashes: array, starts: array, ids: bytes, buckets: list[int]):
-        self.hashes, self.starts, self.ids, self.buckets = hashes, starts, ids, buckets
+    def __init__(self, hashes: np.ndarray, starts: np.ndarray, ids: bytes):
+        self.hashes, self.starts, self.ids = hashes, starts, ids
 
     @classmethod
-    def of(cls, found: list[pa.Table]) -> Dictionary:
-        """From a list of one table, which is taken out of it so that its memory is free once it is sorted."""
-        packed = found.pop().sort_by("hash")
-        hashes = packed["hash"].to_numpy()
-        column = pa.concat_arrays(packed["ids"].chunks) if len(hashes) else pa.array([], type=pa.binary())
+    def of(cls, found: list[pa.Table], tokens: dict[bytes, bytes]) -> Dictionary:
+        """From a list of one table, which is taken out of it so that its memory is free once it is sorted.
+
+        Of words of one hash the first is kept; ``tokens``, words that are one id whole, come before all others.
+        """
+        own = pa.table({"hash": _hashes(list(tokens)), "ids": pa.array(tokens.values(), type=pa.binary())})
+        packed = pa.concat_tables([own, found.pop().cast(own.schema)])
+        hashes, first = np.unique(packed["hash"].to_numpy(), return_index=True)
+        column = pa.concat_arrays(packed["ids"].chunks).take(pa.array(first))
         del packed
-        offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[: len(column) + 1] if len(column) else np.zeros(1, np.int32)
-        starts, ids = offsets.astype(np.uint32), (column.buffers()[2].to_pybytes() if len(column) else b"")
-        # hashes are spread evenly: their upper 16 bits leave a few to search
-        tops = (np.arange(1 << 16, dtype=np.int64) - (1 << 15)) << 48
-        buckets = [*np.searchsorted(hashes, tops).tolist(), len(hashes)]
-        return cls(array("q", hashes.tobytes()), array("I", starts.tobytes()), ids, buckets)
-
-    def find(self, word: bytes) -> bytes | None:
-        """Packed ids of a word, or of another with the same hash."""
-        wanted = xxhash.xxh64_intdigest(word, 42)
-        wanted -= (wanted >> 63) << 64
-        bucket = (wanted >> 48) + (1 << 15)
-        at = bisect_left(self.hashes, wanted, self.buckets[bucket], self.buckets[bucket + 1])
-        if at == len(self.hashes) or self.hashes[at] != wanted:
-            return None
-        return self.ids[self.starts[at] : self.starts[at + 1]]
+        offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[: len(column) + 1]
+        return cls(hashes, offsets.astype(np.uint32), column.buffers()[2].to_pybytes())
+
+    def find(self, words: list[bytes], pieces: Pieces, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words that are here, one after the other, and their number for each word, 0 where it is not."""
+        numbers = np.zeros(len(words), dtype=np.int64)
+        wanted = _hashes(words)
+        order = np.argsort(wanted)  # neighbours are found near each other
+        at = np.empty(len(words), dtype=np.int64)
+        at[order] = np.searchsorted(self.hashes, wanted[order])
+        at = np.minimum(at, len(self.hashes) - 1)
+        hit = np.flatnonzero(self.hashes[at] == wanted)
+        first, after = (self.starts[at[hit] + i].astype(np.int64) // width for i in (0, 1))
+        sizes = after - first
+        little = np.zeros((int(sizes.sum()), 4), dtype=np.uint8)
+        little[:, :width] = _gather(np.frombuffer(self.ids, dtype=np.uint8).reshape(-1, width), first, sizes)[:, ::-1]
+        ids = little.view("<u4").ravel()
+        # words of equal hash are told apart by what the ids decode to
+        ends = np.cumsum(sizes)
+        reached = np.concatenate([[0], np.cumsum(pieces.sizes[ids])])
+        starts, ends = reached[ends - sizes].tolist(), reached[ends].tolist()
+        decoded = pieces.decode(ids.tobytes())
+        same = np.array([decoded[a:b] == words[i] for i, a, b in zip(hit.tolist(), starts, ends, strict=True)], dtype=bool)
+        numbers[hit[same]] = sizes[same]
+        return ids[np.repeat(same, sizes)], numbers
 
 
 class Pieces:
@@ -363,90 +394,126 @@ class Pieces:
         return b"".join(out)
 
 
-_MARK = b"\xff" * 4
+_MARK = 0xFFFFFFFF
 
 
-class _Units(dict):
-    """Ids of units that follow ``lead``, encoded when first met."""
+def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an array of texts, null being empty, and where each begins and the last ends."""
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets - offsets[0]
 
-    def __init__(self, words: _Words, lead: str):
-        super().__init__({"": b""})
-        self.words, self.lead = words, lead
 
-    def __missing__(self, unit: str) -> bytes:
-        words = self.words
-        lacking = len(words.lacking)
-        words.met_lacking = False
-        ids = b"".join([words.ids(w) for w in words.split(self.lead, unit)])
-        self[unit] = ids
-        if words.met_lacking or len(words.lacking) > lacking:
-            words.temporary.append((self, unit))
-        return ids
+def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the units of texts begin in their bytes: at each text's first byte and each run of white space."""
+    space = _SPACE_BYTES[data]
+    leads = np.flatnonzero(_WIDE_LEADS[data])
+    if len(leads):
+        wide = np.concatenate([data, np.zeros(2, dtype=np.uint8)]).astype(np.int32)
+        two = (wide[leads] << 8) | wide[leads + 1]
+        for codes, n in ((two, 2), ((two << 8) | wide[leads + 2], 3)):
+            at = leads[np.isin(codes, _WIDE_SPACES[n])]
+            for i in range(n):
+                space[at + i] = True
+    first = space.copy()
+    first[1:] &= ~space[:-1]
+    first[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
+    return np.flatnonzero(first)
+
+
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to the letters of ASCII or U+00C0 to U+017F."""
+    letter = _LETTER_BYTES[data]
+    leads = np.flatnonzero((data >= 0xC3) & (data <= 0xC5))
+    sign = (data[leads] == 0xC3) & ((data[leads + 1] == 0x97) | (data[leads + 1] == 0xB7))  # times and division
+    leads = leads[~sign]
+    letter[leads] = letter[leads + 1] = True
+    return letter
 
 
 class _Words:
-    """What a worker knows: ranks, the broadcast dictionary, and the units and words met so far.
+    """What a worker knows: ranks, and the broadcast dictionary.
 
     Ids are little-endian 32-bit integers. A word that only the fold can encode is a mark and its number among the
     words that the batch lacks.
     """
 
-    def __init__(self, ranks: dict[bytes, int], known: Dictionary, pattern: str, width: int):
-        self.ranks, self.known, self.width = ranks, known, width
+    def __init__(self, ranks: dict[bytes, int], known: Dictionary, pattern: str, width: int, pieces: Pieces):
+        self.ranks, self.known, self.width, self.pieces = ranks, known, width, pieces
         self.split = _splitter(pattern)
-        self.packed = {rank.to_bytes(width, "big"): token for token, rank in ranks.items()}
-        self.line_end = ranks[b"\n"].to_bytes(4, "little")
-        self.met: dict[str, bytes] = {}
-        self.spaced, self.plain = _Units(self, " "), _Units(self, "")
-        self.lacking: dict[bytes, int] = {}
-        self.temporary: list[tuple[_Units, str]] = []
-        self.met_lacking = False
-
-    def ids(self, word: str) -> bytes:
-        found = self.met.get(word)
-        if found is None:
-            data = word.encode()
-            found = self._known(data)
-            if found is None:
-                self.met_lacking = True
-                return _MARK + self.lacking.setdefault(data, len(self.lacking)).to_bytes(4, "little")
-            self.met[word] = found
-        return found
-
-    def _known(self, word: bytes) -> bytes | None:
-        if (rank := self.ranks.get(word)) is not None:
-            return rank.to_bytes(4, "little")
-        if len(word) > LONG_BYTES:
-            return struct.pack(f"<{len(ids := merge_long(self.ranks, word))}I", *ids)
-        found, width = self.known.find(word), self.width
-        if found is None or b"".join([self.packed[found[i : i + width]] for i in range(0, len(found), width)]) != word:
-            return None
-        return _little(found, width)
-
-    def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
+
+    def encode(self, texts: pa.Array) -> tuple[pa.Array, list[bytes]]:
         """Ids of the texts, with marks, and the words that the marks number."""
-        out = [self._encode(t) if t else b"" for t in texts]
-        lacking = list(self.lacking)
-        for units, unit in self.temporary:
-            units.pop(unit, None)
-        self.lacking.clear()
-        self.temporary.clear()
-        for cache in (self.met, self.spaced, self.plain):
-            if len(cache) >= _CACHED:
-                cache.clear()
-        return out, lacking
-
-    def _encode(self, text: str) -> bytes:
-        lines, units = units_of(text)
-        if units is not None:
-            return b"".join(map(self.plain.__getitem__, units))
-        spaced, plain, out = self.spaced.__getitem__, self.plain.__getitem__, []
-        for line in lines:
-            head, *tail = line.split(" ")
-            out.append(plain(head))
-            out += map(spaced, tail)
-            out.append(self.line_end)
-        return b"".join(out[:-1])
+        data, offsets = _flat(texts)
+        starts = unit_starts(data, offsets)
+        if not len(starts):
+            return pa.array([b""] * len(texts), type=pa.binary()), []
+        units = _binary(data, np.append(starts, len(data))).dictionary_encode()
+        ids, sizes, lacking = self._units(units.dictionary)
+        which = units.indices.to_numpy()
+        own = sizes[which]
+        ends = 4 * np.concatenate([[0], np.cumsum(own)])[np.searchsorted(starts, offsets)]
+        found = _gather(ids, (np.cumsum(sizes) - sizes)[which], own)
+        return _binary(found, ends).cast(pa.binary()), lacking
+
+    def _units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Ids of distinct units, one after the other, their number for each unit, and the words that marks number.
+
+        Letters after at most one space, and such with one point or comma, need no search for their words.
+        """
+        data, offsets = _flat(units)
+        begin, end = offsets[:-1], offsets[1:]
+        others = np.concatenate([[0], np.cumsum(~_letters(data))])
+        others = others[end] - others[begin] - (data[begin] == ord(" "))
+        letters, last = end - begin - (data[begin] == ord(" ")), data[end - 1]
+        ended = (others == 1) & (letters > 1) & ((last == ord(".")) | (last == ord(",")))
+        searched = np.flatnonzero(~ended & ((others != 0) | (letters == 0)))
+
+        # each unit's words by their numbers: first a word for each unit, then the words found by search, "." and ","
+        words = units.to_pylist()
+        for i in np.flatnonzero(ended).tolist():
+            words[i] = words[i][:-1]
+        counts, more = 1 + ended, []
+        for i in searched.tolist():
+            own = self.split("", words[i].decode())
+            counts[i] = len(own)
+            words[i], *rest = [w.encode() for w in own]
+            more += rest
+        first = np.cumsum(counts) - counts
+        numbers = np.empty(int(counts.sum()), dtype=np.int64)
+        numbers[first] = np.arange(len(units))
+        numbers[_gather(np.arange(len(numbers)), first[searched] + 1, counts[searched] - 1)] = len(units) + np.arange(len(more))
+        numbers[first[ended] + 1] = len(units) + len(more) + (last[ended] == ord(","))
+        words += [*more, b".", b","]
+
+        ids, sizes, lacking = self._ids(words)
+        own = sizes[numbers]
+        return _gather(ids, (np.cumsum(sizes) - sizes)[numbers], own), np.add.reduceat(own, first), lacking
+
+    def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Ids of words, one after the other, their number for each word, and the words that marks number."""
+        ids, sizes = self.known.find(words, self.pieces, self.width)
+        at = np.cumsum(sizes)
+        lacking: dict[bytes, int] = {}
+        places, rest = [], []
+        for i in np.flatnonzero(sizes == 0).tolist():
+            word = words[i]
+            if (rank := self.ranks.get(word)) is not None:
+                own = [rank]
+            elif len(word) > LONG_BYTES:
+                own = merge_long(self.ranks, word)
+            else:
+                own = [_MARK, lacking.setdefault(word, len(lacking))]
+            places += [at[i]] * len(own)
+            rest += own
+            sizes[i] = len(own)
+        return np.insert(ids, places, np.array(rest, dtype=np.uint32)) if rest else ids, sizes, list(lacking)
 
 
 class _Coder:
@@ -457,14 +524,14 @@ class _Coder:
 
     def words(self, known, pattern: str, width: int) -> _Words:
         if self._words is None:
-            self._words = _Words(self.ranks.value, known.value, pattern, width)
+            self._words = _Words(self.ranks.value, known.value, pattern, width, self.pieces)
         return self._words
 
 
 def _unmarked(ids: bytes, rest: list[bytes]) -> bytes:
     """Ids with every mark and number replaced by the ids of that word."""
     numbers = np.frombuffer(ids, dtype="<u4")
-    marks = np.flatnonzero(numbers == 0xFFFFFFFF).tolist()
+    marks = np.flatnonzero(numbers == _MARK).tolist()
     if not marks:
         return ids
     out, at = [], 0
@@ -512,8 +579,8 @@ def encode_documents(
         struct_type = target.field(0).type.value_type
         for b in batches:
             for part in common.slices(b, 0):
-                ids, lacking = words.encode(part.column(0).to_pylist())
-                columns = [*part.columns[1:], pa.array(ids, type=pa.binary())]
+                ids, lacking = words.encode(part.column(0))
+                columns = [*part.columns[1:], ids]
                 rows = pa.StructArray.from_arrays(
                     [c.cast(f.type) for c, f in zip(columns, struct_type, strict=True)], fields=list(struct_type)
                 )

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -86,3 +87,44 @@ def test_units_hold_whole_matches():
 
 def test_empty_table(docs):
     assert bpe.encode_documents(docs([]), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def _worker(ranks, found):
+    """A worker's words, with a dictionary of the words given."""
+    hashes, packed = bpe._hashes(found), [b"".join(r.to_bytes(2, "big") for r in bpe.merge_long(ranks, w)) for w in found]
+    rows = pa.table({"hash": hashes, "ids": pa.array(packed, type=pa.binary())})
+    known = bpe.Dictionary.of([rows], {token: rank.to_bytes(2, "big") for token, rank in ranks.items()})
+    return bpe._Words(ranks, known, public_tokenizers.PATTERN, 2, bpe.Pieces(ranks))
+
+
+def _whole(ids, lacking, ranks):
+    rest = [b"".join(r.to_bytes(4, "little") for r in bpe.merge_long(ranks, w)) for w in lacking]
+    return [bpe.as_list(bpe._unmarked(i, rest)) for i in ids.to_pylist()]
+
+
+def test_units_of_arrays_are_those_of_texts():
+    rng = random.Random(4)
+    spaces = "".join(chr(c) for c in range(0x3001) if bpe.regex.match(f"[{bpe._SPACE}]", chr(c)))
+    texts = ["".join(rng.choices("ab1.'é日×" + spaces + "\x1c\u200b\u2010" + " " * 20, k=rng.randint(0, 12))) for _ in range(3000)]
+    data, offsets = bpe._flat(pa.array(texts))
+    bounds = [*bpe.unit_starts(data, offsets).tolist(), len(data)]
+    got = [data[a:b].tobytes().decode() for a, b in zip(bounds, bounds[1:])]
+    assert got == [u for t in texts for u in bpe._UNIT.findall(t)]
+
+
+def test_each_distinct_unit_is_looked_up_once(ranks, library, monkeypatch):
+    texts = pa.array(["Wörtlich wörtlich wörtlich, 12 ×x wörtlich."] * 50 + [None, "", " ", "qzxkjv qzxkjv.", *TEXTS])
+    words, asked = _worker(ranks, [" wörtlich".encode()]), []
+    find = words.known.find
+    monkeypatch.setattr(words.known, "find", lambda w, *rest: asked.append(w) or find(w, *rest))
+    ids, lacking = words.encode(texts[3:])  # a part of an array
+    assert len(asked) == 1 and asked[0].count(" wörtlich".encode()) == 3  # alone, with a comma, with a point
+    assert b"qzxkjv" in lacking and " wörtlich".encode() not in lacking
+    assert _whole(ids, lacking, ranks) == [library.encode_ordinary(t or "") for t in texts[3:].to_pylist()]
+
+
+def test_words_of_equal_hash_are_told_apart(ranks, library, monkeypatch):
+    monkeypatch.setattr(bpe, "_hashes", lambda words: bpe.np.array([len(w) for w in words], dtype=bpe.np.int64))
+    words = _worker(ranks, [b"qzxkjvqzxkjv", b"vjkxzqvjkxzq"])
+    texts = ["qzxkjvqzxkjv vjkxzqvjkxzq", "the vjkxzqvjkxz thing"]
+    assert _whole(*words.encode(pa.array(texts)), ranks) == [library.encode_ordinary(t) for t in texts]
