@@ -123,9 +123,9 @@ class RankTable:
     def fold(self, words: Column) -> Column:
         """Array of words, each a string of Latin-1 characters standing for bytes, to array of packed ids (binary).
 
-        A word's state are two binary values: the ids of its parts between two marks, and the ranks of its
-        neighbouring pairs. The smallest rank with its place is the leftmost pair of the lowest rank. Binary values
-        are cut and joined at a fraction of the cost of arrays.
+        A word's state are the ids of its parts between two marks, as one binary value, and an array of its
+        neighbouring pairs: each one's rank with the place of its first byte, so that the least is the leftmost pair
+        of the lowest rank. A merge puts two new pairs for three and leaves the others as they are.
         """
         w, mask, bits = self.width, (1 << self.bits) - 1, self.bits
         none, one_id, two_ids, rest = F.lit(self.none), F.lit(w), F.lit(2 * w), F.lit(1 << 20)
@@ -153,9 +153,12 @@ class RankTable:
 
             return look(F.crc32(key))
 
-        def merge(known: Column, places: Column):
+        def place_of(ranked: Column) -> Column:
+            return F.substring(ranked, F.lit(w + 1), F.lit(4))
+
+        def merge(known: Column):
             def step(state: Column, _: Column) -> Column:
-                parts, ranks = state["parts"], state["ranks"]
+                parts, ranked = state["parts"], state["ranked"]
 
                 def at(best: Column) -> Column:
                     merged = F.substring(best, F.lit(1), one_id)
@@ -166,20 +169,20 @@ class RankTable:
                         return F.struct(
                             F.concat(F.substring(parts, F.lit(1), p * w), merged, ids_at(parts, p + 2, rest)).alias("parts"),
                             F.concat(
-                                F.substring(ranks, F.lit(1), (p - 1) * w),
-                                let(before, lambda key: rank_of(known["table"], key)),
-                                let(after, lambda key: rank_of(known["table"], key)),
-                                ids_at(ranks, p + 2, rest),
-                                none,  # as many ranks as before
-                            ).alias("ranks"),
+                                F.slice(ranked, F.lit(1), p - 1),
+                                F.array(
+                                    F.concat(let(before, lambda key: rank_of(known["table"], key)), place_of(F.get(ranked, p - 1))),
+                                    F.concat(let(after, lambda key: rank_of(known["table"], key)), place_of(best)),
+                                ),
+                                F.slice(ranked, p + 3, rest),
+                            ).alias("ranked"),
                         )
 
-                    place = F.ascii(F.substring(best, F.lit(w + 1), F.lit(4)).cast("string")) - 1
-                    done = F.struct(parts.alias("parts"), F.lit(b"").alias("ranks"))
+                    place = F.array_position(ranked, best).cast("int") - 1
+                    done = F.struct(parts.alias("parts"), F.slice(ranked, F.lit(1), F.lit(0)).alias("ranked"))
                     return F.when(merged == none, done).otherwise(let(place, around))
 
-                best = F.array_min(F.transform(places, lambda place, i: F.concat(ids_at(ranks, i), place)))
-                return F.when(F.length(ranks) == 0, state).otherwise(let(best, at))
+                return F.when(F.size(ranked) == 0, state).otherwise(let(F.array_min(ranked), at))
 
             return step
 
@@ -188,22 +191,20 @@ class RankTable:
                 def run(codes: Column) -> Column:
                     parts = F.aggregate(codes, none, lambda packed, c: F.concat(packed, F.get(known["single"], c)))
 
-                    def append(packed: Column, i: Column) -> Column:
+                    def ranked(place: Column, i: Column) -> Column:
                         pair = (F.get(codes, i - 1) * 256 + F.get(codes, i)) * w + 1  # null beyond the ends
-                        return F.concat(packed, F.coalesce(F.substring(known["bytes"], pair, one_id), none))
-
-                    def merged(places: Column) -> Column:
-                        start = F.struct(
-                            F.concat(parts, none).alias("parts"), F.aggregate(F.sequence(F.lit(0), F.size(codes)), F.lit(b""), append).alias("ranks")
-                        )
-                        return F.aggregate(
-                            codes,
-                            start,
-                            merge(known, places),
-                            lambda state: F.substring(state["parts"], F.lit(w + 1), F.length(state["parts"]) - 2 * w),
-                        )
-
-                    return let(F.slice(known["place"], F.lit(1), F.size(codes) + 1), merged)
+                        return F.concat(F.coalesce(F.substring(known["bytes"], pair, one_id), none), place)
+
+                    start = F.struct(
+                        F.concat(parts, none).alias("parts"),
+                        F.transform(F.slice(known["place"], F.lit(1), F.size(codes) + 1), ranked).alias("ranked"),
+                    )
+                    return F.aggregate(
+                        codes,
+                        start,
+                        merge(known),
+                        lambda state: F.substring(state["parts"], F.lit(w + 1), F.length(state["parts"]) - 2 * w),
+                    )
 
                 return let(F.transform(F.split(word, ""), lambda c: F.ascii(c)), run)
 
@@ -256,7 +257,7 @@ def merge_long(ranks: dict[bytes, int], word: bytes) -> list[int]:
 
 
 def units_of(text: str) -> tuple[list[str], list[str] | None]:
-    """A text in units that no match of the splitting pattern crosses.
+    """A text in units that no match of the splitting pattern crosses: the plain form of what ``unit_starts`` finds.
 
     Where single spaces and single line ends are all its white space, these are the lines' words, each but a line's
     first with the space before it: returned are the text's lines and None. Otherwise returned are the units proper,
@@ -476,9 +477,8 @@ class _Words:
         searched = np.flatnonzero(~ended & ((others != 0) | (letters == 0)))
 
         # each unit's words by their numbers: first a word for each unit, then the words found by search, "." and ","
-        words = units.to_pylist()
-        for i in np.flatnonzero(ended).tolist():
-            words[i] = words[i][:-1]
+        whole = data.tobytes()
+        words = [whole[a:b] for a, b in zip(begin.tolist(), (end - ended).tolist(), strict=True)]
         counts, more = 1 + ended, []
         for i in searched.tolist():
             own = self.split("", words[i].decode())
