@@ -183,3 +183,60 @@ def test_rough_windows():
     assert np.abs(network.logits(forward, backward, windows) - want[:100]).max() < 1e-4
     network.weights["rec_f"] = network.weights["rec_f"] * 1000
     assert not network.has_rough()
+
+
+def slow_and_fast():
+    """A network whose first unit answers to "aa" at once and whose second fills up over a whole window of "bb"."""
+    network = toxicity.Network.fresh(toxicity.NetworkShape())
+    w = {name: np.zeros_like(value) for name, value in network.weights.items()}
+    w["word"][toxicity._word_buckets(["aa", "bb"], network.shape.bits), [0, 1]] = 1
+    w["bias_f"][:2] = -8, np.log(9)
+    w["in_f"][0, 16] = w["in_f"][1, 17] = 5
+    w["out"][:2], w["out_bias"][0] = (6.1, 10), -6.3
+    network.weights = w
+    return network
+
+
+def in_full(network, text):
+    """The score by ``logits`` of every window, one after the other."""
+    scorer = toxicity.Scorer(network)
+    windows, _ = toxicity._windows(scorer.numbered([text]), network.shape)
+    return 1 / (1 + np.exp(-max(float(scorer.window_logits(row[None])[0]) for row in windows)))
+
+
+def test_window_that_looks_weak_from_a_few_words(docs):
+    """Every window is computed over all its words: the strongest here is not so by any ten words of it."""
+    network, text = slow_and_fast(), "aa " * 60 + "bb " * 30
+    score = toxicity.add_scores(docs([(1, text)]), network).first()["score"]
+    assert score == pytest.approx(in_full(network, text), abs=1e-4) and score > 0.5
+    assert toxicity.Scorer(network).scores([text])[0] < 0.5
+
+
+def test_sliding_windows():
+    """All windows side by side are those computed one by one, over several steps and between texts of any length."""
+    rng = random.Random(3)
+    network = toxicity.train(texts(rng, 60, False) + texts(rng, 60, True), [0] * 60 + [1] * 60)
+    some = [*texts(rng, 40, True), *(" ".join(f"w{j % 7}" for j in range(n)) for n in (0, 1, 23, 24, 25, 26, 47, 300))]
+    got = toxicity.EveryWindow(network).scores(some)
+    assert np.abs(got - [in_full(network, text) if text else 0 for text in some]).max() < 1e-5
+    forward, backward = np.random.default_rng(5).normal(size=(2, 50, 24)).astype(np.float32) * 3
+    ids = np.random.default_rng(6).integers(0, 50, 200)
+    want = network.logits(forward, backward, ids[np.arange(177)[:, None] + np.arange(24)])
+    for step in (1, 50, 177, 500):
+        assert np.abs(network.sliding_logits(forward, backward, ids, step) - want).max() < 1e-5
+
+
+def test_units_met_again_are_kept():
+    """A full memory keeps what texts have in common; scores are those of a scorer that remembers all."""
+    rng = random.Random(8)
+    network = toxicity.train(texts(rng, 60, False) + texts(rng, 60, True), [0] * 60 + [1] * 60)
+    batches = [[f"{x} ... often seen {at}" for x in texts(rng, 20, at % 2)] for at in range(30)]
+    small, large = toxicity.EveryWindow(network), toxicity.EveryWindow(network)
+    small.MOST_UNITS = 2000
+    for batch in batches:
+        assert np.abs(small.scores(batch) - large.scores(batch)).max() < 1e-5
+        assert len(small.forward) >= len(small.words) and small.word_of.max() == len(small.words) - 1
+        assert len(small.word_of) == len(small.again) == len(small.units)
+    assert {"often", "seen", "..."} <= set(small.units) and len(small.units) < len(large.units)
+    small.MOST_WORDS = 1
+    assert np.abs(small.scores(batches[0]) - large.scores(batches[0])).max() < 1e-5
