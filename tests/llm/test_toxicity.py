@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from cartmill.llm import toxicity
 
 SMALL = toxicity.NetworkShape(window=5, stride=3, hidden=3, word_size=2, gram_size=3, bits=6)
@@ -240,3 +241,11 @@ def test_units_met_again_are_kept():
     assert {"often", "seen", "..."} <= set(small.units) and len(small.units) < len(large.units)
     small.MOST_WORDS = 1
     assert np.abs(small.scores(batches[0]) - large.scores(batches[0])).max() < 1e-5
+
+
+def test_pipeline_drops_by_every_window(spark, docs, tmp_path, monkeypatch):
+    """The first stage drops a text for a window that looks weak from a few of its words."""
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    monkeypatch.setattr(corpus_pipeline.toxicity, "fit", lambda docs, labels: slow_and_fast())
+    rows = [(1, "aa " * 60 + "bb " * 30), (2, "aa " * 90), (3, "cc " * 90), (4, None)]
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs(rows), str(tmp_path)).collect()) == [2, 3, 4]
