@@ -141,45 +141,49 @@ class CentroidGraph:
         return np.concatenate(lists), np.sqrt(np.maximum(np.concatenate(distances), 0))
 
     def _beam(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        n, own = len(x), _squares(x)
+        n, k = len(x), len(self.centroids)
         beam = max(width, len(self.entries))
-        seen = np.zeros((n, len(self.centroids)), bool)
+        expand = max(_EXPAND, beam // 16)  # of a wide beam more at once
+        # there are no more than max_lists centroids: one product costs less than gathering those that are reached
+        table = _squares(x)[:, None] + self.squares - 2 * x @ self.centroids.T
+        table = np.column_stack([table, np.full(n, np.inf)])  # for places without a centroid, numbered k
+        links = np.where(self.links < 0, k, self.links)
+        links = np.concatenate([links, np.full((1, links.shape[1]), k)])
+        seen = np.zeros((n, k + 1), bool)
+        seen[:, k] = True
         seen[:, self.entries] = True
-        ids = np.full((n, beam), -1)
-        distance = np.full((n, beam), np.inf)
+        ids = np.full((n, beam), k)
         ids[:, : len(self.entries)] = self.entries
-        distance[:, : len(self.entries)] = own[:, None] + self.squares[self.entries] - 2 * x @ self.centroids[self.entries].T
-        expanded = np.zeros((n, beam), bool)
+        distance = np.take_along_axis(table, ids, 1)
+        waiting = distance.copy()  # infinite where a centroid's links have been followed
         rows = np.arange(n)
         while len(rows):
-            waiting = np.where(expanded[rows], np.inf, distance[rows])
-            pick = np.argsort(waiting, axis=1, kind="stable")[:, :_EXPAND]
-            alive = np.isfinite(np.take_along_axis(waiting, pick, 1))
-            going = alive[:, 0]
-            rows, pick, alive = rows[going], pick[going], alive[going]
+            own = waiting[rows]
+            pick = np.argpartition(own, min(expand, beam) - 1, axis=1)[:, :expand]
+            near_to = np.where(np.isfinite(np.take_along_axis(own, pick, 1)), np.take_along_axis(ids[rows], pick, 1), k)
+            going = np.flatnonzero((near_to < k).any(axis=1))
+            rows, own, pick, near_to = rows[going], own[going], pick[going], near_to[going]
             if not len(rows):
                 break
-            expanded[rows[:, None], pick] |= alive
-            fresh = []
-            for j in range(pick.shape[1]):
-                near = self.links[np.maximum(ids[rows, pick[:, j]], 0)]
-                known = seen[rows[:, None], np.maximum(near, 0)] | (near < 0) | ~alive[:, j : j + 1]
-                fresh.append(np.where(known, -1, near))
-                at, column = np.nonzero(~known)
-                seen[rows[at], near[at, column]] = True
-            near = np.concatenate(fresh, axis=1)
-            found = np.full(near.shape, np.inf)
-            at, column = np.nonzero(near >= 0)
-            c = near[at, column]
-            found[at, column] = own[rows[at]] + self.squares[c] - 2 * np.einsum("ij,ij->i", x[rows[at]], self.centroids[c])
-            all_ids = np.concatenate([ids[rows], near], axis=1)
+            np.put_along_axis(own, pick, np.inf, 1)
+            fresh = np.zeros((len(rows), k + 1), bool)
+            at = np.arange(len(rows))[:, None]
+            for j in range(near_to.shape[1]):
+                fresh[at, links[near_to[:, j]]] = True
+            fresh &= ~seen[rows]
+            seen[rows] |= fresh
+            at, c = np.nonzero(fresh)
+            counts = np.bincount(at, minlength=len(rows))
+            near = np.full((len(rows), max(1, counts.max())), k)
+            near[at, np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)] = c
+            found = table[rows[:, None], near]
             all_found = np.concatenate([distance[rows], found], axis=1)
-            all_done = np.concatenate([expanded[rows], np.zeros(near.shape, bool)], axis=1)
-            best = np.argsort(all_found, axis=1, kind="stable")[:, :beam]
-            ids[rows] = np.take_along_axis(all_ids, best, 1)
+            best = np.argpartition(all_found, beam - 1, axis=1)[:, :beam]
             distance[rows] = np.take_along_axis(all_found, best, 1)
-            expanded[rows] = np.take_along_axis(all_done, best, 1)
-        order = np.argsort(distance, axis=1, kind="stable")[:, :width]
+            ids[rows] = np.take_along_axis(np.concatenate([ids[rows], near], axis=1), best, 1)
+            waiting[rows] = np.take_along_axis(np.concatenate([own, found], axis=1), best, 1)
+        ids = np.where(ids < k, ids, -1)
+        order = np.lexsort((ids, distance), axis=1)[:, :width]
         return np.take_along_axis(ids, order, 1), np.take_along_axis(distance, order, 1)
 
     def within(self, x: np.ndarray, limit: float, width: int, sizes: np.ndarray, least: int) -> np.ndarray:
@@ -258,7 +262,8 @@ def _scan(vectors: DataFrame, queries: np.ndarray, keep: int) -> DataFrame:
             for a in range(0, len(x), 4096):
                 part = x[a : a + 4096]
                 scores = np.concatenate([best, queries @ part.T], axis=1)
-                top = np.argsort(-scores, axis=1, kind="stable")[:, :keep]
+                most = min(keep, scores.shape[1])
+                top = np.argpartition(-scores, most - 1, axis=1)[:, :most]
                 n = best.shape[1]
                 rows = np.empty((len(queries), top.shape[1], size))
                 for i in range(len(queries)):
@@ -346,20 +351,41 @@ def _parts(sizes: np.ndarray, most: int, key: str) -> Column:
     return F.coalesce(F.create_map(*[F.lit(v) for pair in several.items() for v in pair])[F.col(key)], F.lit(1))
 
 
+def _candidates(x: np.ndarray, vectors: np.ndarray, fast: np.ndarray, longest: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, vector) of all pairs that a fast product cannot tell from a row's ``k`` largest inner products.
+
+    ``fast`` holds the vectors in single precision, in which products are found where they stay within its range;
+    ``longest`` is the largest norm among them.
+    """
+    lengths, n = np.sqrt(_squares(x)), len(vectors)
+    if 1e-12 < longest < 1e12 and 1e-12 < lengths.min() and lengths.max() < 1e12:
+        scores = x.astype(np.float32) @ fast.T
+    else:
+        scores = x @ vectors.T
+    # twice what rounding of the factors, products and sums can make of a score
+    reach = 2 * (x.shape[1] + 4) * np.finfo(scores.dtype).eps * longest * lengths
+    groups = n // 32
+    if groups >= 2 * k:  # the k-th largest of the groups' largest has k scores at or above it
+        tops = scores[:, : 32 * groups].reshape(len(x), 32, groups).max(axis=1)
+    else:
+        tops = scores
+    at = max(0, tops.shape[1] - k)
+    last = np.partition(tops, at, axis=1)[:, at]
+    # rounded towards less, as scores may be in single precision
+    low = np.nextafter((last - reach).astype(scores.dtype), scores.dtype.type(-np.inf))
+    return np.nonzero(scores >= low[:, None])
+
+
 def _searched(dealt: DataFrame, k: int, size: int) -> DataFrame:
     """(key, near): the nearest (score, id) of each query in each part of a list, parts standing before their queries."""
     pair = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("id", T.LongType())])
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("near", T.ArrayType(pair))])
     arrow_pair = pa.struct([("score", pa.float64()), ("id", pa.int64())])
 
-    def answers(keys, queries, vectors, ids, offsets):
-        reach = 1e-11 * np.sqrt(_squares(vectors).max())
+    def answers(keys, queries, vectors, fast, longest, ids, offsets):
         for a in range(0, len(keys), 256):
             x = queries[a : a + 256]
-            scores = x @ vectors.T
-            # all that the fast product cannot tell from the last one needed, then sums in order
-            last = np.partition(scores, max(0, len(vectors) - k), axis=1)[:, max(0, len(vectors) - k)]
-            row, near = np.nonzero(scores >= (last - reach * np.sqrt(_squares(x)))[:, None])
+            row, near = _candidates(x, vectors, fast, longest, k)
             exact = _dots(x[row], vectors[near])
             copies = offsets[near + 1] - offsets[near]
             row, score = np.repeat(row, copies), np.repeat(exact, copies)
@@ -395,7 +421,8 @@ def _searched(dealt: DataFrame, k: int, size: int) -> DataFrame:
                 if ready is None and vectors:
                     lists = pa.chunked_array(ids).combine_chunks()
                     lengths = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
-                    ready = (np.concatenate(vectors), lists.flatten().to_numpy(zero_copy_only=False), lengths)
+                    held = np.concatenate(vectors)
+                    ready = (held, held.astype(np.float32), np.sqrt(_squares(held).max()), lists.flatten().to_numpy(zero_copy_only=False), lengths)
                 if ready is not None:
                     yield from answers(keys[a:z], x[a:z], *ready)
         release()
@@ -403,6 +430,18 @@ def _searched(dealt: DataFrame, k: int, size: int) -> DataFrame:
     return dealt.mapInArrow(run, schema)
 
 
+def _merged(near: DataFrame, keep: int) -> DataFrame:
+    """(key, near): the ``keep`` nearest (far, id) of each key, ``far`` being the score's negative.
+
+    A replicated vector comes from several lists; equal pairs lie side by side once sorted, so none is sought among all.
+    """
+    near = near.groupBy("key").agg(F.flatten(F.collect_list("near")).alias("near"))
+    pair = F.transform("near", lambda p: F.struct((-p["score"]).alias("far"), p["id"].alias("id")))
+    near = near.select("key", F.sort_array(pair).alias("near"))
+    first = F.filter("near", lambda p, i: ~p.eqNullSafe(F.get("near", i - 1)))
+    return near.select("key", F.slice(first, 1, keep).alias("near"))
+
+
 def nearest(
     df: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vec_col: str = "embedding", settings: Settings = Settings()
 ) -> DataFrame:
@@ -460,9 +499,7 @@ def nearest(
     dealt = held.withColumn("key", F.lit(None).cast("long")).select(columns)
     dealt = dealt.unionByName(sent.withColumn("ids", F.lit(None).cast("array<bigint>")).select(columns))
     dealt = dealt.repartition("list", "part", "share").sortWithinPartitions("list", "part", "share", F.col("key").asc_nulls_first())
-    near = _searched(dealt, k + 1, size).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    ordered = F.array_sort(F.transform("near", lambda p: F.struct((-p["score"]).alias("far"), p["id"].alias("id"))))
-    near = near.select("key", F.slice(ordered, 1, k + 1).alias("near"))
+    near = _merged(_searched(dealt, k + 1, size), k + 1)
     # every query takes the answer of its vector, without itself
     own = asked.dropDuplicates(["vec", "id"]).join(queries, "vec").select(F.col("id").alias("query_id"), "key")
     answered = own.join(near, "key").select(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -128,3 +129,53 @@ def test_boundary_vectors_are_replicated():
     graph = posting.CentroidGraph(centroids, 1.0)
     homes = graph.homes(np.array([[1.0, 0.0], [0.71, 0.704]]), 3, 1.2)
     assert homes.tolist() == [[0, -1, -1], [0, 1, -1]]
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-30, 1e25])
+@pytest.mark.parametrize("n", [5, 700, 5000])
+def test_candidates_hold_the_nearest(n, scale):
+    """No product needed is lost to single precision or to the groups, and few others are looked at."""
+    rng = np.random.default_rng(n)
+    vectors, x = rng.normal(size=(n, 16)) * scale, rng.normal(size=(40, 16)) * scale
+    vectors[: n // 3] = vectors[0]  # ties
+    vectors[-1] *= 1e-3
+    with np.errstate(over="ignore"):
+        fast = vectors.astype(np.float32)
+    row, near = posting._candidates(x, vectors, fast, np.sqrt((vectors**2).sum(1).max()), 10)
+    scores = np.stack([posting._dots(np.repeat(x[i : i + 1], n, 0), vectors) for i in range(40)])
+    found = np.zeros(scores.shape, bool)
+    found[row, near] = True
+    needed = scores >= np.sort(scores, axis=1)[:, ::-1][:, min(9, n - 1)][:, None]
+    assert (found | ~needed).all()
+    other = found.copy()
+    other[:, : n // 3] = False
+    assert other.sum(axis=1).mean() <= min(n, 60)
+
+
+def test_beam_reads_few_centroids_rightly():
+    """The search's distances are those of the centroids it names, nearest first, none twice, for beams of any width."""
+    x = posting.lifted(cloud(3000, 8, 4, groups=60, spread=0.2), 30.0)
+    graph = posting.CentroidGraph(posting.balanced_means(x, 200), 30.0)
+    for width in (1, 16, 90, 200, 500):
+        ids, distance = graph.search(x[:300], width)
+        assert ids.shape == distance.shape == (300, min(width, 200))
+        for i, (row, far) in enumerate(zip(ids, distance, strict=True)):
+            real = row >= 0
+            assert len(set(row[real])) == real.sum() and (np.diff(far) >= 0).all() and np.isinf(far[~real]).all()
+            assert np.abs(far[real] - np.linalg.norm(graph.centroids[row[real]] - x[i], axis=1)).max() < 1e-6
+    true = ((graph.centroids[None] - x[:300, None]) ** 2).sum(2).argmin(1)
+    assert (graph.search(x[:300], 16)[0][:, 0] == true).mean() > 0.97
+
+
+def test_answers_of_many_lists_are_merged_in_time(spark):
+    """Pairs of one query from thousands of lists, each found in several: work grows with their number, not its square."""
+    score = "(pmod(xxhash64(id), 1000) / 8.0D) score, id"
+    near = spark.sql(f"SELECT key, collect_list(struct({score})) near FROM (SELECT id % 2 key, id div 4 id FROM range(400000)) GROUP BY key, id % 5000")
+    pairs = spark.sql(f"SELECT DISTINCT {score} FROM (SELECT id div 4 id FROM range(400000))").collect()
+    want = [(-s, i) for s, i in sorted(((r["score"], r["id"]) for r in pairs), key=lambda p: (-p[0], p[1]))[:21]]
+    began = time.monotonic()
+    got = posting._merged(near, 21).collect()
+    assert time.monotonic() - began < 40
+    assert [[tuple(p) for p in r["near"]] for r in got] == [want, want]
+    few = spark.sql("SELECT 1L key, array(struct(0.5D score, 3L id), struct(0.5D score, 1L id), struct(0.5D score, 3L id)) near")
+    assert [tuple(p) for p in posting._merged(few, 21).first()["near"]] == [(-0.5, 1), (-0.5, 3)]
